@@ -254,6 +254,22 @@ def evolve_by_name(
     return T.StructType(fields)
 
 
+def evolve_merge(table: T.StructType, incoming: T.StructType) -> T.StructType:
+    """Columns of both: table columns first, new ones at the end. A type may only widen."""
+    fields = {f.name: f for f in table.fields}
+    for new in incoming.fields:
+        old = fields.get(new.name)
+        if old is None:
+            fields[new.name] = T.StructField(new.name, new.dataType, True)
+        elif reads_as(old.dataType, new.dataType):
+            fields[new.name] = T.StructField(new.name, new.dataType, True, old.metadata)
+        elif not reads_as(new.dataType, old.dataType):
+            raise UnsupportedSchema(f"column {new.name!r} cannot change from {old.dataType} to {new.dataType}")
+    merged = T.StructType([fields[n] for n in fields])
+    return table if same_schema(T.StructType([T.StructField(f.name, f.dataType, f.nullable) for f in merged]),
+                                T.StructType([T.StructField(f.name, f.dataType, f.nullable) for f in table])) else merged
+
+
 _WIDER: dict[type, tuple[type, ...]] = {
     T.ByteType: (T.ShortType, T.IntegerType, T.LongType),
     T.ShortType: (T.IntegerType, T.LongType),

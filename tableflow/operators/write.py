@@ -14,7 +14,7 @@ from tableflow import storage
 from tableflow.functions import schema as S
 from tableflow.sources import log as L
 
-TARGET_ROWS_PER_FILE = 5_000_000
+TARGET_ROWS_PER_FILE = 1_000_000
 
 
 def new_token() -> str:
@@ -69,7 +69,7 @@ def written_files(
     """
     root = storage.root_uri(spark, path)
     types = {f.name: f for f in schema.fields}
-    part_fields = [T.StructField(S.physical_name(types[c]), types[c].dataType) for c in partition_columns]
+    part_fields = [T.StructField(S.physical_name(types[c]), T.StringType()) for c in partition_columns]
     dirs = [f"{path.rstrip('/')}/{L.DATA_COMMIT}={t}" for t in tokens]
     scan = (
         spark.read.schema(T.StructType([T.StructField(L.DATA_COMMIT, T.StringType()), *part_fields]))
@@ -80,7 +80,7 @@ def written_files(
         F.col(L.DATA_COMMIT).alias("token"),
         F.col("_metadata.file_path").alias("uri"),
         F.col("_metadata.file_size").alias("size"),
-        *[F.col(f.name).cast("string").alias(f"p{i}") for i, f in enumerate(part_fields)],
+        *[F.col(f.name).alias(f"p{i}") for i, f in enumerate(part_fields)],
     )
     keys = ["token", "uri", "size", *[f"p{i}" for i in range(len(part_fields))]]
     pairs = [x for i, c in enumerate(partition_columns) for x in (F.lit(c), F.col(f"p{i}"))]
@@ -168,10 +168,15 @@ def publish_written(
 ) -> list[int]:
     """Publish commits whose files were written with their tokens."""
     base = f"{path.rstrip('/')}/{L.DATA_COMMIT}="
-    commits = [c for c in commits if storage.exists(spark, base + c.token)]  # no rows, no files, no version
+    written = [c for c in commits if c.schema is None and storage.exists(spark, base + c.token)]
+    tokens = {c.token for c in written}
+    # without rows there are no files, and no version unless the schema changes
+    commits = [c for c in commits if c.schema is not None or c.token in tokens]
     if not commits:
         return []
-    files = written_files(spark, path, [c.token for c in commits], schema, partition_columns)
+    if not tokens:
+        return L.publish(spark, path, commits, None, after)
+    files = written_files(spark, path, [c.token for c in written], schema, partition_columns)
     fixed = {c.token: c.timestamp for c in commits if c.timestamp is not None}
     now = F.unix_millis(F.current_timestamp())
     stamps = now

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def new_session(
@@ -55,3 +55,14 @@ def work_root(spark: SparkSession) -> str:
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A path under the work root that nothing uses yet (not created)."""
     return f"{work_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def pinned(df: DataFrame, name: str) -> DataFrame:
+    """The same rows, computed once and written to the work root.
+
+    Cuts the lineage before rows are used by several jobs, survives lost executors and gives Spark real sizes.
+    """
+    spark = df.sparkSession
+    path = fresh_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

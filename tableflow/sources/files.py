@@ -47,14 +47,18 @@ def row_counts(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
 
 
 def with_locations(spark: SparkSession, acts: DataFrame, path: str) -> DataFrame:
-    """Add ``uri``, as ``_metadata.file_path`` shows it, and ``location``, as a reader takes it."""
+    """Add ``uri``, as ``_metadata.file_path`` shows it, ``location``, as a reader takes it, and a path hash."""
     root = storage.root_uri(spark, path)
-    disk = storage.disk_path(F.col("path"))
-    absolute = F.col("path").rlike("^([A-Za-z][A-Za-z0-9+.-]*:)?/")
-    uri = F.when(absolute, F.regexp_replace(storage.quoted_path(disk), "^(file:)?/+", "file:/"))
-    return acts.withColumn("uri", F.coalesce(uri, F.concat(F.lit(root + "/"), storage.quoted_path(disk)))).withColumn(
-        "location", F.when(absolute, disk).otherwise(F.concat(F.lit(path.rstrip("/") + "/"), disk))
-    )
+    absolute = "path rlike '^([A-Za-z][A-Za-z0-9+.-]*:)?/'"
+    uri = storage.quoted_path("disk")
+    out = acts.withColumn("disk", F.expr(storage.disk_path("path"))).withColumn("absolute", F.expr(absolute))
+    return out.withColumns({
+        "uri": F.when(F.col("absolute"), F.expr(f"regexp_replace({uri}, '^(file:)?/+', 'file:/')"))
+        .otherwise(F.concat(F.lit(root + "/"), F.expr(uri))),
+        "location": F.when(F.col("absolute"), F.col("disk"))
+        .otherwise(F.concat(F.lit(path.rstrip("/") + "/"), F.col("disk"))),
+        "hash": F.xxhash64("path"),
+    }).drop("disk", "absolute")
 
 
 def file_list(acts: DataFrame) -> list[tuple[str, str, int]]:
@@ -89,9 +93,9 @@ def expand(
     A value shows only if the schema in force at the action's version has its column. Rows are not shuffled: each
     scan joins to its own actions by a broadcast of bounded size.
     """
-    acts = with_locations(spark, acts, path).withColumn("hash", F.xxhash64("path"))
-    if "min_row" not in acts.columns:
-        acts = acts.withColumn("min_row", F.lit(0))
+    if "uri" not in acts.columns:
+        acts = with_locations(spark, acts, path)
+    skips = ["min_row"] if "min_row" in acts.columns else []
     acts = acts.withColumn("__epoch", epoch_column(F.col("version"), history))
     whole = read_schema(history)
     if whole is not None:
@@ -111,8 +115,10 @@ def expand(
             if not locations:
                 continue
             chunk = part if n == 1 else part.where(F.pmod("hash", F.lit(n)) == i)
-            side = chunk.select(F.col("uri").alias(URI), "min_row", "pv", "__epoch", *keep)
-            rows = row_scan(spark, locations, file_schema).join(F.broadcast(side), URI).where(F.col(ROW) >= F.col("min_row"))
+            side = chunk.select(F.col("uri").alias(URI), "pv", "__epoch", *skips, *keep)
+            rows = row_scan(spark, locations, file_schema).join(F.broadcast(side), URI)
+            if skips:
+                rows = rows.where(F.col(ROW) >= F.col("min_row"))
             picked = rows.select(
                 *[_value(f, history, file_schema, written is not None) for f in columns.fields], *keep, ROW
             )

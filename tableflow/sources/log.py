@@ -34,7 +34,7 @@ metaData struct<id:string, schemaString:string, partitionColumns:array<string>,
 add struct<path:string, partitionValues:map<string,string>, size:bigint, modificationTime:bigint,
            dataChange:boolean, stats:string>,
 remove struct<path:string, partitionValues:map<string,string>, size:bigint, deletionTimestamp:bigint,
-              dataChange:boolean>
+              dataChange:boolean, stats:string>
 """
 
 
@@ -128,7 +128,7 @@ def file_actions(parsed: DataFrame, include_rewrites: bool = True) -> DataFrame:
         either("size").alias("size"),
         F.when(is_add, F.col("add.modificationTime")).otherwise(F.col("remove.deletionTimestamp")).alias("ts"),
         F.coalesce(either("dataChange"), F.lit(True)).alias("data_change"),
-        F.get_json_object("add.stats", "$.numRecords").cast("bigint").alias("num_records"),
+        F.get_json_object(either("stats"), "$.numRecords").cast("bigint").alias("num_records"),
     )
     return out if include_rewrites else out.where("data_change")
 
@@ -284,13 +284,14 @@ def add_lines(files: DataFrame, stamps: Column, data_change: bool = True) -> Dat
 
 
 def remove_lines(files: DataFrame, token: str, deleted_ms: int, data_change: bool = True) -> DataFrame:
-    """Log lines removing files; ``files`` has ``path, pv, size``."""
+    """Log lines removing files; ``files`` has ``path, pv, size, num_records``."""
     rm = F.struct(
         "path",
         F.lit(deleted_ms).cast("bigint").alias("deletionTimestamp"),
         F.lit(data_change).alias("dataChange"),
         F.col("pv").alias("partitionValues"),
         "size",
+        F.to_json(F.struct(F.col("num_records").alias("numRecords"))).alias("stats"),
     )
     return files.select(F.lit(token).alias("token"), F.lit(1).alias("ord"), "path",
                         F.to_json(F.struct(rm.alias("remove"))).alias("value"))

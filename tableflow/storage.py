@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import SparkSession
 
 
 class VersionConflict(RuntimeError):
@@ -67,16 +66,17 @@ def move_new(spark: SparkSession, src: str, dst: str, mtime_ms: int) -> None:
 URI_QUOTED = ' "<>#?[\\]^`{|}'
 
 
-def disk_path(log_path: Column) -> Column:
-    """Name on disk of a path as the log stores it (URI-quoted)."""
-    return F.coalesce(F.try_url_decode(F.replace(log_path, F.lit("+"), F.lit("%2B"))), log_path)
+def disk_path(log_path: str) -> str:
+    """SQL for the name on disk of a path as the log stores it (URI-quoted)."""
+    return f"coalesce(try_url_decode(replace({log_path}, '+', '%2B')), {log_path})"
 
 
-def quoted_path(path: Column) -> Column:
-    """A name on disk, quoted the way ``_metadata.file_path`` shows it."""
-    out = F.replace(path, F.lit("%"), F.lit("%25"))
+def quoted_path(path: str) -> str:
+    """SQL for a name on disk, quoted the way ``_metadata.file_path`` shows it."""
+    out = f"replace({path}, '%', '%25')"
     for ch in URI_QUOTED:
-        out = F.replace(out, F.lit(ch), F.lit(f"%{ord(ch):02X}"))
+        shown = {"\\": "\\\\"}.get(ch, ch)
+        out = f"replace({out}, '{shown}', '%{ord(ch):02X}')"
     return out
 
 
