@@ -45,9 +45,9 @@ WITH t AS (
 ), m AS (
   SELECT doc_id, n,
     list_transform(list_transform(list_transform(full_words, lambda x: {_mul('x', 0xCC9E2D51)}), lambda x: {_rot('x', 15)}),
-                   x -> {_mul('x', 0x1B873593)}) AS mixed,
+                   lambda x: {_mul('x', 0x1B873593)}) AS mixed,
     list_transform(list_transform(list_transform([coalesce(tail, 0)::HUGEINT], lambda x: {_mul('x', 0xCC9E2D51)}),
-                   x -> {_rot('x', 15)}), lambda x: {_mul('x', 0x1B873593)})[1] AS tail_mixed
+                   lambda x: {_rot('x', 15)}), lambda x: {_mul('x', 0x1B873593)})[1] AS tail_mixed
   FROM w
 ), h AS (
   SELECT doc_id, n, tail_mixed,
