@@ -6,7 +6,7 @@ import time
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -63,7 +63,7 @@ def write_files(
 def written_files(
     spark: SparkSession, path: str, tokens: Sequence[str], schema: T.StructType, partition_columns: Sequence[str] = ()
 ) -> DataFrame:
-    """The files of some commits as ``token, path, pv, size, num_records``.
+    """The files of some commits as ``token, path, pv, size, num_records, folder_files``.
 
     No data column is read, so the scan only touches Parquet footers.
     """
@@ -91,6 +91,7 @@ def written_files(
         pv.cast("map<string,string>").alias("pv"),
         "size",
         "num_records",
+        F.count(F.lit(1)).over(Window.partitionBy("token")).alias("folder_files"),
     )
 
 

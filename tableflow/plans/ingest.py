@@ -21,6 +21,7 @@ from tableflow.operators import decode as D
 from tableflow.operators import keyed, ordered
 from tableflow.operators import write as W
 from tableflow.options import IngestOptions
+from tableflow.session import pinned
 from tableflow.sources import log as L
 
 _log = logging.getLogger(__name__)
@@ -236,11 +237,13 @@ def ingest_batch(
     reject_sink: RejectSink | None = None,
     check_replay: bool = True,
     timestamp: int | None = None,
+    state: L.TableState | None = None,
 ) -> IngestResult:
     """Ingest one batch; a repeated call with the same batch id and messages adds only what is missing.
 
     Unusable messages go to ``reject_sink`` with a reason, or stop the batch with ``fail_fast``. A failing write or
-    publish is tried again until the failure budget is used up.
+    publish is tried again until the failure budget is used up. ``state`` is what the caller, as the only writer,
+    knows from the batch before; it is brought up to date.
     """
     spark = messages.sparkSession
     path = options.table_path.rstrip("/")
@@ -257,11 +260,17 @@ def ingest_batch(
             rejected.append(rows.where("_kind < 0").withColumn("reason", F.lit(D.BAD_SCHEMA)))
             rows = rows.where("_kind >= 0")
         rows, parts = _parts(rows, kinds, options)
+        if len(parts) > len(kinds) and len(kinds) > 1:
+            rows = pinned(rows, "ranked")  # ranks and runs are used by one write job per schema
         failures, published = 0, []
         while True:
             try:
+                if state is None or failures:
+                    fresh = L.table_state(spark, path)
+                    state = state or fresh
+                    state.version, state.history = fresh.version, fresh.history
                 done = _write_parts(spark, path, rows, parts, options, batch_id, result, rejected,
-                                    check_replay or failures > 0, timestamp)
+                                    check_replay or failures > 0, timestamp, state)
                 published += done
                 break
             except (D.RejectedMessage, S.UnsupportedSchema):
@@ -284,13 +293,14 @@ def ingest_batch(
 def _write_parts(
     spark: SparkSession, path: str, rows: DataFrame, parts: list[_Part], options: IngestOptions, batch_id: int,
     result: IngestResult, rejected: list[DataFrame], check_replay: bool, timestamp: int | None,
+    state: L.TableState,
 ) -> list[int]:
     done = L.committed_parts(spark, path, options.app_id, batch_id) if check_replay else set()
     todo = [p for p in parts if p.number not in done]
     result.replayed = len(parts) - len(todo)
     if not todo:
         return []
-    history = L.epochs(spark, path) if L.table_exists(spark, path) else []
+    history = state.history
     used = {S.physical_name(f) for e in history for f in e.schema.fields}
     partition_columns = list(history[-1].partition_columns) if history else list(options.partition_columns)
     if not history and options.layout == "keyed" and options.partition_path:
@@ -320,12 +330,18 @@ def _write_parts(
             decode_rejects.append(decoded.where(F.col(D.REASON).isNotNull()).withColumnRenamed(D.REASON, "reason"))
     if not history:
         W.create_table(spark, path, first, partition_columns, timestamp)
+        state.version = 0
+        state.learn(0, first, partition_columns)
     commits = []
     for p in todo:
         if p.changes_schema:
             commits.append(L.Commit(W.new_token(), "UPGRADE SCHEMA", p.target, partition_columns, None, timestamp))
         commits.append(L.Commit(p.token, "WRITE", txn=(options.app_id, batch_id, p.number), timestamp=timestamp))
-    out = W.publish_written(spark, path, todo[-1].target, partition_columns, commits)
+    out = W.publish_written(spark, path, todo[-1].target, partition_columns, commits, state.version)
+    for c in commits:
+        if c.schema is not None and c.version is not None:
+            state.learn(c.version, c.schema, partition_columns)
+    state.version = out[-1] if out else state.version
     rejected += decode_rejects
     result.rejected += bad
     return out

@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tableflow import storage
 from tableflow.functions import schema as S
-from tableflow.sources.log import DATA_COMMIT, Epoch, LogError, epoch_column
+from tableflow.sources.log import DATA_COMMIT, Epoch, epoch_column
 
 # One scan joins its rows to the actions of its files by broadcast. This bounds the bytes of that side; a longer
 # file list is split by path hash into several scans, each with its own bounded broadcast.
@@ -33,10 +34,22 @@ def read_schema(history: Sequence[Epoch], partition_columns: Sequence[str] = ())
     return T.StructType([T.StructField(n, t, True) for n, t in fields.items()])
 
 
-def row_scan(spark: SparkSession, paths: Sequence[str], schema: T.StructType) -> DataFrame:
-    """Rows of explicit files with their file and their position in it."""
-    return spark.read.schema(schema).parquet(*[storage.glob_safe(p) for p in paths]).select(
-        "*", F.col("_metadata.file_path").alias(URI), F.col("_metadata.row_index").alias(ROW)
+def parquet_scan(
+    spark: SparkSession, paths: Sequence[str], schema: T.StructType, root: str | None = None
+) -> DataFrame:
+    """Rows of files, or of whole commit folders below ``root``; folder names then give the partition columns."""
+    reader = spark.read
+    if root is not None:
+        schema = T.StructType([*schema.fields, T.StructField(DATA_COMMIT, T.StringType())])
+        reader = reader.option("basePath", root)
+    return reader.schema(schema).parquet(*[storage.glob_safe(p) for p in paths])
+
+
+def row_scan(spark: SparkSession, paths: Sequence[str], schema: T.StructType, root: str | None = None) -> DataFrame:
+    """Rows with their file and their position in it."""
+    return parquet_scan(spark, paths, schema, root).select(
+        *[F.col(f"`{n}`") for n in schema.fieldNames()],
+        F.col("_metadata.file_path").alias(URI), F.col("_metadata.row_index").alias(ROW),
     )
 
 
@@ -58,22 +71,56 @@ def with_locations(spark: SparkSession, acts: DataFrame, path: str) -> DataFrame
         "location": F.when(F.col("absolute"), F.col("disk"))
         .otherwise(F.concat(F.lit(path.rstrip("/") + "/"), F.col("disk"))),
         "hash": F.xxhash64("path"),
-    }).drop("disk", "absolute")
+        "folder": F.regexp_extract("disk", f"^{DATA_COMMIT}=[^/]+", 0),
+    }).withColumn("folder_hash", F.xxhash64("folder")).drop("disk", "absolute")
+
+
+@dataclass(frozen=True)
+class ScanList:
+    """What to read: paths of each scan, and how actions are told apart between scans."""
 
+    chunks: list[list[str]]
+    key: str = "hash"
+    in_folders: bool = False
+    regular: bool = False
 
-def file_list(acts: DataFrame) -> list[tuple[str, str, int]]:
-    """(path hash, location, action bytes) of the distinct files.
 
-    Spark's own file index keeps one entry per file on the driver; this list is of the same order and holds no rows.
+def scan_list(acts: DataFrame, root: str) -> ScanList:
+    """The paths that cover the files of some actions.
+
+    A commit folder all of whose published files are wanted is named as one path, so the list follows the number of
+    commits and not of files. Files of other folders are named one by one. Only this list comes to the driver; it
+    also tells how many bytes of actions each scan will broadcast, and more than BROADCAST_BYTES make several scans.
+    An optional column ``regular`` is reported back when it holds for all actions.
     """
     weight = F.length("uri") + F.length(F.coalesce(F.to_json("pv"), F.lit(""))) + ACTION_OVERHEAD
-    rows = (
-        acts.groupBy("location")
-        .agg(F.first("hash").alias("hash"), F.sum(weight).alias("bytes"))
-        .select("hash", "location", "bytes")
-        .collect()
+    regular = F.col("regular") if "regular" in acts.columns else F.lit(False)
+    files = acts.groupBy("location", "folder").agg(
+        F.first("hash").alias("hash"), F.first("folder_hash").alias("folder_hash"),
+        F.max("folder_files").alias("expected"), F.sum(weight).alias("bytes"), F.bool_and(regular).alias("regular"),
     )
-    return [tuple(r) for r in rows]
+    found = F.count(F.lit(1)).over(Window.partitionBy("folder"))  # over file entries, not rows
+    whole = (F.col("folder") != "") & (found == F.coalesce("expected", F.lit(-1)))
+    name = F.when(whole, F.concat(F.lit(f"{root}/"), F.col("folder"))).otherwise(F.col("location"))
+    named = files.select(name.alias("path"), "folder", "folder_hash", "bytes", "regular").groupBy("path").agg(
+        F.first("folder").alias("folder"), F.first("folder_hash").alias("h"), F.sum("bytes").alias("bytes"),
+        F.bool_and("regular").alias("regular"),
+    ).collect()
+    if not named:
+        return ScanList([])
+    in_folders = all(r["folder"] for r in named)
+    n = max(1, -(-sum(r["bytes"] for r in named) // BROADCAST_BYTES))
+    loads = [0] * n
+    for r in named:
+        loads[r["h"] % n] += r["bytes"]
+    key, paths = "folder_hash", [(r["h"], r["path"]) for r in named]
+    # one folder may hold most files; then its files, not folders, are spread over the scans
+    if n > 1 and (not in_folders or max(loads) > 2 * BROADCAST_BYTES):
+        key, paths = "hash", [(r["hash"], r["location"]) for r in files.select("hash", "location").collect()]
+    chunks: list[list[str]] = [[] for _ in range(n)]
+    for h, p in paths:
+        chunks[h % n].append(p)
+    return ScanList(chunks, key, in_folders, all(r["regular"] for r in named))
 
 
 def partition_value(name: str, data_type: T.DataType, from_file: Column | None) -> Column:
@@ -106,17 +153,15 @@ def expand(
         ]
     out = None
     for part, file_schema, written in parts:
-        files = file_list(part)
-        if not files:
-            continue
-        n = max(1, -(-sum(f[2] for f in files) // BROADCAST_BYTES))
-        for i in range(n):
-            locations = [f[1] for f in files if f[0] % n == i]
-            if not locations:
+        todo = scan_list(part, path)
+        n = len(todo.chunks)
+        for i, paths in enumerate(todo.chunks):
+            if not paths:
                 continue
-            chunk = part if n == 1 else part.where(F.pmod("hash", F.lit(n)) == i)
+            chunk = part if n == 1 else part.where(F.pmod(todo.key, F.lit(n)) == i)
             side = chunk.select(F.col("uri").alias(URI), "pv", "__epoch", *skips, *keep)
-            rows = row_scan(spark, locations, file_schema).join(F.broadcast(side), URI)
+            scan = row_scan(spark, paths, file_schema, path if todo.in_folders else None)
+            rows = scan.join(F.broadcast(side), URI)
             if skips:
                 rows = rows.where(F.col(ROW) >= F.col("min_row"))
             picked = rows.select(

@@ -26,15 +26,16 @@ from tableflow.options import EARLIEST, LATEST
 LOG_DIR = "_delta_log"
 STAGE_DIR = "_staged_commits"
 DATA_COMMIT = "_commit"
+FOLDER_FILES = "folderFiles"  # tag: how many files were published in the action's commit folder
 
 ACTION_SCHEMA = """
 commitInfo struct<timestamp:bigint, operation:string>,
 txn struct<appId:string, version:bigint, part:int, lastUpdated:bigint>,
 metaData struct<id:string, schemaString:string, partitionColumns:array<string>, createdTime:bigint>,
 add struct<path:string, partitionValues:map<string,string>, size:bigint, modificationTime:bigint,
-           dataChange:boolean, stats:string>,
+           dataChange:boolean, stats:string, tags:map<string,string>>,
 remove struct<path:string, partitionValues:map<string,string>, size:bigint, deletionTimestamp:bigint,
-              dataChange:boolean, stats:string>
+              dataChange:boolean, stats:string, tags:map<string,string>>
 """
 
 
@@ -129,6 +130,7 @@ def file_actions(parsed: DataFrame, include_rewrites: bool = True) -> DataFrame:
         F.when(is_add, F.col("add.modificationTime")).otherwise(F.col("remove.deletionTimestamp")).alias("ts"),
         F.coalesce(either("dataChange"), F.lit(True)).alias("data_change"),
         F.get_json_object(either("stats"), "$.numRecords").cast("bigint").alias("num_records"),
+        F.try_element_at(either("tags"), F.lit(FOLDER_FILES)).cast("bigint").alias("folder_files"),
     )
     return out if include_rewrites else out.where("data_change")
 
@@ -170,6 +172,29 @@ def epochs(spark: SparkSession, path: str, to_version: int | None = None, from_v
     ]
 
 
+@dataclass
+class TableState:
+    """What a single writer or reader knows about a table, so that it need not read the whole log for each batch."""
+
+    version: int
+    history: list[Epoch]
+
+    def learn(self, version: int, schema: T.StructType, partition_columns: Sequence[str]) -> None:
+        self.history.append(Epoch(len(self.history), version, schema, tuple(partition_columns)))
+
+    def catch_up(self, spark: SparkSession, path: str, to_version: int) -> None:
+        """Read the schema changes of versions that are new."""
+        if to_version > self.version:
+            for e in epochs(spark, path, to_version, self.version + 1):
+                self.learn(e.version, e.schema, e.partition_columns)
+            self.version = to_version
+
+
+def table_state(spark: SparkSession, path: str) -> TableState:
+    version = latest_version(spark, path)
+    return TableState(version, epochs(spark, path, version) if version >= 0 else [])
+
+
 def epoch_column(version: Column, history: Sequence[Epoch]) -> Column:
     """Number of the epoch in force at a version (versions before the first one belong to the first)."""
     starts = F.array(*[F.lit(e.version) for e in history])
@@ -247,6 +272,7 @@ class Commit:
     partition_columns: Sequence[str] = ()
     txn: tuple[str, int, int] | None = None  # app id, batch id, part of the batch
     timestamp: int | None = None
+    version: int | None = None  # set when published
 
     def header(self, first: bool, now: int) -> list[str]:
         at = self.timestamp if self.timestamp is not None else now
@@ -270,8 +296,12 @@ class Commit:
         return [json.dumps(x) for x in lines]
 
 
+def _tags() -> Column:
+    return F.create_map(F.lit(FOLDER_FILES), F.col("folder_files").cast("string")).alias("tags")
+
+
 def add_lines(files: DataFrame, stamps: Column, data_change: bool = True) -> DataFrame:
-    """Log lines adding files; ``files`` has ``token, path, pv, size, num_records``."""
+    """Log lines adding files; ``files`` has ``token, path, pv, size, num_records, folder_files``."""
     add = F.struct(
         "path",
         F.col("pv").alias("partitionValues"),
@@ -279,12 +309,13 @@ def add_lines(files: DataFrame, stamps: Column, data_change: bool = True) -> Dat
         stamps.alias("modificationTime"),
         F.lit(data_change).alias("dataChange"),
         F.to_json(F.struct(F.col("num_records").alias("numRecords"))).alias("stats"),
+        _tags(),
     )
     return files.select("token", F.lit(2).alias("ord"), "path", F.to_json(F.struct(add.alias("add"))).alias("value"))
 
 
 def remove_lines(files: DataFrame, token: str, deleted_ms: int, data_change: bool = True) -> DataFrame:
-    """Log lines removing files; ``files`` has ``path, pv, size, num_records``."""
+    """Log lines removing files; ``files`` are rows of ``live_files``."""
     rm = F.struct(
         "path",
         F.lit(deleted_ms).cast("bigint").alias("deletionTimestamp"),
@@ -292,6 +323,7 @@ def remove_lines(files: DataFrame, token: str, deleted_ms: int, data_change: boo
         F.col("pv").alias("partitionValues"),
         "size",
         F.to_json(F.struct(F.col("num_records").alias("numRecords"))).alias("stats"),
+        F.when(F.col("folder_files").isNotNull(), _tags()).alias("tags"),
     )
     return files.select(F.lit(token).alias("token"), F.lit(1).alias("ord"), "path",
                         F.to_json(F.struct(rm.alias("remove"))).alias("value"))
@@ -333,8 +365,9 @@ def publish(
         parts = storage.part_files(spark, folder)
         if len(parts) != 1:
             raise LogError(f"expected one staged log file in {folder}, found {len(parts)}")
+        storage.move_new(spark, f"{folder}/{parts[0]}", f"{log_dir(path)}/{file_name(last + 1)}", now + i)
         last += 1
-        storage.move_new(spark, f"{folder}/{parts[0]}", f"{log_dir(path)}/{file_name(last)}", now + i)
+        c.version = last
         out.append(last)
     return out
 

@@ -9,8 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tableflow import storage
 from tableflow.functions import schema as S
+from tableflow.session import pinned
 from tableflow.sources import files as FS
 from tableflow.sources import log as L
 
@@ -63,6 +63,7 @@ def snapshot(
             acts = written_epochs(spark, path, acts, history, v)
         # every live row is seen through the schema at this version
         acts = acts.withColumn("version", F.lit(v).cast("bigint"))
+        acts = pinned(FS.with_locations(spark, acts, path), "live")
         out = FS.expand(spark, path, acts, history, columns, []).drop(FS.ROW)
     return out if where is None else out.where(where)
 
@@ -78,23 +79,20 @@ def _folder_scan(
     physical = {f.name: S.physical_name(f) for f in now.schema.fields}
     if any(c not in physical for c in now.partition_columns):
         return None
-    folders = [f"{physical[c]}=" for c in now.partition_columns]
+    levels = [f"{physical[c]}=" for c in now.partition_columns]
     segments = F.split("path", "/")
-    regular = (F.size(segments) == len(folders) + 2) & segments[0].startswith(f"{L.DATA_COMMIT}=")
-    for i, f in enumerate(folders):
-        regular = regular & segments[i + 1].startswith(f)
-    listed = FS.with_locations(spark, acts, path).select("location", regular.alias("regular")).collect()
-    if not listed or not all(r["regular"] for r in listed):
+    regular = (F.size(segments) == len(levels) + 2) & segments[0].startswith(f"{L.DATA_COMMIT}=")
+    for i, name in enumerate(levels):
+        regular = regular & segments[i + 1].startswith(name)
+    located = FS.with_locations(spark, acts, path).withColumn("regular", regular)
+    todo = FS.scan_list(located, path)
+    paths = [p for chunk in todo.chunks for p in chunk]
+    if not todo.regular or not paths:
         return None
     covering = FS.read_schema(history)
-    parts = {physical[c] for c in now.partition_columns}
-    wanted = T.StructType([
-        T.StructField(n, covering[n].dataType) for n in physical.values() if n not in parts
-    ] + [T.StructField(n, covering[n].dataType) for n in [physical[c] for c in now.partition_columns]]
-        + [T.StructField(L.DATA_COMMIT, T.StringType())])
-    scan = (
-        spark.read.schema(wanted).option("basePath", path)
-        .parquet(*[storage.glob_safe(r["location"]) for r in listed])
-    )
+    inner = [physical[c] for c in now.partition_columns]
+    names = [n for n in physical.values() if n not in inner] + inner
+    wanted = T.StructType([T.StructField(n, covering[n].dataType) for n in names])
+    scan = FS.parquet_scan(spark, paths, wanted, path)
     cols = [F.col(f"`{S.physical_name(f)}`").cast(S.plain_type(f.dataType)).alias(f.name) for f in now.schema.fields]
     return scan.select(*cols)

@@ -9,6 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tableflow.options import IngestOptions
 from tableflow.plans.ingest import IngestResult, RejectSink, ingest_batch
+from tableflow.sources import log as L
 
 
 def ingest_stream(
@@ -25,13 +26,14 @@ def ingest_stream(
     Progress moves on only after a batch is committed. A batch that is run again after a crash finds its commits in
     the log by application and batch id and adds only the missing ones. ``results`` collects one entry per batch.
     """
-    first = True
+    state: L.TableState | None = None
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        nonlocal first
+        nonlocal state
         # a failed batch ends the query, so only the first batch of a run can be a replay
-        done = ingest_batch(batch, options, batch_id, reject_sink, check_replay=first)
-        first = False
+        replay = state is None
+        state = state or L.table_state(batch.sparkSession, options.table_path)
+        done = ingest_batch(batch, options, batch_id, reject_sink, check_replay=replay, state=state)
         if results is not None:
             results.append(done)
 

@@ -26,6 +26,7 @@ from tableflow.sources import log as L
 
 Writer = Callable[[DataFrame, int], None]
 
+_LISTING = "path string, modificationTime timestamp, length bigint, content binary"
 _STATE = "batch bigint, start bigint, end bigint, is_full boolean, slot int, next_seq bigint"
 
 
@@ -91,14 +92,13 @@ def tail_changes(
     begin = ST.restore(spark, options, saved or {})
     resume = begin.checkpoints if begin.resumed else None
 
-    log = (
-        spark.readStream.format("text").option("wholetext", True).option("pathGlobFilter", "[0-9]*.json")
-    )
+    # log files are only listed here, their content is read batch by batch
+    log = spark.readStream.format("binaryFile").schema(_LISTING).option("pathGlobFilter", "[0-9]*.json")
     if versions_per_trigger:
         log = log.option("maxFilesPerTrigger", versions_per_trigger)
-    names = log.load(L.log_dir(path)).select(
-        F.substring_index(F.col("_metadata.file_name"), ".", 1).cast("bigint").alias("version")
-    )
+    name = F.substring_index(F.substring_index("path", "/", -1), ".", 1)
+    names = log.load(L.log_dir(path)).select(name.cast("bigint").alias("version"))
+    known = L.TableState(-1, [])
 
     done: dict[int, _Range] = {}  # the last batch of this run; earlier ones are in the state folder
 
@@ -152,8 +152,10 @@ def tail_changes(
                     after[slot] = after.get(slot, 0) + n
             r = _Range(r.start, r.end, r.full, after)
             state.write(batch_id, r)
+        known.catch_up(spark, path, r.end)
         records = CH.change_records(
-            spark, path, acts, r.end, capture_ts, positions, seq_start=offsets, from_version=r.start
+            spark, path, acts, r.end, capture_ts, positions, seq_start=offsets, from_version=r.start,
+            history=list(known.history),
         )
         writer(records, batch_id)
         if cursor_sink is not None and options.periodic_checkpoint:
