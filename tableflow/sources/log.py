@@ -1,9 +1,9 @@
 """The table log as a DataFrame of actions, and publishing new versions.
 
 A table is a folder of Parquet files with a ``_delta_log`` folder of JSON-lines files, one per version, named by
-the 20-digit version number. A file is read as one text value because an action's position inside its commit is
-part of every cursor. A log file holds one line per data file of one commit, so its size follows the file count of
-that commit and not the rows; replay, filtering and expansion after the split are spread over tasks.
+the 20-digit version number. An action's position inside its commit is part of every cursor. Log files of usual size
+are read as one text value and split into lines; if any is larger than WHOLE_FILE_BYTES, lines are read from file
+splits and numbered across them, so that no task ever holds a long commit.
 """
 
 from __future__ import annotations
@@ -20,12 +20,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tableflow import storage
-from tableflow.functions import schema as S
+from tableflow.operators import ordered
 from tableflow.options import EARLIEST, LATEST
 
 LOG_DIR = "_delta_log"
 STAGE_DIR = "_staged_commits"
 DATA_COMMIT = "_commit"
+WHOLE_FILE_BYTES = 32 << 20
 FOLDER_FILES = "folderFiles"  # tag: how many files were published in the action's commit folder
 
 ACTION_SCHEMA = """
@@ -52,10 +53,15 @@ def file_name(version: int) -> str:
 
 
 def log_versions(spark: SparkSession, path: str) -> DataFrame:
-    """(version, log_ts) of every log file, from the listing alone."""
+    """(version, log_ts, bytes) of every log file, from the listing alone."""
     listed = spark.read.format("binaryFile").option("pathGlobFilter", "[0-9]*.json").load(log_dir(path))
     name = F.substring_index(F.substring_index("path", "/", -1), ".", 1)
-    return listed.select(name.cast("bigint").alias("version"), F.unix_millis("modificationTime").alias("log_ts"))
+    return listed.select(name.cast("bigint").alias("version"), F.unix_millis("modificationTime").alias("log_ts"),
+                         F.col("length").alias("bytes"))
+
+
+# Log files never change, so the largest one up to a version is looked up once: (application, path) -> (version, bytes).
+_largest: dict[tuple[str, str], tuple[int, int]] = {}
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
@@ -66,10 +72,11 @@ def version_bounds(spark: SparkSession, path: str) -> tuple[int, int]:
     """(first, latest) version; raises LogError without a log."""
     if not table_exists(spark, path):
         raise LogError(f"no table log under {path}")
-    r = log_versions(spark, path).agg(F.min("version"), F.max("version")).first()
-    if r[0] is None:
+    first, last, largest = log_versions(spark, path).agg(F.min("version"), F.max("version"), F.max("bytes")).first()
+    if first is None:
         raise LogError(f"empty table log under {path}")
-    return r[0], r[1]
+    _largest[spark.sparkContext.applicationId, path.rstrip("/")] = (last, largest)
+    return first, last
 
 
 def latest_version(spark: SparkSession, path: str) -> int:
@@ -77,37 +84,48 @@ def latest_version(spark: SparkSession, path: str) -> int:
     return version_bounds(spark, path)[1] if table_exists(spark, path) else -1
 
 
-def raw_log(spark: SparkSession, path: str, from_version: int = 0, to_version: int | None = None) -> DataFrame:
-    """Log files of a version range as text; the name filter prunes the file listing."""
-    raw = spark.read.option("pathGlobFilter", "[0-9]*.json").text(log_dir(path), wholetext=True)
+def _has_long_commits(spark: SparkSession, path: str, to_version: int | None) -> bool:
+    key = (spark.sparkContext.applicationId, path.rstrip("/"))
+    if to_version is None or key not in _largest or _largest[key][0] < to_version:
+        version_bounds(spark, path)
+    return _largest[key][1] > WHOLE_FILE_BYTES
+
+
+def log_lines(spark: SparkSession, path: str, from_version: int = 0, to_version: int | None = None) -> DataFrame:
+    """(version, log_ts, idx, line) of a version range; the file name filter prunes the listing."""
+    reader = spark.read.option("pathGlobFilter", "[0-9]*.json")
+    long = _has_long_commits(spark, path, to_version)
+    raw = reader.text(log_dir(path), wholetext=not long)
     name = F.col("_metadata.file_name")
     if from_version > 0:
         raw = raw.where(name >= file_name(from_version))
     if to_version is not None:
         raw = raw.where(name <= file_name(to_version))
-    return raw.select("value", name.alias("file_name"),
-                      F.unix_millis(F.col("_metadata.file_modification_time")).alias("log_ts"))
-
-
-def parse_log(raw: DataFrame, containing: str | None = None) -> DataFrame:
-    """One row per log line: version, position in the commit, and the parsed action.
-
-    ``containing`` drops lines without that text before the JSON is parsed.
-    """
-    lines = raw.select(
-        F.substring_index("file_name", ".", 1).cast("bigint").alias("version"),
-        "log_ts",
-        F.posexplode(F.split("value", "\n")).alias("idx", "line"),
-    ).where(F.trim("line") != "")
+    version = F.substring_index(name, ".", 1).cast("bigint").alias("version")
+    log_ts = F.unix_millis(F.col("_metadata.file_modification_time")).alias("log_ts")
+    if long:
+        # a split is a bounded stretch of a file: number lines inside it and add the lines of earlier splits
+        lines = raw.select(version, log_ts, F.col("value").alias("line"), F.monotonically_increasing_id().alias("at"),
+                           F.col("_metadata.file_block_start").alias(ordered.BUCKET))
+        lines = ordered.add_rank(lines, "at", by=["version"], name="idx").drop("at", ordered.BUCKET)
+    else:
+        lines = raw.select("value", version, log_ts).select(
+            "version", "log_ts", F.posexplode(F.split("value", "\n")).alias("idx", "line")
+        )
+    return lines.where(F.trim("line") != "").select("version", "log_ts", F.col("idx").cast("bigint").alias("idx"), "line")
+
+
+def parse_log(lines: DataFrame, containing: str | None = None) -> DataFrame:
+    """The parsed action of each log line. ``containing`` drops lines without that text before parsing."""
     if containing:
         lines = lines.where(F.col("line").contains(containing))
-    parsed = lines.select("version", F.col("idx").cast("bigint").alias("idx"), "log_ts",
-                          F.from_json("line", ACTION_SCHEMA).alias("a"))
-    return parsed.select("version", "idx", "log_ts", "a.*")
+    return lines.select("version", "idx", "log_ts", F.from_json("line", ACTION_SCHEMA).alias("a")).select(
+        "version", "idx", "log_ts", "a.*"
+    )
 
 
 def actions(spark: SparkSession, path: str, from_version: int = 0, to_version: int | None = None) -> DataFrame:
-    return parse_log(raw_log(spark, path, from_version, to_version))
+    return parse_log(log_lines(spark, path, from_version, to_version))
 
 
 def file_actions(parsed: DataFrame, include_rewrites: bool = True) -> DataFrame:
@@ -159,7 +177,7 @@ class Epoch:
 def epochs(spark: SparkSession, path: str, to_version: int | None = None, from_version: int = 0) -> list[Epoch]:
     """Schema history up to a version. There is one entry per schema change, so it is read to the driver."""
     rows = (
-        parse_log(raw_log(spark, path, from_version, to_version), containing='"metaData"')
+        parse_log(log_lines(spark, path, from_version, to_version), containing='"metaData"')
         .where("metaData is not null")
         .select("version", "idx", "metaData.schemaString", "metaData.partitionColumns")
         .orderBy("version", "idx")
@@ -214,7 +232,7 @@ def schema_at(history: Sequence[Epoch], version: int) -> Epoch:
 def commit_times(spark: SparkSession, path: str) -> DataFrame:
     """(version, commit_ts): the commit's own timestamp, else its log file's."""
     return (
-        parse_log(raw_log(spark, path), containing='"commitInfo"')
+        parse_log(log_lines(spark, path), containing='"commitInfo"')
         .groupBy("version")
         .agg(F.max("commitInfo.timestamp").alias("own"))
         .join(log_versions(spark, path), "version", "right")
@@ -376,7 +394,7 @@ def committed_parts(spark: SparkSession, path: str, app_id: str, batch_id: int)
     """Parts of a batch that are in the log already."""
     if not table_exists(spark, path):
         return set()
-    txns = parse_log(raw_log(spark, path), containing='"txn"').where(
+    txns = parse_log(log_lines(spark, path), containing='"txn"').where(
         (F.col("txn.appId") == app_id) & (F.col("txn.version") == batch_id)
     )
     return {r[0] for r in txns.select("txn.part").distinct().collect()}

@@ -142,3 +142,22 @@ def test_skewed_partition_is_split(spark, table_path):
         spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
     files = dict(L.file_actions(L.actions(spark, table_path)).groupBy(F.col("pv")["p"]).count().collect())
     assert files["hot"] >= 4 and SN.snapshot(spark, table_path).count() == 400_000
+
+
+def test_long_commits_are_read_by_split(spark, table_path, monkeypatch):
+    """Line numbers agree whether a log file is read whole or in splits of a few lines."""
+    for v in range(3):
+        log(table_path, v, info(v), meta([("a", "long")]), *[add(f"f{v}-{i}.parquet", i) for i in range(200 + v)])
+    cols = ["version", "idx", "add.path", "add.size"]
+    whole = {tuple(r) for r in L.actions(spark, table_path).select(*cols).collect()}
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    monkeypatch.setattr(L, "WHOLE_FILE_BYTES", 0)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "3000b")
+    try:
+        lines = L.actions(spark, table_path)
+        assert "wholetext" not in lines._jdf.queryExecution().toString()
+        split = {tuple(r) for r in lines.select(*cols).collect()}
+        some = L.actions(spark, table_path, 1, 1).count()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert split == whole and len(whole) == 609 and some == 203
