@@ -128,9 +128,13 @@ def resume_filter(actions: DataFrame, checkpoints: DataFrame, inclusive: bool =
 
 def acknowledged(records: DataFrame) -> DataFrame:
     """The furthest cursor per slot among handled change records, in stored form (one row per slot)."""
-    pos = position(F.col("_is_full"), F.col("_version"), F.col("_action_idx"), F.col("_row_num"))
     seq = F.col("_seq") if "_seq" in records.columns else F.lit(0)
-    best = records.groupBy("_slot").agg(F.max(F.struct(pos.alias("p"), seq.cast("bigint").alias("seq"))).alias("m"))
+    # rows are reduced by a hash aggregate over plain numbers first; the struct is compared per file only
+    files = records.groupBy("_slot", "_is_full", "_version", "_action_idx").agg(
+        F.max("_row_num").alias("_row_num"), F.max(seq.cast("bigint")).alias("seq")
+    )
+    pos = position(F.col("_is_full"), F.col("_version"), F.col("_action_idx"), F.col("_row_num"))
+    best = files.groupBy("_slot").agg(F.max(F.struct(pos.alias("p"), F.col("seq"))).alias("m"))
     return best.select(
         F.col("_slot").alias("slot"),
         state_key_column(F.col("_slot")).alias("state_key"),

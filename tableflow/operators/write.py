@@ -41,12 +41,14 @@ def write_files(
     sort_by: Sequence[str] = (),
     rows: int | None = None,
     multi_commit: bool = False,
+    rows_per_file: int = 0,
 ) -> None:
     """Write rows under ``path``; nothing is visible to readers until the files are published.
 
     ``df`` carries the column ``_commit``, the token of the commit each row belongs to. Partitioned writes are
     rebalanced on the partition columns: small values end in one file each, while AQE splits a value that holds much
     of the data over many tasks. Unpartitioned writes need no shuffle; ``rows`` only merges tiny tasks.
+    ``rows_per_file`` starts a new file after that many rows.
     """
     physical = {f.name: S.physical_name(f) for f in schema.fields}
     keys = [L.DATA_COMMIT, *[physical[c] for c in partition_columns]]
@@ -57,7 +59,10 @@ def write_files(
         out = out.coalesce(max(1, -(-rows // TARGET_ROWS_PER_FILE)))
     if sort_by:
         out = out.sortWithinPartitions(*keys, *sort_by)
-    out.write.mode("append").partitionBy(*keys).option("compression", compression).parquet(path)
+    writer = out.write.mode("append").partitionBy(*keys).option("compression", compression)
+    if rows_per_file > 0:
+        writer = writer.option("maxRecordsPerFile", rows_per_file)
+    writer.parquet(path)
 
 
 def written_files(
@@ -142,6 +147,9 @@ def append(
         stamp = min(timestamps.values()) if timestamps else None
         create_table(spark, path, schema, partition_columns, stamp)
     current = L.epochs(spark, path)[-1]
+    unknown = [c for c in data.columns if c not in current.schema.fieldNames()]
+    if unknown:
+        raise S.UnsupportedSchema(f"the table has no columns {unknown}")
     groups = [None] if commit_by is None else [r[0] for r in df.select(commit_by).distinct().orderBy(commit_by).collect()]
     tokens = {g: new_token() for g in groups}
     if commit_by is None:

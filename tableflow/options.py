@@ -101,6 +101,7 @@ class IngestOptions:
     commit_failures: int = COMMIT_FAILURES
     field_name: str = ""
     compression: str = "snappy"
+    records_per_file: int = 0
     app_id: str = "tableflow-ingest"
     record_key: str = ""
     partition_path: str = ""

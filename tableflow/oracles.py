@@ -132,6 +132,13 @@ ORACLES: dict[str, str] = {
         run AS (SELECT *, coalesce(sum(n_rows) OVER (ORDER BY version ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
                 AS before FROM per)
         SELECT version, n_rows FROM run WHERE before < (SELECT count(*) // 2 FROM orders) OR before = 0""",
+    "read_round": f"""
+        WITH f AS (SELECT {_VERSION} AS version, {_IDX} AS idx, count(*) AS n_rows FROM orders GROUP BY ALL),
+        s AS (SELECT *, coalesce(sum(n_rows) OVER (ORDER BY version, idx ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+              AS before, (SELECT count(*) FROM orders) AS total FROM f)
+        SELECT version, idx, n_rows FROM s
+        WHERE before = 0 OR (before < total // 3 AND (before + n_rows < total // 3
+                                                      OR (before + n_rows) * 8 < total * 8 * 4 // 5))""",
     "schema_by_name": """
         SELECT c_custkey, TRY_CAST(c_name AS BIGINT) AS c_name, CAST(c_acctbal AS VARCHAR) AS c_acctbal,
                CAST(NULL AS VARCHAR) AS c_phone, CAST(c_nationkey AS BIGINT) AS c_nationkey FROM customer""",

@@ -210,11 +210,11 @@ def _unit_rows(decoded: DataFrame, kind: _Kind, options: IngestOptions) -> DataF
     columns = [F.col(f"_row.`{f.name}`").alias(f.name) for f in kind.schema.fields]
     if options.layout != "keyed":
         return good.select(*columns, L.DATA_COMMIT)
-    rows = good.select(*columns, "msg_id", L.DATA_COMMIT)
+    rows = good.select(*columns, F.col("msg_id").alias("__msg_id"), L.DATA_COMMIT)
     if options.partition_path:
         rows = rows.withColumn(PARTITION_PATH, records.record_key(options.partition_path))
     rows = rows.withColumn("__key", records.record_key(options.record_key))
-    return keyed.last_per_key(rows, "__key", "msg_id", [L.DATA_COMMIT]).drop("__key", "msg_id")
+    return keyed.last_per_key(rows, "__key", "__msg_id", [L.DATA_COMMIT]).drop("__key", "__msg_id")
 
 
 def _tag(spark: SparkSession, rows: DataFrame, parts: list[_Part]) -> DataFrame:
@@ -321,7 +321,7 @@ def _write_parts(
         watched = decoded.observe(seen, F.count(F.lit(1)).alias("total"), F.count(D.REASON).alias("errors"))
         W.write_files(
             _unit_rows(watched, kind, options), path, target, partition_columns, options.compression,
-            rows=sum(p.rows for p in mine), multi_commit=len(mine) > 1,
+            rows=sum(p.rows for p in mine), multi_commit=len(mine) > 1, rows_per_file=options.records_per_file,
         )
         counts = seen.get
         result.accepted += counts["total"] - counts["errors"]

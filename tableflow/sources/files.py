@@ -18,7 +18,12 @@ from tableflow.sources.log import DATA_COMMIT, Epoch, epoch_column
 BROADCAST_BYTES = 64 << 20
 ACTION_OVERHEAD = 200
 
-ROW, URI = "_row_num", "__uri"
+ROW, URI = "__row_num", "__uri"
+
+
+def action_column(name: str) -> str:
+    """Name of an action's column next to table columns, which may be called anything."""
+    return f"__action_{name}"
 
 
 def read_schema(history: Sequence[Epoch], partition_columns: Sequence[str] = ()) -> T.StructType | None:
@@ -93,7 +98,7 @@ def scan_list(acts: DataFrame, root: str) -> ScanList:
     also tells how many bytes of actions each scan will broadcast, and more than BROADCAST_BYTES make several scans.
     An optional column ``regular`` is reported back when it holds for all actions.
     """
-    weight = F.length("uri") + F.length(F.coalesce(F.to_json("pv"), F.lit(""))) + ACTION_OVERHEAD
+    weight = F.length("uri") + 2 * F.length(F.coalesce(F.to_json("pv"), F.lit(""))) + ACTION_OVERHEAD
     regular = F.col("regular") if "regular" in acts.columns else F.lit(False)
     files = acts.groupBy("location", "folder").agg(
         F.first("hash").alias("hash"), F.first("folder_hash").alias("folder_hash"),
@@ -125,10 +130,11 @@ def scan_list(acts: DataFrame, root: str) -> ScanList:
 
 def partition_value(name: str, data_type: T.DataType, from_file: Column | None) -> Column:
     """A partition column: the log's value where it has one, else what the file holds."""
-    logged = F.try_element_at("pv", F.lit(name)).cast(data_type)
+    values = action_column("pv")
+    logged = F.try_element_at(values, F.lit(name)).try_cast(data_type)
     if from_file is None:
         return logged
-    return F.when(F.map_contains_key("pv", name), logged).otherwise(from_file.cast(data_type))
+    return F.when(F.map_contains_key(values, name), logged).otherwise(from_file.cast(data_type))
 
 
 def expand(
@@ -136,14 +142,15 @@ def expand(
 ) -> DataFrame:
     """One row per table row of every file action.
 
-    ``acts`` needs ``path, pv, version``, may carry ``min_row`` (first wanted row), and keeps the ``keep`` columns.
+    ``acts`` needs ``path, pv, version`` and may carry ``min_row`` (first wanted row). The ``keep`` columns come along
+    under their ``action_column`` names.
     A value shows only if the schema in force at the action's version has its column. Rows are not shuffled: each
     scan joins to its own actions by a broadcast of bounded size.
     """
     if "uri" not in acts.columns:
         acts = with_locations(spark, acts, path)
     skips = ["min_row"] if "min_row" in acts.columns else []
-    acts = acts.withColumn("__epoch", epoch_column(F.col("version"), history))
+    acts = acts.withColumn("epoch", epoch_column(F.col("version"), history))
     whole = read_schema(history)
     if whole is not None:
         parts = [(acts, whole, None)]
@@ -159,17 +166,21 @@ def expand(
             if not paths:
                 continue
             chunk = part if n == 1 else part.where(F.pmod(todo.key, F.lit(n)) == i)
-            side = chunk.select(F.col("uri").alias(URI), "pv", "__epoch", *skips, *keep)
+            side = chunk.select(
+                F.col("uri").alias(URI), *[F.col(c).alias(action_column(c)) for c in ("pv", "epoch", *skips, *keep)]
+            )
             scan = row_scan(spark, paths, file_schema, path if todo.in_folders else None)
             rows = scan.join(F.broadcast(side), URI)
             if skips:
-                rows = rows.where(F.col(ROW) >= F.col("min_row"))
+                rows = rows.where(F.col(ROW) >= F.col(action_column("min_row")))
             picked = rows.select(
-                *[_value(f, history, file_schema, written is not None) for f in columns.fields], *keep, ROW
+                *[_value(f, history, file_schema, written is not None) for f in columns.fields],
+                *[action_column(c) for c in keep], ROW,
             )
             out = picked if out is None else out.unionByName(picked)
     if out is None:
-        empty = T.StructType([*columns.fields, *[acts.schema[k] for k in keep], T.StructField(ROW, T.LongType())])
+        kept = [T.StructField(action_column(k), acts.schema[k].dataType) for k in keep]
+        empty = T.StructType([*columns.fields, *kept, T.StructField(ROW, T.LongType())])
         return spark.createDataFrame([], T.StructType([T.StructField(f.name, f.dataType, True) for f in empty.fields]))
     return out
 
@@ -194,7 +205,7 @@ def _value(field: T.StructField, history: Sequence[Epoch], file_schema: T.Struct
             if file_schema[physical].dataType != wanted:
                 value = raw.try_cast(wanted) if try_types else raw.cast(wanted)
         if len(numbers) < len(history):
-            value = F.when(F.col("__epoch").isin(numbers), value)
+            value = F.when(F.col(action_column("epoch")).isin(numbers), value)
             out = value if out is None else F.coalesce(out, value)
         else:
             out = value

@@ -293,6 +293,14 @@ def admission_round(spark, sf):
     return CH.admit(acts, 1, cap, "num_records").groupBy("version").agg(F.sum("num_records").alias("n_rows"))
 
 
+def read_round(spark, sf):
+    """Files of one read round, its row cap a third and its byte cap four fifths of the total, counting 8 bytes a row."""
+    path = orders_history(spark, sf)
+    acts = CH.with_row_counts(spark, path, CH.incremental_actions(spark, path, 1, 7)).withColumn("size", F.col("n_rows") * 8)
+    total = acts.agg(F.sum("n_rows")).first()[0]
+    return CH.read_round(acts, total // 3, total * 8 * 4 // 5).select("version", "idx", "n_rows")
+
+
 def schema_by_name(spark, sf):
     wanted = T.StructType([
         T.StructField("c_custkey", T.LongType()), T.StructField("c_name", T.LongType()),
@@ -523,7 +531,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         snapshot_as_of_version, snapshot_as_of_timestamp, snapshot_with_removes, snapshot_filtered, start_position,
         changes_incremental, changes_full_then_incremental, changes_resume_row_level, changes_resume_per_slot,
         changes_envelope, changes_owned_slots, changes_pruned_partition, changes_with_rewrites, changes_without_rewrites,
-        slot_routing, murmur_hash, slot_sequence, row_index_eof, file_row_counts, admission_round, schema_by_name,
+        slot_routing, murmur_hash, slot_sequence, row_index_eof, file_row_counts, admission_round, read_round, schema_by_name,
         schema_positional, schema_epochs, evolve_type_change, type_bridge, partition_path_values, decode_json_events,
         reject_reasons, reject_side_output, wrap_primitive, unwrap_primitive, record_keys, acknowledged_cursors,
         commit_groups, schema_runs, append_roundtrip, partitioned_roundtrip, evolve_replace, evolve_by_name,

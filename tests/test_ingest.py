@@ -231,3 +231,17 @@ def test_compression(spark, tmp_path, codec):
     name = L.file_actions(L.actions(spark, path)).first()["path"]
     assert codec == "uncompressed" or {"gzip": "gz"}.get(codec, codec) in name
     assert SN.snapshot(spark, path).count() == 5
+
+
+def test_field_names_like_internal_ones(spark, table_path):
+    names = ["msg_id", "ts", "op", "path", "pv", "version", "idx", "slot", "schema", "payload", "epoch", "min_row"]
+    schema = json.dumps({"type": "record", "name": "r", "fields": [{"name": n, "type": "int"} for n in names]})
+    rows = [{n: 100 * i + j for j, n in enumerate(names)} for i in range(3)]
+    m = messages(spark, (schema, rows))
+    for layout, extra in (("append", {"partition_columns": ["op"]}), ("keyed", {"record_key": "msg_id"})):
+        path = f"{table_path}-{layout}"
+        I.ingest_batch(m, IngestOptions(layout, path, **extra))
+        want = sorted(tuple(r[n] for n in names) for r in rows)
+        assert sorted(map(tuple, SN.snapshot(spark, path).select(*names).collect())) == want
+        feed = CH.changes(spark, path, 0, n_slots=2, positions=True)
+        assert sorted(map(tuple, feed.select(*names).collect())) == want

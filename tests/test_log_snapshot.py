@@ -161,3 +161,38 @@ def test_long_commits_are_read_by_split(spark, table_path, monkeypatch):
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
     assert split == whole and len(whole) == 609 and some == 203
+
+
+def test_typed_partition_values(spark, table_path):
+    df = spark.sql("""select * from values
+        (1, date'2020-01-02', timestamp'2020-01-02 03:04:05.678', true, 1.50bd, 7l, '007'),
+        (2, cast(null as date), cast(null as timestamp), cast(null as boolean), cast(null as decimal(3,2)), cast(null as bigint), '1e3')
+        as t(id, d, ts, b, n, l, s)""")
+    W.append(spark, table_path, df, ["d", "ts", "b", "n", "l", "s"])
+    want = sorted(map(tuple, df.collect()))
+    assert sorted(map(tuple, SN.snapshot(spark, table_path).collect())) == want
+    from tableflow.operators import changes as CH
+
+    feed = CH.changes(spark, table_path, 0)
+    assert sorted(map(tuple, feed.select(*df.columns).collect())) == want
+
+
+def test_append_refuses_unknown_columns(spark, table_path):
+    W.append(spark, table_path, spark.range(3))
+    with pytest.raises(S.UnsupportedSchema):
+        W.append(spark, table_path, spark.range(3).withColumn("x", F.lit(1)))
+
+
+def test_rows_per_file(spark, table_path):
+    W.create_table(spark, table_path, spark.range(1).schema)
+    now = L.epochs(spark, table_path)[-1]
+    W.write_files(spark.range(100).coalesce(1).withColumn(L.DATA_COMMIT, F.lit("t")), table_path, now.schema, rows_per_file=30)
+    assert W.written_files(spark, table_path, ["t"], now.schema).count() == 4
+
+
+def test_storage_options(spark):
+    from tableflow.options import FeedOptions
+
+    o = FeedOptions.load({"type": "delta", "tablePath": "/t", "hadoop.fs.tableflow.test": "yes"})
+    L.storage_options(spark, o.storage)
+    assert storage._conf(spark).get("fs.tableflow.test") == "yes"
