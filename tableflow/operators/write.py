@@ -142,29 +142,31 @@ def append(
     published version by version. The column itself is not stored. ``timestamps`` fixes commit times per value.
     """
     data = df.drop(commit_by) if commit_by else df
-    schema = S.plain_type(data.schema)
-    if not L.table_exists(spark, path):
+    start: list[L.Commit] = []
+    if L.table_exists(spark, path):
+        now = L.epochs(spark, path)[-1]
+        schema, partition_columns = now.schema, now.partition_columns
+        unknown = [c for c in data.columns if c not in schema.fieldNames()]
+        if unknown:
+            raise S.UnsupportedSchema(f"the table has no columns {unknown}")
+    else:
+        schema = S.plain_type(data.schema)
         stamp = min(timestamps.values()) if timestamps else None
-        create_table(spark, path, schema, partition_columns, stamp)
-    current = L.epochs(spark, path)[-1]
-    unknown = [c for c in data.columns if c not in current.schema.fieldNames()]
-    if unknown:
-        raise S.UnsupportedSchema(f"the table has no columns {unknown}")
+        start.append(L.Commit(new_token(), "CREATE TABLE", schema, tuple(partition_columns), None, stamp))
     groups = [None] if commit_by is None else [r[0] for r in df.select(commit_by).distinct().orderBy(commit_by).collect()]
     tokens = {g: new_token() for g in groups}
     if commit_by is None:
         tagged = data.withColumn(L.DATA_COMMIT, F.lit(tokens[None]))
     else:
-        names = spark.createDataFrame([(g, t) for g, t in tokens.items()],
-                                      T.StructType([df.schema[commit_by], T.StructField(L.DATA_COMMIT, T.StringType())]))
-        tagged = df.join(F.broadcast(names), commit_by).drop(commit_by)  # one row per commit
-    write_files(tagged, path, current.schema, current.partition_columns, compression, sort_by,
-                multi_commit=commit_by is not None)
+        kind = T.StructField("__group", df.schema[commit_by].dataType)
+        names = spark.createDataFrame(list(tokens.items()), T.StructType([kind, T.StructField(L.DATA_COMMIT, T.StringType())]))
+        same = F.col(commit_by).eqNullSafe(F.col("__group"))
+        tagged = df.join(F.broadcast(names), same).drop(commit_by, "__group")  # one row per commit
+    write_files(tagged, path, schema, partition_columns, compression, sort_by, multi_commit=commit_by is not None)
     stamps = {tokens[g]: (timestamps or {}).get(g) for g in groups}
-    return publish_written(
-        spark, path, current.schema, current.partition_columns,
-        [L.Commit(t, "WRITE", timestamp=stamps[t]) for t in tokens.values()],
-    )
+    commits = start + [L.Commit(t, "WRITE", timestamp=stamps[t]) for t in tokens.values()]
+    done = publish_written(spark, path, schema, partition_columns, commits, after=-1 if start else None)
+    return done[len(start):]
 
 
 def publish_written(

@@ -328,11 +328,9 @@ def _write_parts(
         bad += counts["errors"]
         if counts["errors"]:
             decode_rejects.append(decoded.where(F.col(D.REASON).isNotNull()).withColumnRenamed(D.REASON, "reason"))
-    if not history:
-        W.create_table(spark, path, first, partition_columns, timestamp)
-        state.version = 0
-        state.learn(0, first, partition_columns)
     commits = []
+    if not history:
+        commits.append(L.Commit(W.new_token(), "CREATE TABLE", first, partition_columns, None, timestamp))
     for p in todo:
         if p.changes_schema:
             commits.append(L.Commit(W.new_token(), "UPGRADE SCHEMA", p.target, partition_columns, None, timestamp))
@@ -344,7 +342,7 @@ def _write_parts(
     state.version = out[-1] if out else state.version
     rejected += decode_rejects
     result.rejected += bad
-    return out
+    return [v for v in out if v > 0]  # version 0 only creates the table
 
 
 def _deliver_rejects(rejected: list[DataFrame], sink: RejectSink | None, batch_id: int, count: int) -> None:

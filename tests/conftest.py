@@ -10,7 +10,7 @@ from tableflow.session import new_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    s = new_session("tableflow-tests", "local[8]", shuffle_partitions=8, driver_memory="8g")
+    s = new_session("tableflow-tests", "local[8]", shuffle_partitions=2, driver_memory="8g")
     s.sparkContext.setLogLevel("ERROR")
     yield s
     s.stop()

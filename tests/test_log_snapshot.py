@@ -196,3 +196,10 @@ def test_storage_options(spark):
     o = FeedOptions.load({"type": "delta", "tablePath": "/t", "hadoop.fs.tableflow.test": "yes"})
     L.storage_options(spark, o.storage)
     assert storage._conf(spark).get("fs.tableflow.test") == "yes"
+
+
+def test_commit_by_keeps_null_groups(spark, table_path):
+    df = spark.createDataFrame([(1, "a"), (2, None), (3, "b"), (4, None)], "id int, g string")
+    assert W.append(spark, table_path, df, commit_by="g") == [1, 2, 3]
+    assert sorted(r["id"] for r in SN.snapshot(spark, table_path).collect()) == [1, 2, 3, 4]
+    assert [r["id"] for r in SN.snapshot(spark, table_path, version=1).orderBy("id").collect()] == [2, 4]
