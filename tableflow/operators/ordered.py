@@ -20,15 +20,21 @@ QUANTILE_ACCURACY = 20_000
 BUCKET = "__bucket"
 
 
-def with_buckets(df: DataFrame, order: str, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+def with_buckets(
+    df: DataFrame, order: str, rows_per_bucket: int = ROWS_PER_BUCKET, n_rows: int | None = None
+) -> DataFrame:
     """Add ``__bucket``: numbers that grow with the order column, each with about ``rows_per_bucket`` rows.
 
     One pass over the order column finds row count and quantiles; at most MAX_BUCKETS cut points come back. The
-    order column is numeric and free of nulls and of long ties, as message ids are.
+    order column is numeric and free of nulls and of long ties, as message ids are. ``n_rows`` saves the pass when the
+    caller knows that one bucket will do.
     """
-    probe = [i / MAX_BUCKETS for i in range(1, MAX_BUCKETS)]
+    if n_rows is not None and n_rows <= rows_per_bucket:
+        return df.withColumn(BUCKET, F.lit(0.0))
+    probe = ", ".join(f"{i / MAX_BUCKETS}D" for i in range(1, MAX_BUCKETS))
     # the sketch is cheap next to a second pass, and is thinned out to the bucket count needed
-    n, cuts = df.agg(F.count(F.lit(1)), F.percentile_approx(order, probe, QUANTILE_ACCURACY)).first()
+    quantiles = F.expr(f"percentile_approx(`{order}`, array({probe}), {QUANTILE_ACCURACY})")
+    n, cuts = df.agg(F.count(F.lit(1)), quantiles).first()
     want = min(MAX_BUCKETS, -(-n // rows_per_bucket)) if n else 1
     if want <= 1:
         return df.withColumn(BUCKET, F.lit(0.0))
@@ -59,18 +65,19 @@ def add_rank(df: DataFrame, order: str, by: Sequence[str] = (), name: str = "_ra
 
 def commit_groups(
     df: DataFrame, order: str, records_per_commit: int, by: Sequence[str] = (), name: str = "_group",
-    rows_per_bucket: int = ROWS_PER_BUCKET,
+    rows_per_bucket: int = ROWS_PER_BUCKET, n_rows: int | None = None,
 ) -> DataFrame:
     """Number the commit each row falls into when every ``records_per_commit`` rows are committed."""
-    ranked = add_rank(with_buckets(df, order, rows_per_bucket), order, by, "__rank")
+    ranked = add_rank(with_buckets(df, order, rows_per_bucket, n_rows), order, by, "__rank")
     return ranked.withColumn(name, F.floor(F.col("__rank") / records_per_commit).cast("bigint")).drop("__rank", BUCKET)
 
 
 def schema_runs(
-    df: DataFrame, order: str, key: str, name: str = "_run", rows_per_bucket: int = ROWS_PER_BUCKET
+    df: DataFrame, order: str, key: str, name: str = "_run", rows_per_bucket: int = ROWS_PER_BUCKET,
+    n_rows: int | None = None,
 ) -> DataFrame:
     """Number the stretches of rows that share ``key`` in ``order``: every change of key starts a new one."""
-    bucketed = with_buckets(df, order, rows_per_bucket)
+    bucketed = with_buckets(df, order, rows_per_bucket, n_rows)
     ends = bucketed.groupBy(BUCKET).agg(F.max_by(F.struct(F.col(key).alias("k")), order).alias("__end"))
     carried = ends.select(BUCKET, F.lag("__end").over(Window.orderBy(BUCKET)).alias("__carry"))  # one row per bucket
     inside = Window.partitionBy(BUCKET).orderBy(order)

@@ -146,6 +146,7 @@ def _parts(rows: DataFrame, kinds: list[_Kind], options: IngestOptions) -> tuple
     and neither does a batch within the record limit.
     """
     by_start = sorted(kinds, key=lambda k: k.first)
+    total = sum(k.count for k in kinds)
     if all(a.last < b.first for a, b in zip(by_start, by_start[1:])):
         run_of = {k.number: i for i, k in enumerate(by_start)}
         run = F.lit(0)
@@ -154,7 +155,7 @@ def _parts(rows: DataFrame, kinds: list[_Kind], options: IngestOptions) -> tuple
         rows = rows.withColumn("_run", run.cast("bigint"))
         sizes = [(i, k, k.count) for i, k in enumerate(by_start)]
     else:
-        rows = ordered.schema_runs(rows, "msg_id", "_kind")
+        rows = ordered.schema_runs(rows, "msg_id", "_kind", n_rows=total)
         known = {k.number: k for k in kinds}
         found = rows.groupBy("_run").agg(F.first("_kind").alias("k"), F.count(F.lit(1)).alias("n")).collect()
         sizes = [(r["_run"], known[r["k"]], r["n"]) for r in sorted(found, key=lambda r: r["_run"])]
@@ -162,7 +163,7 @@ def _parts(rows: DataFrame, kinds: list[_Kind], options: IngestOptions) -> tuple
     if all(n <= limit for _, _, n in sizes):
         rows = rows.withColumn("_group", F.lit(0).cast("bigint"))
     else:
-        rows = ordered.commit_groups(rows, "msg_id", limit, by=["_run"])
+        rows = ordered.commit_groups(rows, "msg_id", limit, by=["_run"], n_rows=total)
     parts = []
     for run_no, k, n in sizes:
         for g in range(-(-n // limit)):
