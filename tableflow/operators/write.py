@@ -75,7 +75,7 @@ def written_files(
     root = storage.root_uri(spark, path)
     types = {f.name: f for f in schema.fields}
     part_fields = [T.StructField(S.physical_name(types[c]), T.StringType()) for c in partition_columns]
-    dirs = [f"{path.rstrip('/')}/{L.DATA_COMMIT}={t}" for t in tokens]
+    dirs = [storage.glob_safe(f"{path.rstrip('/')}/{L.DATA_COMMIT}={t}") for t in tokens]
     scan = (
         spark.read.schema(T.StructType([T.StructField(L.DATA_COMMIT, T.StringType()), *part_fields]))
         .option("basePath", path)

@@ -365,8 +365,3 @@ def reject_folder(path: str) -> RejectSink:
         df.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch={batch_id}")
 
     return write
-
-
-def observed_rejects(messages: DataFrame, schema: T.StructType) -> DataFrame:
-    """Every JSON message with its reject reason, null for usable ones."""
-    return D.decode_json(D.classify(messages), schema)

@@ -54,7 +54,7 @@ def file_name(version: int) -> str:
 
 def log_versions(spark: SparkSession, path: str) -> DataFrame:
     """(version, log_ts, bytes) of every log file, from the listing alone."""
-    listed = spark.read.format("binaryFile").option("pathGlobFilter", "[0-9]*.json").load(log_dir(path))
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", "[0-9]*.json").load(storage.glob_safe(log_dir(path)))
     name = F.substring_index(F.substring_index("path", "/", -1), ".", 1)
     return listed.select(name.cast("bigint").alias("version"), F.unix_millis("modificationTime").alias("log_ts"),
                          F.col("length").alias("bytes"))
@@ -95,7 +95,7 @@ def log_lines(spark: SparkSession, path: str, from_version: int = 0, to_version:
     """(version, log_ts, idx, line) of a version range; the file name filter prunes the listing."""
     reader = spark.read.option("pathGlobFilter", "[0-9]*.json")
     long = _has_long_commits(spark, path, to_version)
-    raw = reader.text(log_dir(path), wholetext=not long)
+    raw = reader.text(storage.glob_safe(log_dir(path)), wholetext=not long)
     name = F.col("_metadata.file_name")
     if from_version > 0:
         raw = raw.where(name >= file_name(from_version))

@@ -97,7 +97,7 @@ def tail_changes(
     if versions_per_trigger:
         log = log.option("maxFilesPerTrigger", versions_per_trigger)
     name = F.substring_index(F.substring_index("path", "/", -1), ".", 1)
-    names = log.load(L.log_dir(path)).select(name.cast("bigint").alias("version"))
+    names = log.load(storage.glob_safe(L.log_dir(path))).select(name.cast("bigint").alias("version"))
     known = L.TableState(-1, [])
 
     done: dict[int, _Range] = {}  # the last batch of this run; earlier ones are in the state folder

@@ -203,3 +203,14 @@ def test_commit_by_keeps_null_groups(spark, table_path):
     assert W.append(spark, table_path, df, commit_by="g") == [1, 2, 3]
     assert sorted(r["id"] for r in SN.snapshot(spark, table_path).collect()) == [1, 2, 3, 4]
     assert [r["id"] for r in SN.snapshot(spark, table_path, version=1).orderBy("id").collect()] == [2, 4]
+
+
+def test_odd_table_path(spark, tmp_path):
+    from tableflow.operators import changes as CH
+
+    path = str(tmp_path / "a b [1] 100%25 {x}")
+    W.append(spark, path, spark.range(10).selectExpr("id", "cast(id % 2 as string) p"), ["p"])
+    assert SN.snapshot(spark, path).where("p = '1'").count() == 5
+    W.remove(spark, path, SN.live(spark, path, 1).where("pv['p'] = '0'"), timestamp=1)
+    assert SN.snapshot(spark, path).count() == 5
+    assert CH.changes(spark, path, 0, positions=True).count() == 15
