@@ -76,3 +76,91 @@ def pieces(texts: list[str | None], tokenizer, length: int = 4096) -> list[list[
             for k, s in enumerate(range(0, len(ids), length))
         ])
     return out
+
+
+ASSIGN = re.compile(
+    r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", re.IGNORECASE | re.ASCII
+)
+SECRETS = [
+    ("assign", ASSIGN, lambda m: len(m[2]) >= 6),
+    ("access", re.compile("AKIA[A-Z0-9]+"), lambda m: len(m[0]) >= 20),
+    ("hex", re.compile("[0-9a-f]+"), lambda m: len(m[0]) >= 24),
+]
+
+
+def luhn(value: str) -> bool:
+    digits = [int(c) for c in value if c.isdigit()][::-1]
+    return sum(d if i % 2 == 0 else sum(divmod(2 * d, 10)) for i, d in enumerate(digits)) % 10 == 0
+
+
+def n_digits(s: str) -> int:
+    return sum(c in "0123456789" for c in s)
+
+
+PERSONAL = [
+    ("email", re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"), lambda m: True),
+    ("ip", re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"), lambda m: all(int(p) <= 255 for p in m[0].split("."))),
+    ("card", re.compile(r"[0-9]([\x20-]?[0-9])+"), lambda m: 16 <= n_digits(m[0]) <= 19 and luhn(m[0])),
+    ("phone", re.compile(r"\+[0-9][\x20().0-9-]+[0-9]"), lambda m: 8 <= n_digits(m[0]) <= 15),
+]
+
+
+def matches(text: str | None, forms) -> list[tuple[str, int, int]]:
+    return [(k, m.start(), m.end()) for k, p, ok in forms for m in p.finditer(text or "") if ok(m)]
+
+
+def base_spans(text: str | None, forms, by_start: bool) -> tuple:
+    found = matches(text, forms)
+    order = [k for k, _, _ in forms]
+    found.sort(key=lambda s: (s[1], order.index(s[0])) if by_start else (order.index(s[0]), s[1]))
+    counts = [sum(s[0] == k for s in found) for k in order]
+    return (*counts, sha(",".join(f"{k}:{s}:{e}" for k, s, e in found)))
+
+
+def without_repeats(texts: list[str | None], length: int = 400) -> list[tuple]:
+    raw = [(t or "").encode() for t in texts]
+    n = Counter(hash(b[i : i + length]) for b in raw for i in range(len(b) - length + 1))
+    out = []
+    for b in raw:
+        gone = bytearray(len(b))
+        end = 0
+        for i in range(len(b) - length + 1):
+            if n[hash(b[i : i + length])] > 1:
+                a = max(i, end)
+                gone[a : i + length] = b"\1" * (i + length - a)
+                end = i + length
+        spans = len(re.findall(b"\1+", bytes(gone)))
+        kept = bytes(c for c, g in zip(b, gone, strict=True) if not g)
+        out.append((len(b), sum(gone), spans, hashlib.sha256(kept).hexdigest()))
+    return out
+
+
+def shingles(text: str | None) -> set[tuple]:
+    w = WORD.findall(ascii_lower(text or ""))
+    return {tuple(w[i : i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else ({tuple(w)} if w else set())
+
+
+def jaccard_components(docs: list[tuple]) -> list[tuple]:
+    """(doc_id, n_shingles, component_id) per (doc_id, text), least ids leaving null out."""
+    sets = [shingles(t) for _, t in docs]
+    root = list(range(len(docs)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    by: dict[tuple, list[int]] = {}
+    for i, s in enumerate(sets):
+        seen = Counter(j for x in s for j in by.get(x, ()))
+        for j, o in seen.items():
+            if 100 * o >= 80 * (len(s) + len(sets[j]) - o):
+                root[find(i)] = find(j)
+        for x in s:
+            by.setdefault(x, []).append(i)
+    least: dict[int, int] = {}
+    for i, (d, _) in enumerate(docs):
+        if d is not None:
+            r = find(i)
+            least[r] = min(d, least.get(r, d))
+    return [(d, len(sets[i]), least.get(find(i))) for i, (d, _) in enumerate(docs)]
