@@ -231,22 +231,22 @@ def evolve_by_name(
 ) -> T.StructType:
     """Drop columns no longer sent and put each new one after its left neighbour; kept columns keep their type.
 
-    ``used_names`` are the physical names of all earlier schemas. A new column whose name was used before gets a
-    fresh physical name, so that values from the dropped column stay hidden.
+    ``used_names`` are the physical names of all earlier schemas. A new column whose name was used before, in any
+    case, gets a fresh physical name, so that values from the dropped column stay hidden.
     """
     added, removed = schema_difference(table, incoming)
     if not added and not removed:
         return table
     fields = [f for f in table.fields if f.name not in set(removed)]
-    taken = set(used_names) | {physical_name(f) for f in table.fields}
+    taken = {n.lower() for n in [*used_names, *map(physical_name, table.fields)]}
     left = None
     for new in incoming.fields:
         if new.name in set(added):
             physical, n = new.name, 1
-            while physical in taken:
+            while physical.lower() in taken:
                 n += 1
                 physical = f"{new.name}__{n}"
-            taken.add(physical)
+            taken.add(physical.lower())
             meta = {PHYSICAL: physical} if physical != new.name else {}
             at = 0 if left is None else [f.name for f in fields].index(left) + 1
             fields.insert(at, T.StructField(new.name, new.dataType, True, meta))

@@ -20,6 +20,7 @@ BAD_TYPE = "unsupported schema type"
 NO_PAYLOAD = "no payload"
 MALFORMED = "malformed payload"
 INCOMPLETE = "missing or null field"
+NO_KEY = "no record key"
 
 _CORRUPT = "__corrupt"
 

@@ -26,25 +26,29 @@ def with_buckets(
     """Add ``__bucket``: numbers that grow with the order column, each with about ``rows_per_bucket`` rows.
 
     One pass over the order column finds row count and quantiles; at most MAX_BUCKETS cut points come back. The
-    order column is numeric and free of nulls and of long ties, as message ids are. ``n_rows`` saves the pass when the
-    caller knows that one bucket will do.
+    order column is numeric and free of long ties, as message ids are. Rows without an order value come first, in a
+    bucket of their own, whatever the number of rows. ``n_rows`` saves the pass when the caller knows that one bucket
+    will do.
     """
+    only = F.when(F.col(order).isNull(), F.lit(-1.0)).otherwise(F.lit(0.0))
     if n_rows is not None and n_rows <= rows_per_bucket:
-        return df.withColumn(BUCKET, F.lit(0.0))
+        return df.withColumn(BUCKET, only)
     probe = ", ".join(f"{i / MAX_BUCKETS}D" for i in range(1, MAX_BUCKETS))
     # the sketch is cheap next to a second pass, and is thinned out to the bucket count needed
     quantiles = F.expr(f"percentile_approx(`{order}`, array({probe}), {QUANTILE_ACCURACY})")
     n, cuts = df.agg(F.count(F.lit(1)), quantiles).first()
     want = min(MAX_BUCKETS, -(-n // rows_per_bucket)) if n else 1
-    if want <= 1:
-        return df.withColumn(BUCKET, F.lit(0.0))
+    if want <= 1 or not cuts:
+        return df.withColumn(BUCKET, only)
     step = MAX_BUCKETS / want
     inner = sorted({float(cuts[min(len(cuts) - 1, max(0, round(i * step) - 1))]) for i in range(1, want)})
     splits = [float("-inf"), *inner, float("inf")]
     if len(splits) < 3:
-        return df.withColumn(BUCKET, F.lit(0.0))
+        return df.withColumn(BUCKET, only)
     as_double = df.withColumn("__order", F.col(order).cast("double"))
-    return Bucketizer(splits=splits, inputCol="__order", outputCol=BUCKET).transform(as_double).drop("__order")
+    cut = Bucketizer(splits=splits, inputCol="__order", outputCol=BUCKET, handleInvalid="keep").transform(as_double)
+    # the bucketizer's bucket for invalid values is the last one; they come first, as nulls sort
+    return cut.withColumn(BUCKET, F.when(F.col(order).isNull(), F.lit(-1.0)).otherwise(F.col(BUCKET))).drop("__order")
 
 
 def _earlier(summary: DataFrame, value: Column, by: Sequence[str], name: str) -> DataFrame:
@@ -78,7 +82,9 @@ def schema_runs(
 ) -> DataFrame:
     """Number the stretches of rows that share ``key`` in ``order``: every change of key starts a new one."""
     bucketed = with_buckets(df, order, rows_per_bucket, n_rows)
-    ends = bucketed.groupBy(BUCKET).agg(F.max_by(F.struct(F.col(key).alias("k")), order).alias("__end"))
+    # max_by passes over rows without an order value, which have a bucket of their own and no order among them
+    at = F.coalesce(F.col(order).cast("double"), F.lit(float("-inf")))
+    ends = bucketed.groupBy(BUCKET).agg(F.max_by(F.struct(F.col(key).alias("k")), at).alias("__end"))
     carried = ends.select(BUCKET, F.lag("__end").over(Window.orderBy(BUCKET)).alias("__carry"))  # one row per bucket
     inside = Window.partitionBy(BUCKET).orderBy(order)
     prev = F.coalesce(F.lag(F.struct(F.col(key).alias("k"))).over(inside), F.col("__carry"))

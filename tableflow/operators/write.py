@@ -14,8 +14,6 @@ from tableflow import storage
 from tableflow.functions import schema as S
 from tableflow.sources import log as L
 
-TARGET_ROWS_PER_FILE = 1_000_000
-
 
 def new_token() -> str:
     return uuid.uuid4().hex
@@ -39,7 +37,6 @@ def write_files(
     partition_columns: Sequence[str] = (),
     compression: str = "snappy",
     sort_by: Sequence[str] = (),
-    rows: int | None = None,
     multi_commit: bool = False,
     rows_per_file: int = 0,
 ) -> None:
@@ -47,7 +44,7 @@ def write_files(
 
     ``df`` carries the column ``_commit``, the token of the commit each row belongs to. Partitioned writes are
     rebalanced on the partition columns: small values end in one file each, while AQE splits a value that holds much
-    of the data over many tasks. Unpartitioned writes need no shuffle; ``rows`` only merges tiny tasks.
+    of the data over many tasks. Unpartitioned writes need no shuffle: as many tasks write as read.
     ``rows_per_file`` starts a new file after that many rows.
     """
     physical = {f.name: S.physical_name(f) for f in schema.fields}
@@ -55,8 +52,6 @@ def write_files(
     out = to_physical(df, schema, [L.DATA_COMMIT])
     if partition_columns or multi_commit:
         out = out.hint("rebalance", *keys)
-    elif rows is not None:
-        out = out.coalesce(max(1, -(-rows // TARGET_ROWS_PER_FILE)))
     if sort_by:
         out = out.sortWithinPartitions(*keys, *sort_by)
     writer = out.write.mode("append").partitionBy(*keys).option("compression", compression)

@@ -11,6 +11,7 @@ import warnings
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,6 +38,10 @@ class CommitFailed(RuntimeError):
     """The failure budget of a batch is used up."""
 
 
+class ReplayMismatch(RuntimeError):
+    """A batch id that the log knows came with other messages."""
+
+
 @dataclass
 class IngestResult:
     """What one batch did."""
@@ -205,6 +210,15 @@ def _decode(rows: DataFrame, kind: _Kind, options: IngestOptions) -> DataFrame:
     return D.decode_primitive(rows, kind.kind, options.field_name)
 
 
+def _keyed_only(decoded: DataFrame, options: IngestOptions) -> DataFrame:
+    """Rows without a record key are rejected: under one key they would replace each other."""
+    fields = [f"_row.{p.strip()}" for p in options.record_key.split(",")]
+    given = F.lit(False)
+    for f in fields:
+        given = given | (F.trim(F.coalesce(F.col(f).cast("string"), F.lit(""))) != "")
+    return decoded.withColumn(D.REASON, F.coalesce(F.col(D.REASON), F.when(~given, D.NO_KEY)))
+
+
 def _unit_rows(decoded: DataFrame, kind: _Kind, options: IngestOptions) -> DataFrame:
     """Table rows of accepted messages, with their commit token."""
     good = decoded.where(F.col(D.REASON).isNull())
@@ -234,13 +248,16 @@ def _tag(spark: SparkSession, rows: DataFrame, parts: list[_Part]) -> DataFrame:
 def ingest_batch(
     messages: DataFrame,
     options: IngestOptions,
-    batch_id: int = 0,
+    batch_id: int | None = None,
     reject_sink: RejectSink | None = None,
     check_replay: bool = True,
     timestamp: int | None = None,
     state: L.TableState | None = None,
 ) -> IngestResult:
-    """Ingest one batch; a repeated call with the same batch id and messages adds only what is missing.
+    """Ingest one batch, under the next batch id of the application if none is given.
+
+    A repeated call with the same batch id and messages adds only what is missing. The log keeps the least and greatest
+    message id and the number of messages of each batch, and a batch that differs from them is an error.
 
     Unusable messages go to ``reject_sink`` with a reason, or stop the batch with ``fail_fast``. A failing write or
     publish is tried again until the failure budget is used up. ``state`` is what the caller, as the only writer,
@@ -249,6 +266,8 @@ def ingest_batch(
     spark = messages.sparkSession
     path = options.table_path.rstrip("/")
     L.storage_options(spark, options.storage)
+    if batch_id is None:
+        batch_id, check_replay = L.last_batch(spark, path, options.app_id) + 1, False
     judged = D.classify(messages)
     kinds, dictionary, rejects = _kinds(judged, options)
     if rejects and options.fail_fast:
@@ -274,8 +293,8 @@ def ingest_batch(
                                     check_replay or failures > 0, timestamp, state)
                 published += done
                 break
-            except (D.RejectedMessage, S.UnsupportedSchema):
-                raise
+            except (D.RejectedMessage, S.UnsupportedSchema, ReplayMismatch, AnalysisException, TypeError, AttributeError):
+                raise  # another try would end the same way
             except Exception as e:
                 if options.fail_fast and "USER_RAISED_EXCEPTION" in str(e):
                     raise D.RejectedMessage(str(e)) from e
@@ -291,12 +310,21 @@ def ingest_batch(
     return result
 
 
+def _span(parts: list[_Part]) -> tuple[int, int, int]:
+    """Least and greatest message id and number of the usable messages."""
+    kinds = {p.kind.number: p.kind for p in parts}.values()
+    return min(k.first for k in kinds), max(k.last for k in kinds), sum(k.count for k in kinds)
+
+
 def _write_parts(
     spark: SparkSession, path: str, rows: DataFrame, parts: list[_Part], options: IngestOptions, batch_id: int,
     result: IngestResult, rejected: list[DataFrame], check_replay: bool, timestamp: int | None,
     state: L.TableState,
 ) -> list[int]:
-    done = L.committed_parts(spark, path, options.app_id, batch_id) if check_replay else set()
+    done = L.committed_parts(spark, path, options.app_id, batch_id) if check_replay else {}
+    span = _span(parts)
+    if any(seen != span for seen in done.values() if seen is not None):
+        raise ReplayMismatch(f"batch {batch_id} of {options.app_id} was {sorted(set(done.values()))}, now {span}")
     todo = [p for p in parts if p.number not in done]
     result.replayed = len(parts) - len(todo)
     if not todo:
@@ -315,6 +343,8 @@ def _write_parts(
         mine = [p for p in todo if p.unit == unit]
         kind, target = mine[0].kind, mine[0].target
         decoded = _decode(_tag(spark, rows, mine), kind, options)
+        if options.layout == "keyed":
+            decoded = _keyed_only(decoded, options)
         if options.fail_fast:
             reason = F.col(D.REASON)
             decoded = decoded.withColumn(D.REASON, F.when(reason.isNotNull(), F.raise_error(reason)))
@@ -322,7 +352,7 @@ def _write_parts(
         watched = decoded.observe(seen, F.count(F.lit(1)).alias("total"), F.count(D.REASON).alias("errors"))
         W.write_files(
             _unit_rows(watched, kind, options), path, target, partition_columns, options.compression,
-            rows=sum(p.rows for p in mine), multi_commit=len(mine) > 1, rows_per_file=options.records_per_file,
+            multi_commit=len(mine) > 1, rows_per_file=options.records_per_file,
         )
         counts = seen.get
         result.accepted += counts["total"] - counts["errors"]
@@ -335,7 +365,7 @@ def _write_parts(
     for p in todo:
         if p.changes_schema:
             commits.append(L.Commit(W.new_token(), "UPGRADE SCHEMA", p.target, partition_columns, None, timestamp))
-        commits.append(L.Commit(p.token, "WRITE", txn=(options.app_id, batch_id, p.number), timestamp=timestamp))
+        commits.append(L.Commit(p.token, "WRITE", txn=(options.app_id, batch_id, p.number, *span), timestamp=timestamp))
     out = W.publish_written(spark, path, todo[-1].target, partition_columns, commits, state.version)
     for c in commits:
         if c.schema is not None and c.version is not None:

@@ -27,11 +27,13 @@ LOG_DIR = "_delta_log"
 STAGE_DIR = "_staged_commits"
 DATA_COMMIT = "_commit"
 WHOLE_FILE_BYTES = 32 << 20
+READER_VERSION = 1
 FOLDER_FILES = "folderFiles"  # tag: how many files were published in the action's commit folder
 
 ACTION_SCHEMA = """
 commitInfo struct<timestamp:bigint, operation:string>,
-txn struct<appId:string, version:bigint, part:int, lastUpdated:bigint>,
+protocol struct<minReaderVersion:int, minWriterVersion:int>,
+txn struct<appId:string, version:bigint, part:int, low:bigint, high:bigint, messages:bigint, lastUpdated:bigint>,
 metaData struct<id:string, schemaString:string, partitionColumns:array<string>, createdTime:bigint>,
 add struct<path:string, partitionValues:map<string,string>, size:bigint, modificationTime:bigint,
            dataChange:boolean, stats:string, tags:map<string,string>>,
@@ -72,9 +74,13 @@ def version_bounds(spark: SparkSession, path: str) -> tuple[int, int]:
     """(first, latest) version; raises LogError without a log."""
     if not table_exists(spark, path):
         raise LogError(f"no table log under {path}")
-    first, last, largest = log_versions(spark, path).agg(F.min("version"), F.max("version"), F.max("bytes")).first()
+    first, last, largest, n = log_versions(spark, path).agg(
+        F.min("version"), F.max("version"), F.max("bytes"), F.count_distinct("version")
+    ).first()
     if first is None:
         raise LogError(f"empty table log under {path}")
+    if n != last - first + 1:
+        raise LogError(f"log of {path} has {n} of the versions {first} to {last}")
     _largest[spark.sparkContext.applicationId, path.rstrip("/")] = (last, largest)
     return first, last
 
@@ -93,7 +99,8 @@ def _has_long_commits(spark: SparkSession, path: str, to_version: int | None) ->
 
 def log_lines(spark: SparkSession, path: str, from_version: int = 0, to_version: int | None = None) -> DataFrame:
     """(version, log_ts, idx, line) of a version range; the file name filter prunes the listing."""
-    reader = spark.read.option("pathGlobFilter", "[0-9]*.json")
+    # both ways of reading cut lines at "\n" only, so that an action has the same number in either
+    reader = spark.read.option("pathGlobFilter", "[0-9]*.json").option("lineSep", "\n")
     long = _has_long_commits(spark, path, to_version)
     raw = reader.text(storage.glob_safe(log_dir(path)), wholetext=not long)
     name = F.col("_metadata.file_name")
@@ -175,14 +182,22 @@ class Epoch:
 
 
 def epochs(spark: SparkSession, path: str, to_version: int | None = None, from_version: int = 0) -> list[Epoch]:
-    """Schema history up to a version. There is one entry per schema change, so it is read to the driver."""
+    """Schema history up to a version. There is one entry per schema change, so it is read to the driver.
+
+    A log that asks for a newer reader is an error, since its other actions may mean more than is read here.
+    """
+    lines = log_lines(spark, path, from_version, to_version)
     rows = (
-        parse_log(log_lines(spark, path, from_version, to_version), containing='"metaData"')
-        .where("metaData is not null")
-        .select("version", "idx", "metaData.schemaString", "metaData.partitionColumns")
+        parse_log(lines.where(F.col("line").contains('"metaData"') | F.col("line").contains('"protocol"')))
+        .where("metaData is not null or protocol is not null")
+        .select("version", "idx", "metaData.schemaString", "metaData.partitionColumns", "protocol.minReaderVersion")
         .orderBy("version", "idx")
         .collect()
     )
+    newer = [r["minReaderVersion"] for r in rows if (r["minReaderVersion"] or 0) > READER_VERSION]
+    if newer:
+        raise LogError(f"{path} needs reader version {max(newer)}, this is {READER_VERSION}")
+    rows = [r for r in rows if r["schemaString"] is not None]
     last = {r["version"]: r for r in rows}  # the last one of a version counts
     return [
         Epoch(n, v, T.StructType.fromJson(json.loads(r["schemaString"])), tuple(r["partitionColumns"] or ()))
@@ -288,7 +303,7 @@ class Commit:
     operation: str = "WRITE"
     schema: T.StructType | None = None
     partition_columns: Sequence[str] = ()
-    txn: tuple[str, int, int] | None = None  # app id, batch id, part of the batch
+    txn: tuple | None = None  # app id, batch id, part of the batch, least and greatest message id, messages
     timestamp: int | None = None
     version: int | None = None  # set when published
 
@@ -298,8 +313,8 @@ class Commit:
         if first:
             lines.append({"protocol": {"minReaderVersion": 1, "minWriterVersion": 2}})
         if self.txn:
-            app, batch, part = self.txn
-            lines.append({"txn": {"appId": app, "version": batch, "part": part, "lastUpdated": at}})
+            names = ("appId", "version", "part", "low", "high", "messages")
+            lines.append({"txn": {**dict(zip(names, self.txn, strict=False)), "lastUpdated": at}})
         if self.schema is not None:
             lines.append({
                 "metaData": {
@@ -390,14 +405,24 @@ def publish(
     return out
 
 
-def committed_parts(spark: SparkSession, path: str, app_id: str, batch_id: int) -> set[int]:
-    """Parts of a batch that are in the log already."""
+def _txns(spark: SparkSession, path: str, app_id: str) -> DataFrame:
+    return parse_log(log_lines(spark, path), containing='"txn"').where(F.col("txn.appId") == app_id).select("txn.*")
+
+
+def committed_parts(spark: SparkSession, path: str, app_id: str, batch_id: int) -> dict[int, tuple[int, int, int] | None]:
+    """Parts of a batch that are in the log already, with the batch's message ids and number where the log has them."""
     if not table_exists(spark, path):
-        return set()
-    txns = parse_log(log_lines(spark, path), containing='"txn"').where(
-        (F.col("txn.appId") == app_id) & (F.col("txn.version") == batch_id)
-    )
-    return {r[0] for r in txns.select("txn.part").distinct().collect()}
+        return {}
+    rows = _txns(spark, path, app_id).where(F.col("version") == batch_id).select("part", "low", "high", "messages").distinct()
+    return {r[0]: None if r[3] is None else (r[1], r[2], r[3]) for r in rows.collect()}
+
+
+def last_batch(spark: SparkSession, path: str, app_id: str) -> int:
+    """The greatest batch id of an application in the log, -1 without any."""
+    if not table_exists(spark, path):
+        return -1
+    last = _txns(spark, path, app_id).agg(F.max("version")).first()[0]
+    return -1 if last is None else last
 
 
 def storage_options(spark: SparkSession, options: Mapping[str, str]) -> None:

@@ -25,7 +25,9 @@ def pick_version(
 
 
 def live(spark: SparkSession, path: str, version: int) -> DataFrame:
-    """Live files at a version."""
+    """Live files at a version; they can only be told from a log that is whole from its first version on."""
+    if L.version_bounds(spark, path)[0] != 0:
+        raise L.LogError(f"log of {path} does not start at version 0")
     return L.live_files(L.actions(spark, path, 0, version))
 
 

@@ -27,23 +27,39 @@ from tableflow.sources import log as L
 Writer = Callable[[DataFrame, int], None]
 
 _LISTING = "path string, modificationTime timestamp, length bigint, content binary"
-_STATE = "batch bigint, start bigint, end bigint, is_full boolean, slot int, next_seq bigint"
+_STATE = "batch bigint, start bigint, end bigint, is_full boolean, started boolean, slot int, next_seq bigint"
+_BEGIN = "mode string, version bigint, resumed boolean, slot int, cursor string"
 
 
 @dataclass(frozen=True)
 class _Range:
+    """Versions of one batch. Until the start version is there, ranges are empty and ``started`` is off."""
+
     start: int
     end: int
     full: bool
     seq: dict[int, int]
+    started: bool
 
 
 class _State:
-    """Ranges and sequence numbers by batch, one small folder per batch (at most one row per slot)."""
+    """Where the feed began, and ranges and sequence numbers by batch: a small folder each, at most one row per slot."""
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
 
+    def begin(self, resolve: Callable[[], ST.Start]) -> ST.Start:
+        """The start of the first run; ``resolve`` is only asked when none is stored."""
+        path = f"{self.folder}/begin"
+        if not storage.exists(self.spark, f"{path}/_SUCCESS"):
+            first = resolve()
+            rows = [(first.mode, first.version, first.resumed, s, c.to_json()) for s, c in first.checkpoints.items()]
+            self.spark.createDataFrame(rows, _BEGIN).coalesce(1).write.mode("overwrite").json(path)
+        rows = self.spark.read.schema(_BEGIN).json(path).collect()
+        head = rows[0]
+        known = {r["slot"]: C.Cursor.from_json(r["cursor"]) for r in rows}
+        return ST.Start(head["mode"], head["version"], known, head["resumed"])
+
     def read(self, batch: int) -> _Range | None:
         path = f"{self.folder}/batch={batch}"
         if batch < 0 or not storage.exists(self.spark, f"{path}/_SUCCESS"):
@@ -51,12 +67,11 @@ class _State:
         rows = self.spark.read.schema(_STATE).json(path).collect()
         head = rows[0]
         return _Range(head["start"], head["end"], head["is_full"],
-                      {r["slot"]: r["next_seq"] for r in rows if r["slot"] is not None})
+                      {r["slot"]: r["next_seq"] for r in rows if r["slot"] is not None}, head["started"])
 
     def write(self, batch: int, r: _Range) -> None:
-        rows = [(batch, r.start, r.end, r.full, s, n) for s, n in r.seq.items()] or [
-            (batch, r.start, r.end, r.full, None, None)
-        ]
+        head = (batch, r.start, r.end, r.full, r.started)
+        rows = [(*head, s, n) for s, n in r.seq.items()] or [(*head, None, None)]
         self.spark.createDataFrame(rows, _STATE).coalesce(1).write.mode("overwrite").json(f"{self.folder}/batch={batch}")
 
 
@@ -81,7 +96,8 @@ def tail_changes(
 ) -> StreamingQuery:
     """Start the change feed as a streaming query that calls ``writer(records, batch_id)``.
 
-    The first run starts as ``options`` and ``saved`` say; later runs continue from ``checkpoint``. Delivery is
+    The first run starts as ``options`` and ``saved`` say and stores what that came to; later runs continue from
+    ``checkpoint`` and do not look at them again. Delivery is
     at-least-once by record and exactly-once for writers that replace a batch by its id. ``cursor_sink`` receives
     the furthest cursor per slot after each written batch, unless the checkpoint interval turns that off. An
     exception in the writer ends the query.
@@ -89,7 +105,7 @@ def tail_changes(
     path = options.table_path.rstrip("/")
     L.storage_options(spark, options.storage)
     state = _State(spark, f"{checkpoint.rstrip('/')}/feed_state")
-    begin = ST.restore(spark, options, saved or {})
+    begin = state.begin(lambda: ST.restore(spark, options, saved or {}))
     resume = begin.checkpoints if begin.resumed else None
 
     # log files are only listed here, their content is read batch by batch
@@ -105,14 +121,13 @@ def tail_changes(
     def before(batch_id: int) -> _Range | None:
         return done.get(batch_id - 1) or state.read(batch_id - 1)
 
-    def next_range(batch: DataFrame, prev: _Range | None) -> _Range | None:
+    def next_range(batch: DataFrame, prev: _Range | None) -> _Range:
         top = batch.agg(F.max("version")).first()[0]
-        if top is None:
-            return None
-        started = prev is not None and prev.end >= begin.version
+        started = prev is not None and prev.started
         first = prev.end + 1 if started else begin.version
-        full = begin.mode == C.FULL and not started
-        return _Range(first, max(top, first - 1), full, dict(prev.seq) if prev else {})
+        last = first - 1 if top is None else max(top, first - 1)
+        seq = dict(prev.seq) if prev else {}
+        return _Range(first, last, begin.mode == C.FULL and not started and last >= first, seq, started or last >= first)
 
     def file_actions(r: _Range) -> DataFrame:
         later = CH.incremental_actions(
@@ -133,8 +148,6 @@ def tail_changes(
         prev = before(batch_id)
         replayed = None if done else state.read(batch_id)  # only the first batch of a run can be a replay
         r = replayed or next_range(batch, prev)
-        if r is None:
-            return
         if r.end < r.start:
             state.write(batch_id, r)
             done.clear()
@@ -150,7 +163,7 @@ def tail_changes(
                 rows = F.greatest(F.col("n_rows") - F.col("min_row"), F.lit(0))
                 for slot, n in acts.groupBy("slot").agg(F.sum(rows)).collect():
                     after[slot] = after.get(slot, 0) + n
-            r = _Range(r.start, r.end, r.full, after)
+            r = _Range(r.start, r.end, r.full, after, True)
             state.write(batch_id, r)
         known.catch_up(spark, path, r.end)
         records = CH.change_records(
