@@ -107,29 +107,31 @@ def avro_to_struct(text: str | AvroSchema, bytes_as_string: bool = False) -> T.S
     return _AvroReader(bytes_as_string).record(_unwrapped(schema))
 
 
-def strip_nulls(schema: AvroSchema, name: str | None = None) -> AvroSchema:
-    """The schema without null branches, as JSON payloads are decoded under it."""
-    schema = _unwrapped(schema)
-    kind = _kind(schema)
-    if kind == "union":
-        branches = [s for s in schema if not _is_null(s)]
-        if len(branches) != 1:
-            raise UnsupportedSchema(f"a union needs exactly one branch besides null: {schema}")
-        return strip_nulls(branches[0], name)
-    if kind == "record":
-        fields = [{"name": f["name"], "type": strip_nulls(f["type"], f["name"])} for f in schema["fields"]]
-        out = {"type": "record", "name": name or schema.get("name", "record"), "fields": fields}
-        if schema.get("namespace"):
-            out["namespace"] = schema["namespace"]
-        return out
-    if kind == "array":
-        items = _unwrapped(schema["items"])
-        if _kind(items) == "record" and {"key", "value"} <= {f["name"] for f in items["fields"]}:
-            raise UnsupportedSchema("an array of key/value records is not a supported map encoding")
-        return {"type": "array", "items": strip_nulls(items)}
-    if kind == "map":
-        return {"type": "map", "values": strip_nulls(schema["values"], name)}
-    return schema
+def json_problems(schema: AvroSchema) -> list[str]:
+    """What keeps JSON payloads of a message schema from being decoded; empty if nothing does.
+
+    A value must have one type besides null, and a map must not be spelled as an array of key and value records.
+    """
+    found: list[str] = []
+    open_parts = [schema]
+    while open_parts:
+        part = _unwrapped(open_parts.pop())
+        kind = _kind(part)
+        if kind == "union":
+            typed = [s for s in part if not _is_null(s)]
+            if len(typed) != 1:
+                found.append(f"a union of {len(typed)} types besides null: {part}")
+            open_parts += typed
+        elif kind == "record":
+            open_parts += [f["type"] for f in part["fields"]]
+        elif kind == "map":
+            open_parts.append(part["values"])
+        elif kind == "array":
+            items = _unwrapped(part["items"])
+            if _kind(items) == "record" and {f["name"] for f in items["fields"]} >= {"key", "value"}:
+                found.append("an array of key and value records in place of a map")
+            open_parts.append(items)
+    return found
 
 
 def required_filled(value: Column, data_type: T.DataType) -> Column:

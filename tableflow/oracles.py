@@ -203,6 +203,20 @@ ORACLES: dict[str, str] = {
         SELECT o_custkey, o_orderkey, o_totalprice FROM orders
         QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey DESC) = 1""",
     "commit_check": f"SELECT count(*) AS total, count({_REASON}) AS errors FROM events",
+    "ingest_two_batches": f"SELECT user_id, kind FROM ({_MESSAGES})",
+    "keyed_null_keys": """
+        SELECT user_id, event_type AS kind FROM events WHERE event_type <> 'error'
+        QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) = 1
+        UNION ALL SELECT NULL, 'no record key' FROM events WHERE event_type = 'error'""",
+    "evolve_case": f"SELECT CASE WHEN late THEN user_id END AS user_id, kind FROM ({_MESSAGES})",
+    "typed_records": f"SELECT user_id, amount, kind FROM ({_MESSAGES})",
+    "message_schema": """
+        SELECT column_name AS name, (SELECT count(*) FROM lineitem) AS n FROM (DESCRIBE lineitem)""",
+    "commit_groups_null_ids": """
+        SELECT CASE WHEN event_type <> 'error' THEN event_id END AS event_id,
+               (row_number() OVER (ORDER BY event_type <> 'error', event_id) - 1) // 700 AS commit_group FROM events""",
+    "stream_tail_restart": f"""
+        SELECT o_orderkey, o_orderstatus, 'c' AS _op, {_VERSION} AS _version FROM orders WHERE {_VERSION} >= 3""",
     "idempotent_replay": f"SELECT user_id, kind FROM ({_MESSAGES})",
     "stream_tail_changes": f"""
         SELECT o_orderkey, o_orderstatus, 'c' AS _op, {_VERSION} AS _version, {_SLOT} AS _slot

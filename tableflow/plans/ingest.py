@@ -111,8 +111,8 @@ def _kinds(messages: DataFrame, options: IngestOptions) -> tuple[list[_Kind], li
                 schema = D.primitive_schema(r["t"], options.field_name)
             else:
                 schema = S.avro_to_struct(r["s"], options.bytes_as_string)
-                if r["t"] == "JSON":
-                    S.strip_nulls(S.parse_avro(r["s"]))  # raises for unions JSON cannot be decoded with
+                if r["t"] == "JSON" and (problems := S.json_problems(S.parse_avro(r["s"]))):
+                    raise S.UnsupportedSchema("; ".join(problems))
         except (S.UnsupportedSchema, KeyError, TypeError) as e:
             if options.fail_fast:
                 raise D.RejectedMessage(f"{D.BAD_SCHEMA}: {e}") from e

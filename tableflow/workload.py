@@ -409,12 +409,18 @@ def acknowledged_cursors(spark, sf):
 
 def commit_groups(spark, sf):
     e = table(spark, sf, "events").select("event_id")
-    return ordered.commit_groups(e, "event_id", 1500, name="commit_group", rows_per_bucket=50_000)
+    return ordered.commit_groups(e, "event_id", 1500, name="commit_group", rows_per_bucket=500)
+
+
+def commit_groups_null_ids(spark, sf):
+    """Messages without an id come first, and all are there."""
+    e = table(spark, sf, "events").select(F.when(F.col("event_type") != "error", F.col("event_id")).alias("event_id"))
+    return ordered.commit_groups(e, "event_id", 700, name="commit_group", rows_per_bucket=500)
 
 
 def schema_runs(spark, sf):
     e = table(spark, sf, "events").select("event_id", "event_type")
-    return ordered.schema_runs(e, "event_id", "event_type", name="run", rows_per_bucket=50_000)
+    return ordered.schema_runs(e, "event_id", "event_type", name="run", rows_per_bucket=500)
 
 
 def append_roundtrip(spark, sf):
@@ -473,6 +479,66 @@ def commit_check(spark, sf):
     return keyed.commit_check(D.decode_json(m, S.avro_to_struct(PROPS)), D.REASON)
 
 
+def ingest_two_batches(spark, sf):
+    """Two batches with default arguments add all their rows; the first one again, by its id, adds none."""
+    path = fresh_path(spark, "two_batches")
+    o = IngestOptions("append", path, records_per_commit=4000)
+    m = event_messages(spark, sf)
+    late = F.col("event_time") >= F.lit(SWITCH).cast("timestamp_ntz")
+    ingest_batch(m.where(~late), o)
+    ingest_batch(m.where(late), o)
+    ingest_batch(m.where(~late), o, batch_id=0)
+    return SN.snapshot(spark, path).select(F.col("user").alias("user_id"), "kind")
+
+
+def keyed_null_keys(spark, sf):
+    """Last write per user where errors have no user: those are rejected, not merged into one row."""
+    path = fresh_path(spark, "null_keys")
+    e = table(spark, sf, "events")
+    user = F.when(F.col("event_type") != "error", F.col("user_id")).cast("string")
+    payload = F.to_json(F.struct(F.coalesce(user, F.lit("")).alias("user"), F.col("event_type").alias("kind")))
+    schema = avro("event", [("user", "string"), ("kind", "string")])
+    done = ingest_batch(messages(e, F.lit(schema), payload), IngestOptions("keyed", path, record_key="user"),
+                        reject_sink=reject_folder(path + "-rejects"))
+    rejects = spark.read.parquet(path + "-rejects").select(F.lit(None).cast("long").alias("user_id"), F.col("reason").alias("kind"))
+    assert done.rejected == rejects.count()
+    return SN.snapshot(spark, path).select(F.col("user").cast("long").alias("user_id"), "kind").unionByName(rejects)
+
+
+def evolve_case(spark, sf):
+    """A column replaced by one whose name differs in case only: the old values stay hidden."""
+    path = fresh_path(spark, "other_case")
+    o = IngestOptions("evolving", path)
+    later = avro("event", [("USER", "long"), ("kind", "string")])
+    e = table(spark, sf, "events")
+    late = F.col("ts") >= F.lit(SWITCH).cast("timestamp_ntz")
+    for part, name, schema in ((~late, "user", EVENT_V1), (late, "USER", later)):
+        payload = F.to_json(F.struct(F.col("user_id").alias(name), F.col("event_type").alias("kind")))
+        ingest_batch(messages(e.where(part), F.lit(schema), payload), o)
+    return SN.snapshot(spark, path).select(F.col("USER").alias("user_id"), "kind")
+
+
+def typed_records(spark, sf):
+    """Messages that come decoded (AVRO) into a table."""
+    path = fresh_path(spark, "typed")
+    schema = avro("event", [("user", "long"), ("amount", "double"), ("kind", "string")])
+    record = F.struct(F.col("user_id").alias("user"), F.col("value").alias("amount"), F.col("event_type").alias("kind"))
+    e = table(spark, sf, "events")
+    m = e.select(F.col("event_id").alias("msg_id"), F.lit("AVRO").alias("schema_type"), F.lit(schema).alias("schema"),
+                 F.lit(None).cast("string").alias("payload"), record.alias("record"))
+    ingest_batch(m, IngestOptions(table_path=path))
+    return SN.snapshot(spark, path).select(F.col("user").alias("user_id"), "amount", "kind")
+
+
+def message_schema(spark, sf):
+    """Fields of the message schema that a table's schema becomes, for every column of lineitem."""
+    li = table(spark, sf, "lineitem")
+    fields = json.loads(S.struct_to_avro(li.schema))["fields"]
+    named = spark.createDataFrame([(f["name"], json.dumps(f["type"])) for f in fields], "name string, type string")
+    filled = li.agg(*[F.count(f["name"]).alias(f["name"]) for f in fields]).unpivot([], [f["name"] for f in fields], "name", "n")
+    return named.join(filled, "name").select("name", "n")
+
+
 def idempotent_replay(spark, sf):
     path = fresh_path(spark, "replayed")
     o = IngestOptions("append", path, records_per_commit=4000)
@@ -489,6 +555,17 @@ def stream_tail_changes(spark, sf):
     return spark.read.parquet(out).select("o_orderkey", "o_orderstatus", "_op", "_version", "_slot")
 
 
+def stream_tail_restart(spark, sf):
+    """A tail from the latest version on; the table grows while it is down, and it goes on where it stopped."""
+    path, out, ck = fresh_path(spark, "growing"), fresh_path(spark, "growing_out"), fresh_path(spark, "growing_ck")
+    orders = table(spark, sf, "orders").withColumn("y", F.year("o_orderdate"))
+    for part in (F.col("y") <= 1997, F.col("y") > 1997):
+        W.append(spark, path, orders.where(part), ["o_orderstatus"], commit_by="y")
+        tail.tail_changes(spark, FeedOptions(path), tail.slot_folder(out), ck, versions_per_trigger=2,
+                          trigger={"availableNow": True}, capture_ts=CAPTURE_TS).awaitTermination()
+    return spark.read.parquet(out).select("o_orderkey", "o_orderstatus", "_op", "_version")
+
+
 def stream_ingest_events(spark, sf):
     path, ck = fresh_path(spark, "stream_table"), fresh_path(spark, "stream_ck")
     schema = table(spark, sf, "events").schema
@@ -536,6 +613,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         reject_reasons, reject_side_output, wrap_primitive, unwrap_primitive, record_keys, acknowledged_cursors,
         commit_groups, schema_runs, append_roundtrip, partitioned_roundtrip, evolve_replace, evolve_by_name,
         keyed_last_write_wins, keyed_partitioned, last_per_key, commit_check, idempotent_replay, stream_tail_changes,
+        commit_groups_null_ids, stream_tail_restart, ingest_two_batches, keyed_null_keys, evolve_case, typed_records,
+        message_schema,
         stream_ingest_events, feed_metrics, feed_metrics_filtered, commit_metrics, sink_to_feed,
     )
 }

@@ -46,17 +46,14 @@ def parquet(table, name, columns, row_group_size=None):
     return os.path.getsize(path)
 
 
-def sales(table):
-    """7 056 rows of three keys and three values in one file: commit info, protocol, schema, file."""
-    rows = [(y, m, d) for y in range(2000, 2021) for m in range(1, 13) for d in range(1, 29)]
-    cols = {
-        "year": [r[0] for r in rows], "month": [r[1] for r in rows], "day": [r[2] for r in rows],
-        "sale_id": [f"id-{i}" for i in range(len(rows))], "customer": [f"{i}{i}{i}" for i in range(len(rows))],
-        "total_cost": [i * 1.5 for i in range(len(rows))],
-    }
-    size = parquet(table, "part-0.parquet", cols, row_group_size=1000)
-    log(table, 0, info(5000), protocol(),
-        meta([("year", "long"), ("month", "long"), ("day", "long"), ("sale_id", "string"), ("customer", "string"),
-              ("total_cost", "double")]),
+READINGS = 4321
+
+
+def readings(table):
+    """One file of sensor readings in small row groups, after commit info, protocol and schema; returns its rows."""
+    rows = [(i, i * 37 % 101, f"probe {i % 7}") for i in range(READINGS)]
+    tick, level, probe = map(list, zip(*rows))
+    size = parquet(table, "part-0.parquet", {"tick": tick, "level": level, "probe": probe}, row_group_size=600)
+    log(table, 0, info(5000), protocol(), meta([("tick", "long"), ("level", "long"), ("probe", "string")]),
         add("part-0.parquet", size))
     return rows

@@ -4,7 +4,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from helpers import add, info, log, meta, parquet, protocol, remove, sales
+from helpers import add, info, log, meta, parquet, protocol, remove, READINGS, readings
 from tableflow import storage
 from tableflow.functions import schema as S
 from tableflow.operators import write as W
@@ -13,24 +13,24 @@ from tableflow.sources import log as L
 from tableflow.sources import snapshot as SN
 
 
-def test_sales_log(spark, table_path):
-    rows = sales(table_path)
+def test_log_of_one_file(spark, table_path):
+    rows = readings(table_path)
     acts = L.actions(spark, table_path)
     found = {r["idx"]: r for r in acts.collect()}
     assert found[2]["metaData"] is not None and found[3]["add"] is not None and len(found) == 4
     assert L.version_bounds(spark, table_path) == (0, 0)
-    got = SN.snapshot(spark, table_path).select("year", "month", "day").collect()
+    got = SN.snapshot(spark, table_path).select("tick", "level", "probe").collect()
     assert [tuple(r) for r in got] == rows
-    assert [f.name for f in L.epochs(spark, table_path)[0].schema] == ["year", "month", "day", "sale_id", "customer", "total_cost"]
+    assert [f.name for f in L.epochs(spark, table_path)[0].schema] == ["tick", "level", "probe"]
 
 
 def test_row_index_and_counts(spark, table_path):
-    rows = sales(table_path)
+    rows = readings(table_path)
     path = os.path.join(table_path, "part-0.parquet")
     scan = FS.row_scan(spark, [path], L.epochs(spark, table_path)[0].schema)
-    got = scan.orderBy(FS.ROW).select("year", "month", "day", FS.ROW).collect()
+    got = scan.orderBy(FS.ROW).select("tick", "level", "probe", FS.ROW).collect()
     assert [tuple(r) for r in got] == [(*r, i) for i, r in enumerate(rows)]
-    assert FS.row_counts(spark, [path]).first()["n_rows"] == 7056
+    assert FS.row_counts(spark, [path]).first()["n_rows"] == READINGS
 
 
 @pytest.fixture

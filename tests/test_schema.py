@@ -50,20 +50,16 @@ def test_bad_texts():
             S.avro_to_struct(text)
 
 
-def test_strip_nulls():
-    got = S.strip_nulls(PERSON)
-    assert [f["type"] for f in got["fields"]] == ["string", "int", "double", "long"]
-    nested = {"type": "record", "name": "r", "fields": [
-        {"name": "l", "type": {"type": "array", "items": ["null", "int"]}},
-        {"name": "m", "type": {"type": "map", "values": ["string", "null"]}},
-    ]}
-    assert [f["type"] for f in S.strip_nulls(nested)["fields"]] == [
-        {"type": "array", "items": "int"}, {"type": "map", "values": "string"}]
-    with pytest.raises(S.UnsupportedSchema):
-        S.strip_nulls(["null", "int", "string"])
-    kv = {"type": "record", "name": "e", "fields": [{"name": "key", "type": "string"}, {"name": "value", "type": "int"}]}
-    with pytest.raises(S.UnsupportedSchema):
-        S.strip_nulls({"type": "array", "items": kv})
+def test_json_problems():
+    assert S.json_problems(PERSON) == []
+    field = lambda kind: {"type": "record", "name": "r", "fields": [{"name": "f", "type": kind}]}
+    assert S.json_problems(field({"type": "array", "items": ["null", "int"]})) == []
+    assert S.json_problems(field({"type": "map", "values": ["string", "null"]})) == []
+    assert len(S.json_problems(["null", "int", "string"])) == 1
+    assert len(S.json_problems(field({"type": "array", "items": ["null", "int", "long"]}))) == 1
+    kv = {"type": "record", "name": "e", "fields": [{"name": "key", "type": "string"}, {"name": "value", "type": ["int", "long"]}]}
+    assert len(S.json_problems(field({"type": "array", "items": kv}))) == 2
+    assert len(S.json_problems(["null"])) == 1
 
 
 def test_required_filled(spark):
