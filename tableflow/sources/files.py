@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -104,8 +104,10 @@ def scan_list(acts: DataFrame, root: str) -> ScanList:
         F.first("hash").alias("hash"), F.first("folder_hash").alias("folder_hash"),
         F.max("folder_files").alias("expected"), F.sum(weight).alias("bytes"), F.bool_and(regular).alias("regular"),
     )
-    found = F.count(F.lit(1)).over(Window.partitionBy("folder"))  # over file entries, not rows
-    whole = (F.col("folder") != "") & (found == F.coalesce("expected", F.lit(-1)))
+    # files without a commit folder may be most of them: they need no count
+    found = files.where("folder <> ''").groupBy("folder").agg(F.count(F.lit(1)).alias("found"))
+    files = files.join(found, "folder", "left")
+    whole = (F.col("folder") != "") & (F.col("found") == F.coalesce("expected", F.lit(-1)))
     name = F.when(whole, F.concat(F.lit(f"{root}/"), F.col("folder"))).otherwise(F.col("location"))
     named = files.select(name.alias("path"), "folder", "folder_hash", "bytes", "regular").groupBy("path").agg(
         F.first("folder").alias("folder"), F.first("folder_hash").alias("h"), F.sum("bytes").alias("bytes"),

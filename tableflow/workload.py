@@ -10,7 +10,7 @@ import datetime as dt
 import json
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -189,11 +189,11 @@ def start_position(spark, sf):
     acts = L.file_actions(L.actions(spark, path)).select(
         F.col("version").alias("at"), F.when(F.col("op") == "c", F.col("num_records")).otherwise(-F.col("num_records")).alias("n")
     )
-    per = acts.groupBy("at").agg(F.sum("n").alias("n"))
-    return (
-        starts.join(per, per["at"] <= starts["version"], "left").groupBy("start_case", "mode", "version")
-        .agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"))
+    per = L.log_versions(spark, path).select("version").join(
+        acts.groupBy(F.col("at").alias("version")).agg(F.sum("n").alias("n")), "version", "left"
     )
+    so_far = F.sum("n").over(Window.orderBy("version"))  # one row per version
+    return starts.join(per.select("version", F.coalesce(so_far, F.lit(0)).alias("n_rows")), "version")
 
 
 def changes_incremental(spark, sf):
