@@ -2,7 +2,7 @@
 
 A document is the set of its distinct shingles, the tokens. Texts that are alike to the letter are one class.
 
-1. Token frequencies over all classes: each task sorts its tokens and sends them by hash range as front-coded
+1. Token frequencies over all classes: each task sorts its tokens and sends them by hash range as coded
    differences; a range adds up. Tokens of more than ``RARE`` classes are frequent.
 2. Tokens are ordered rare ones first, then by hash. Two sets of similarity t or more have a token in common among the
    first n - ceil(t n) + 1 of each (the prefix) and k in common when both prefixes are k - 1 longer. A rare token of
@@ -10,10 +10,13 @@ A document is the set of its distinct shingles, the tokens. Texts that are alike
    indexed in combinations of two: hashed into g cells, k = g + 1 common tokens must put two into one cell, so
    only pairs within a cell are needed, and their number stays in proportion to the set.
    g follows a set's size class; a set that may have partners in the next class is indexed under both.
-3. In each index entry, every class is paired with the smallest and the largest set. These pairs are verified on
-   the whole sets, and the links make components, which takes large groups of near copies together in linear time.
-4. Then all pairs of one entry whose classes are still in different components are verified. No link between
-   components is lost, and pairs inside one add nothing. The components of all links are the result.
+3. Some rounds join large groups of near copies in linear time. Classes that have one of their least tokens in common
+   are paired with one of them, the round's pivot, unless they are in its component already. Pairs that meet in several
+   tokens are verified on the whole sets, and the links make components. These rounds may miss any link.
+4. Then all pairs of one entry whose classes are still in different components are candidates. Their common single
+   tokens, with all that either set has beyond its indexed ones, bound what they can have in common; those that can
+   reach the similarity are verified. No link between components is lost, and pairs inside one add nothing. The
+   components of all links are the result.
 
 The order of tokens only decides how much there is to do; any order gives the same links.
 
@@ -30,7 +33,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tableflow.llm import texts as X
 from tableflow.llm.components import components
@@ -39,12 +41,19 @@ from tableflow.session import pinned
 SHINGLE = 5
 #: Least similarity in hundredths.
 LEAST = 80
-RARE = 48
+RARE = 12
 #: The frequent tokens that tasks are told of, the commonest first: 16 MB.
 MOST_FREQUENT = 2_000_000
-TOKENS_PER_RANGE = 4_000_000
+TOKENS_PER_RANGE = 1_500_000
+#: With more hash ranges than this, tokens are counted by a plain aggregate: pieces of runs would be too small.
+MOST_RANGES = 2_000
 CELL = 16
-FIRST_KEYS = 6
+FIRST_KEYS = 8
+#: Of these, how many must meet for a pair with a pivot.
+MEETINGS = 3
+ROUNDS = 3
+#: Classes whose texts are picked by sending their keys to all tasks; more are joined by a shuffle.
+MOST_SENT = 1_000_000
 
 
 def least_overlap(n):
@@ -86,9 +95,9 @@ def _fresh(batches, seen: set[int]) -> Iterator[tuple[int, np.ndarray]]:
                     yield keys[new[i + d]], s
 
 
-def _packed(tokens: np.ndarray, counts: np.ndarray, ranges: int) -> Iterator[tuple[int, bytes]]:
+def _packed(tokens: np.ndarray, counts: np.ndarray, ranges: int, bits: int = 64) -> Iterator[tuple[int, bytes]]:
     """Sorted tokens by hash range: how many, first token, differences in 1 to 8 bytes each, counts as a sparse list."""
-    bound = np.searchsorted(tokens, (np.arange(1, ranges, dtype=np.float64) * (2.0**64 / ranges)).astype(np.uint64))
+    bound = np.searchsorted(tokens, (np.arange(1, ranges, dtype=np.float64) * (2.0**bits / ranges)).astype(np.uint64))
     for r, (a, b) in enumerate(zip([0, *bound.tolist()], [*bound.tolist(), len(tokens)], strict=True)):
         if a == b:
             continue
@@ -132,23 +141,44 @@ def _summed(tokens: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndar
     return t[at], np.add.reduceat(c, at) if len(t) else c
 
 
-def frequent(classes: DataFrame, n_bytes: int, rare: int = RARE) -> np.ndarray:
-    """Sorted tokens of more than ``rare`` classes, the ``MOST_FREQUENT`` commonest if there are more."""
+class Common:
+    """The frequent tokens, sorted, by their leading bits."""
+
+    def __init__(self, tokens: np.ndarray, shift: int):
+        self.tokens, self.shift = tokens, np.uint64(shift)
+
+    def among(self, s: np.ndarray) -> np.ndarray:
+        if not len(self.tokens):
+            return np.zeros(len(s), bool)
+        lead = s >> self.shift
+        at = np.searchsorted(self.tokens, lead)
+        at[at == len(self.tokens)] = 0
+        return self.tokens[at] == lead
+
+
+def frequent(classes: DataFrame, n_bytes: int, rare: int = RARE) -> Common:
+    """Tokens of more than ``rare`` classes, the ``MOST_FREQUENT`` commonest if there are more.
+
+    Tokens are counted by as many leading bits as keep nearly all of them apart, 40 at least; two that agree on these
+    are frequent together, which costs a little work and changes no link.
+    """
     ranges = max(1, n_bytes // 6 // TOKENS_PER_RANGE)
+    bits = min(64, max(40, (n_bytes // 6).bit_length() + 12))
+    shift = 64 - bits
 
     def send(batches):
         seen: set[int] = set()
         tokens, size = [], 0
 
         def flush():
-            t, c = _summed(tokens, [np.ones(len(x), np.int64) for x in tokens])
-            got = list(_packed(t, c, ranges))
+            t, c = np.unique(np.concatenate(tokens), return_counts=True)
+            got = list(_packed(t, c, ranges, bits))
             return pa.RecordBatch.from_pydict({
                 "range": pa.array([r for r, _ in got], pa.int32()), "blob": pa.array([b for _, b in got], pa.binary())
             })
 
         for _, s in _fresh(batches, seen):
-            tokens.append(s)
+            tokens.append(s >> np.uint64(shift))
             size += len(s)
             if size > TOKENS_PER_RANGE:
                 yield flush()
@@ -164,15 +194,23 @@ def frequent(classes: DataFrame, n_bytes: int, rare: int = RARE) -> np.ndarray:
                 tokens.append(t)
                 counts.append(c)
                 size += len(t)
-            if size > 2 * TOKENS_PER_RANGE:
+            if size > TOKENS_PER_RANGE:
                 t, c = _summed(tokens, counts)
                 tokens, counts, size = [t], [c], 0
         t, c = _summed(tokens, counts)
         some = c > rare
         yield pa.RecordBatch.from_arrays([pa.array(t[some].view(np.int64)), pa.array(c[some])], names=["token", "n"])
 
-    sent = classes.mapInArrow(send, "range int, blob binary")
-    found = pinned(sent.groupBy("range").applyInArrow(_iterated(add), "token long, n long"), "jaccard_frequent")
+    def each(batches):
+        for _, s in _fresh(batches, set()):
+            yield pa.RecordBatch.from_arrays([pa.array((s >> np.uint64(shift)).view(np.int64))], names=["token"])
+
+    if ranges <= MOST_RANGES:
+        sent = classes.mapInArrow(send, "range int, blob binary")
+        found = sent.groupBy("range").applyInArrow(_iterated(add), "token long, n long")
+    else:
+        found = classes.mapInArrow(each, "token long").groupBy("token").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > rare)
+    found = pinned(found, "jaccard_frequent")
     if found.count() > MOST_FREQUENT:
         # How common a token must be so that no more than that many are.
         by = found.groupBy(F.floor(F.log2("n") * 8).alias("e")).agg(F.count(F.lit(1)).alias("m")).orderBy(F.desc("e")).collect()
@@ -183,7 +221,7 @@ def frequent(classes: DataFrame, n_bytes: int, rare: int = RARE) -> np.ndarray:
                 break
             cut = r.e
         found = found.where(F.floor(F.log2("n") * 8) >= F.lit(cut)) if cut is not None else found.limit(0)
-    return np.sort(found.select("token").toArrow().column(0).to_numpy().view(np.uint64))
+    return Common(np.sort(found.select("token").toArrow().column(0).to_numpy().view(np.uint64)), shift)
 
 
 def _iterated(f):
@@ -193,16 +231,11 @@ def _iterated(f):
     return run
 
 
-def keys_of(s: np.ndarray, common: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def keys_of(s: np.ndarray, common: Common) -> tuple[np.ndarray, np.ndarray]:
     """Index keys of a sorted set: rare tokens of its prefix, and combinations of frequent ones."""
     n = len(s)
-    if len(common):
-        at = np.searchsorted(common, s)
-        at[at == len(common)] = 0
-        often = common[at] == s
-        rare, often = s[~often], s[often]
-    else:
-        rare, often = s, s[:0]
+    often = common.among(s)
+    rare, often = s[~often], s[often]
     if n == 1:  # alike only to itself, and no combination can be made of it
         return rare, often
     prefix = n - least_overlap(n) + 1
@@ -225,16 +258,16 @@ def keys_of(s: np.ndarray, common: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return rare, np.unique(np.concatenate(pairs)) if pairs else s[:0]
 
 
-def postings(classes: DataFrame, common: np.ndarray) -> tuple[DataFrame, DataFrame]:
-    """(key, cls, n) of the single tokens and of the combinations that two classes or more have, written."""
+def indexed(classes: DataFrame, common: Common) -> DataFrame:
+    """cls, n, the keys of each class (``singles`` and ``pairs``) and its least tokens. A class may have several rows."""
 
     def run(batches):
-        cls, n, singles, pairs, size = [], [], [], [], 0
+        cls, n, singles, pairs, first, size = [], [], [], [], [], 0
 
         def flush():
             return pa.RecordBatch.from_pydict({
                 "cls": pa.array(cls, pa.int64()), "n": pa.array(n, pa.int32()),
-                "singles": _lists(singles), "pairs": _lists(pairs),
+                "singles": _lists(singles), "pairs": _lists(pairs), "first": _lists(first),
             })
 
         for k, s in _fresh(batches, set()):
@@ -243,19 +276,29 @@ def postings(classes: DataFrame, common: np.ndarray) -> tuple[DataFrame, DataFra
             n.append(len(s))
             singles.append(one)
             pairs.append(two)
+            first.append(s[:FIRST_KEYS])
             size += len(one) + len(two)
             if size > 500_000:
                 yield flush()
-                cls, n, singles, pairs, size = [], [], [], [], 0
+                cls, n, singles, pairs, first, size = [], [], [], [], [], 0
         if cls:
             yield flush()
 
-    found = classes.mapInArrow(run, "cls long, n int, singles array<long>, pairs array<long>")
-    one = found.select(F.explode("singles").alias("key"), "cls", "n")
+    return pinned(classes.mapInArrow(run, "cls long, n int, singles array<long>, pairs array<long>, first array<long>"), "jaccard_index")
+
+
+def postings(index: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(key, cls, n, rest) of the keys that two classes or more have, single tokens and combinations, written.
+
+    ``rest`` is how many tokens of the set are not among its single keys.
+    """
+    rest = (F.col("n") - F.size("singles")).alias("rest")
+    one = index.select(F.explode("singles").alias("key"), "cls", "n", rest)
     w = Window.partitionBy("key")  # rare tokens: about RARE rows
     one = one.withColumn("lo", F.min("cls").over(w)).withColumn("hi", F.max("cls").over(w)).where("lo < hi").drop("lo", "hi")
-    two = found.where(F.size("pairs") > 0).select(F.explode("pairs").alias("key"), "cls", "n")
+    two = index.where(F.size("pairs") > 0).select(F.explode("pairs").alias("key"), "cls", "n", rest)
     many = two.groupBy("key").agg(F.min("cls").alias("lo"), F.max("cls").alias("hi")).where("lo < hi").select("key")
+    many = pinned(many, "jaccard_keys")
     return pinned(one.distinct(), "jaccard_singles"), pinned(two.join(many, "key").distinct(), "jaccard_pairs")
 
 
@@ -270,26 +313,39 @@ def _fits():
     return (F.col("n") * 100 >= F.col("m") * LEAST) & (F.col("m") * 100 >= F.col("n") * LEAST)
 
 
-def star_pairs(posts: DataFrame) -> DataFrame:
-    """Each class of a key with the key's smallest and largest set."""
-    ends = posts.groupBy("key").agg(F.min(F.struct("n", "cls")).alias("lo"), F.max(F.struct("n", "cls")).alias("hi"))
-    both = posts.join(ends, "key")
-    out = None
-    for end in ("lo", "hi"):
-        p = both.select("cls", "n", F.col(f"{end}.cls").alias("other"), F.col(f"{end}.n").alias("m")).where(_fits() & (F.col("cls") != F.col("other")))
-        p = p.select(F.least("cls", "other").alias("a"), F.greatest("cls", "other").alias("b"))
-        out = p if out is None else out.unionByName(p)
-    return out.distinct()
-
+def pivot_pairs(posts: DataFrame, root: DataFrame | None, turn: int) -> DataFrame:
+    """Classes that meet a pivot of another component in several of their least tokens.
 
-def cross_pairs(posts: DataFrame, root: DataFrame) -> DataFrame:
-    """All pairs of one key whose classes are in different components."""
-    p = posts.join(root, posts.cls == root.node, "left").select("key", "cls", "n", F.coalesce("root", "cls").alias("root"))
+    A token's pivot is the class of least hash for this ``turn``, so one class is the pivot of most tokens of its group.
+    """
+    if root is None:
+        p = posts.withColumn("root", F.col("cls"))
+    else:
+        p = posts.join(root, posts.cls == root.node, "left").select("key", "cls", "n", F.coalesce("root", "cls").alias("root"))
+    lead = F.min(F.struct(F.xxhash64("cls", F.lit(turn)).alias("h"), "cls", "n", "root")).alias("lead")
+    ends = p.groupBy("key").agg(lead, F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi")
+    ends = pinned(ends.select("key", F.col("lead.cls").alias("other"), F.col("lead.n").alias("m"), F.col("lead.root").alias("root2")), "jaccard_pivots")
+    p = p.join(ends, "key").where(_fits() & (F.col("root") != F.col("root2")))
+    p = p.groupBy(F.least("cls", "other").alias("a"), F.greatest("cls", "other").alias("b")).agg(
+        F.count(F.lit(1)).alias("met"), F.max(F.least("n", "m")).alias("n")
+    )
+    return p.where(F.col("met") >= F.least(F.lit(MEETINGS), F.col("n"))).select("a", "b")
+
+
+def cross_pairs(singles: DataFrame, pairs: DataFrame, root: DataFrame) -> DataFrame:
+    """The pairs of one key in different components that can have enough in common."""
+    posts = singles.withColumn("one", F.lit(1)).unionByName(pairs.withColumn("one", F.lit(0)))
+    p = posts.join(root, posts.cls == root.node, "left").select("key", "cls", "n", "rest", "one", F.coalesce("root", "cls").alias("root"))
     mixed = p.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("key")
-    p = pinned(p.join(mixed, "key"), "jaccard_mixed")
-    q = p.select("key", F.col("cls").alias("other"), F.col("n").alias("m"), F.col("root").alias("root2"))
+    p = pinned(p.join(pinned(mixed, "jaccard_keys"), "key"), "jaccard_mixed")
+    q = p.select("key", F.col("cls").alias("other"), F.col("n").alias("m"), F.col("rest").alias("rest2"), F.col("root").alias("root2"))
     both = p.join(q, (p.key == q.key) & (p.cls < q.other) & (p.root != q.root2) & _fits())
-    return both.select(F.col("cls").alias("a"), F.col("other").alias("b")).distinct()
+    both = both.groupBy(F.col("cls").alias("a"), F.col("other").alias("b")).agg(
+        F.sum("one").alias("c"), F.max("n").alias("n"), F.max("m").alias("m"), F.max(F.greatest("rest", "rest2")).alias("rest")
+    )
+    # All common tokens up to the end of the shorter reaching index are counted; beyond it there are ``rest`` at most.
+    most = F.col("c") + F.col("rest")
+    return both.where(most * 100 >= (F.col("n") + F.col("m") - most) * LEAST).select("a", "b")
 
 
 def links(pairs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -308,6 +364,9 @@ def links(pairs: DataFrame, classes: DataFrame) -> DataFrame:
             if out:
                 yield pa.RecordBatch.from_arrays([keys, _lists(out)], names=["cls", "tokens"])
 
+    wanted = pinned(wanted, "jaccard_wanted")
+    if wanted.count() <= MOST_SENT:  # 8 MB
+        wanted = F.broadcast(wanted)
     texts = classes.join(wanted, "cls").groupBy("cls").agg(F.first("text").alias("text"))
     whole = pinned(texts.mapInArrow(run, "cls long, tokens array<long>"), "jaccard_sets")
     x = pairs.join(whole.select(F.col("cls").alias("a"), F.col("tokens").alias("x")), "a")
@@ -316,52 +375,54 @@ def links(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     return xy.where(o * 100 >= (F.size("x") + F.size("y") - o) * LEAST).select("a", "b")
 
 
-def linked(docs: DataFrame, text: str = "text") -> DataFrame:
+def linked(classes: DataFrame, index: DataFrame) -> DataFrame:
     """cls and root of every class that is linked with another."""
+    posts = index.select(F.explode("first").alias("key"), "cls", "n").distinct()
+    found, root = None, None
+    for turn in range(ROUNDS):
+        new = pinned(links(pivot_pairs(posts, root, turn), classes), "jaccard_links")
+        if found is not None and new.isEmpty():
+            break
+        found = new if found is None else found.unionByName(new)
+        root = pinned(components(found), "jaccard_roots")
+    last = links(cross_pairs(*postings(index), root), classes)
+    return components(found.unionByName(last)).select(F.col("node").alias("cls"), "root")
+
+
+def grouped(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """id, cls (hash of the text), n_shingles, component_id and ``chosen`` (one row of each component) of every row."""
     body = F.col(f"`{text}`")
+    rows = docs.select(F.col(f"`{doc_id}`").alias("id"), F.xxhash64(body).alias("cls"))
+    rows = pinned(rows.withColumn("uid", F.monotonically_increasing_id()), "jaccard_rows")
     classes = X.small_batches(docs.where(body.isNotNull()).select(F.xxhash64(body).alias("cls"), body.alias("text")))
     n_bytes = docs.agg(F.sum(F.octet_length(body))).first()[0] or 0
-    common = frequent(classes, n_bytes)
-    singles, pairs = postings(classes, common)
-    rank = Window.partitionBy("cls").orderBy("key")
-    few = singles.withColumn("r", F.row_number().over(rank)).where(F.col("r") <= FIRST_KEYS).drop("r")
-    few2 = pairs.withColumn("r", F.row_number().over(rank)).where(F.col("r") <= FIRST_KEYS).drop("r")
-    first = pinned(links(star_pairs(few.unionByName(few2)), classes), "jaccard_links")
-    root = pinned(components(first), "jaccard_roots")
-    second = links(cross_pairs(singles.unionByName(pairs), root), classes)
-    return components(first.unionByName(second)).select(F.col("node").alias("cls"), "root")
-
-
-def grouped(docs: DataFrame, carry: list[str], doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc`` (the carried columns), ``n_shingles``, ``component_id`` and ``grp`` (one value per component)."""
-    body = F.col(f"`{text}`")
-
-    def results(column: pa.Array):
-        for _, _, c in X.chunks(column):
-            yield [pa.array([len(s) for s in sets(c)], pa.int64())]
-
-    marked = docs.select(F.struct(
-        F.struct(*[F.col(f"`{c}`") for c in carry]).alias("doc"), F.col(f"`{doc_id}`").alias("id"),
-        F.xxhash64(body).alias("cls"),
-    ).alias("row"), body.alias("text"))
-    rows = X.per_text(marked, "text", ["row"], [T.StructField("n", T.LongType())], results)
-    rows = rows.select("doc.row.*", F.col("out.n").alias("n_shingles"))
-    rows = pinned(rows.withColumn("uid", F.monotonically_increasing_id()), "jaccard_rows")
-    root = linked(docs, text)
-    rows = rows.join(root, "cls", "left").withColumn(
-        # Classes are linked with themselves when they have shingles; other rows are alone.
-        "grp", F.when(F.col("n_shingles") > 0, F.struct(F.lit(0).alias("kind"), F.coalesce("root", "cls").alias("of")))
-        .otherwise(F.struct(F.lit(1).alias("kind"), F.col("uid").alias("of"))),
-    ).drop("root", "cls")
+    index = indexed(classes, frequent(classes, n_bytes))
+    sizes = index.select("cls", "n").distinct()
+    rows = rows.join(sizes, "cls", "left").join(linked(classes, index), "cls", "left")
+    alone = F.col("n").isNull()  # without words
+    rows = rows.withColumn("grp", F.struct(alone.alias("alone"), F.when(alone, F.col("uid")).otherwise(F.coalesce("root", "cls")).alias("of")))
     least = rows.groupBy("grp").agg(F.min("id").alias("component_id"), F.min(F.struct("id", "uid")).alias("first"))
-    return rows.join(least, "grp")
+    return rows.join(least, "grp").select(
+        "id", "cls", F.coalesce("n", F.lit(0)).cast("long").alias("n_shingles"), "component_id", (F.col("uid") == F.col("first.uid")).alias("chosen"),
+    )
 
 
 def digest(docs: DataFrame) -> DataFrame:
-    return grouped(docs, ["doc_id"]).select(F.col("doc.doc_id").alias("doc_id"), "n_shingles", "component_id")
+    return grouped(docs).select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
 
 
-def one_of_each(docs: DataFrame) -> DataFrame:
-    """One document of each component (the least id; null before any), with its own columns."""
-    g = grouped(docs, docs.columns)
-    return g.where(F.col("uid") == F.col("first.uid")).select(*[F.col(f"doc.`{c}`") for c in docs.columns])
+def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """One document of each component (the least id; null before any), with its own columns.
+
+    Rows without words stay, each of them. Of rows with equal id and text one stays.
+    """
+    keep = pinned(grouped(docs, doc_id, text).where("chosen and n_shingles > 0").select("id", "cls"), "jaccard_keep")
+    body = F.col(f"`{text}`")
+    wordy = F.coalesce(body.rlike("[^\\x20\\x09-\\x0D]"), F.lit(False))
+    d = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.col(f"`{doc_id}`").alias("_id"), F.xxhash64(body).alias("_cls"),
+        wordy.alias("_wordy"),
+    )
+    chosen = d.where("_wordy").join(keep, (F.col("_cls") == keep.cls) & F.col("_id").eqNullSafe(keep.id), "left_semi")
+    chosen = chosen.dropDuplicates(["_cls", "_id"])
+    return chosen.select("doc").unionByName(d.where("not _wordy").select("doc")).select(*[F.col(f"doc.`{c}`") for c in docs.columns])

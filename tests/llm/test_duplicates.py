@@ -56,10 +56,12 @@ def test_components_match_brute_force(spark):
     assert norm(queries.op6_combination_prefixes(spark, SF).collect()) == norm(want)
 
 
-@pytest.mark.parametrize("rare, first", [(48, 6), (2, 1), (0, 6), (5, 0)])
-def test_components_of_hard_groups(spark, monkeypatch, rare, first):
+@pytest.mark.parametrize("rare, turns", [(12, 3), (2, 1), (0, 2), (48, 1)])
+def test_components_of_hard_groups(spark, monkeypatch, rare, turns):
     """Any number of frequent tokens and any first round give the same components."""
-    monkeypatch.setattr(jaccard_join, "FIRST_KEYS", first)
+    monkeypatch.setattr(jaccard_join, "ROUNDS", turns)
+    monkeypatch.setattr(jaccard_join, "MOST_SENT", rare * 10)
+    monkeypatch.setattr(jaccard_join, "MOST_RANGES", turns - 1)
     real = jaccard_join.frequent
     monkeypatch.setattr(jaccard_join, "frequent", lambda c, n: real(c, n, rare))
     rows = near_copies(rare)
@@ -91,6 +93,7 @@ def test_similar_sets_share_a_key(n, changed, common_part, rnd):
         return
     pool = sorted(x | y)
     common = np.array(sorted(rnd.sample(pool, len(pool) * common_part // 3)), np.uint64)
+    common = jaccard_join.Common(common, 0)
     a, b = (jaccard_join.keys_of(np.array(sorted(s), np.uint64), common) for s in (x, y))
     assert set(a[0].tolist()) & set(b[0].tolist()) or set(a[1].tolist()) & set(b[1].tolist())
 
