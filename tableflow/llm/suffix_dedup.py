@@ -367,6 +367,7 @@ def repeated(docs: DataFrame) -> DataFrame:
     one_in = max(1, n_bytes * 2 // REACH // SAMPLE)
     every = pinned(anchored(docs, one_in), "suffix_anchors")
     heads = every.groupBy("prefix").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("prefix")
+    heads = pinned(heads, "suffix_heads")  # a written side, so that a common prefix in the join can be split
     kept = pinned(every.join(heads, "prefix").drop("prefix"), "suffix_kept")
     reps = kept.groupBy("f1", "f2").agg(
         F.count(F.lit(1)).alias("n"), F.min(F.struct("cls", "lo", "back", "more")).alias("x"), F.first("sample", True).alias("sample")
