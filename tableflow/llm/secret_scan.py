@@ -7,8 +7,9 @@ the character counts, runs above and below the alphabet's middle, and serial cor
 values; a token that this battery rejects is not random.
 
 What is not rejected must also be unlike the corpus: the likelihood ratio of the uniform alphabet to the corpus's own
-character frequencies (over all long tokens of the same case class) bounds the p value of "ordinary text" by its
-inverse. Benjamini-Hochberg then holds the false discovery rate over all tokens at ``RATE``, in each length band by
+characters bounds the p value of "ordinary text" by its inverse. The corpus's model has the share of lower case, upper
+case, digits and signs over all texts, and the frequencies of letters over all long tokens of letters. Tokens of one case
+are compared by their letters alone, so that a shouted word is no secret. Benjamini-Hochberg then holds the false discovery rate over all tokens at ``RATE``, in each length band by
 itself, since long tokens would otherwise lend their evidence to short ones.
 
 SQL functions only; texts are scanned once, tokens are narrow rows, and frequencies and p values are counted before
@@ -46,14 +47,16 @@ REJECT = 0.001
 _SHARPEST = 400
 
 _BASE64 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/-_"
-#: Encoding -> what it is made of, its alphabet, and the frequencies it is compared with.
+_LOWER, _UPPER, _DIGITS, _SIGNS = _BASE64[26:52], _BASE64[:26], _BASE64[52:62], _BASE64[62:]
+CLASSES = {"lower": _LOWER, "upper": _UPPER, "digit": _DIGITS, "sign": _SIGNS}
+#: Encoding -> what it is made of, and its alphabet.
 ENCODINGS = {
-    "decimal": ("^[0-9]+$", "0123456789", "other"),
-    "lower": ("^[A-Z]?[a-z]+$", "abcdefghijklmnopqrstuvwxyz", "letters"),
-    "upper": ("^[A-Z]+$", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "letters"),
-    "hex": ("^([0-9a-f]+|[0-9A-F]+)$", "0123456789abcdef", "other"),
-    "base32": ("^[A-Z2-7]+$", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", "other"),
-    "base64": ("", _BASE64, "other"),
+    "decimal": ("^[0-9]+$", _DIGITS),
+    "lower": ("^[A-Z]?[a-z]+$", _LOWER),
+    "upper": ("^[A-Z]+$", _UPPER),
+    "hex": ("^([0-9a-f]+|[0-9A-F]+)$", _DIGITS + "abcdef"),
+    "base32": ("^[A-Z2-7]+$", _UPPER + "234567"),
+    "base64": ("", _BASE64),
 }
 
 
@@ -62,6 +65,8 @@ def scan(docs: DataFrame, carry: list[str], text: str = "text") -> DataFrame:
     src = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in carry]).alias("doc"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text")
     )
+    for name, chars in CLASSES.items():
+        src = src.withColumn(f"n_{name}", F.char_length("text") - F.char_length(F.translate("text", chars, "")))
     return N.numbered(N.matched(src, "text", PATTERNS).drop("text"), "secret_matches")
 
 
@@ -85,9 +90,11 @@ def tested(tokens: DataFrame) -> DataFrame:
     t = t.withColumn("n", F.char_length("s").cast("double")).withColumn("k", F.char_length("abc").cast("double"))
     # Base 64 has two spellings of its last two digits; together they count as 64.
     t = t.withColumn("k", F.least("k", F.lit(64.0)))
-    t = t.withColumn("chars", F.split("s", "(?!^)"))
+    # Written, or the optimizer would put the encoding's patterns inside the loops over characters.
+    t = pinned(t, "secret_encoded")
+    t = t.withColumn("chars", F.filter(F.split("s", ""), lambda c: c != ""))
     t = t.withColumn("counts", F.expr(
-        "transform(array_distinct(chars), c -> named_struct('c', c, 'o', char_length(s) - char_length(replace(s, c, ''))))"
+        "transform(array_distinct(chars), c -> named_struct('c', c, 'o', cast(char_length(s) - char_length(replace(s, c, '')) as double)))"
     ))
     t = t.withColumn("at", F.expr("transform(chars, c -> cast(least(instr(abc, c), k) as double))"))
     chi = F.expr("aggregate(counts, 0D, (a, x) -> a + x.o * x.o) * k / n - n")
@@ -120,26 +127,38 @@ def tested(tokens: DataFrame) -> DataFrame:
     )
 
 
-def _log_ratios(t: DataFrame) -> DataFrame:
+def _model(t: DataFrame, found: DataFrame) -> DataFrame:
+    """One row: the log probability of each character in words (``letters``) and in any text (``any``)."""
+    each = t.where(F.col("enc").isin("lower", "upper")).select(F.inline("counts")).groupBy(F.lower("c").alias("c")).agg(F.sum("o").alias("o"))
+    # One row each of at most 26 letters, and of four sums.
+    seen = each.agg(F.map_from_entries(F.collect_list(F.struct("c", "o"))).alias("seen"), F.sum("o").alias("all"))
+    shares = found.agg(*[F.coalesce(F.sum(f"n_{c}"), F.lit(0)).alias(f"n_{c}") for c in CLASSES])
+    total = sum((F.col(f"n_{c}") for c in CLASSES), F.lit(len(CLASSES)))
+
+    def letter(c: str) -> Column:
+        return F.log((F.coalesce(F.try_element_at("seen", F.lit(c.lower())), F.lit(0.0)) + 1) / (F.coalesce("all", F.lit(0.0)) + 26))
+
+    def of(c: str, kind: str) -> Column:
+        inside = letter(c) if c.isalpha() else F.lit(-math.log(len(CLASSES[kind])))
+        return F.log((F.col(f"n_{kind}") + 1) / total) + inside
+
+    words = F.create_map(*[x for c in _LOWER + _UPPER for x in (F.lit(c), letter(c))])
+    every = F.create_map(*[x for kind, chars in CLASSES.items() for c in chars for x in (F.lit(c), of(c, kind))])
+    return seen.crossJoin(shares).select(words.alias("letters"), every.alias("any"))
+
+
+def _log_ratios(t: DataFrame, found: DataFrame) -> DataFrame:
     """Tokens with ``llr``: how much likelier (natural log) the uniform alphabet makes them than the corpus does."""
-    pool = F.create_map(*[F.lit(x) for k, v in ENCODINGS.items() for x in (k, v[2])])[F.col("enc")]
-    t = t.withColumn("pool", pool).withColumn(
-        "counts", F.when(F.col("pool") == "letters", F.transform("counts", lambda x: F.struct(F.lower(x["c"]).alias("c"), x["o"].alias("o"))))
-        .otherwise(F.col("counts"))
+    logs = F.when(F.col("enc").isin("lower", "upper"), F.col("letters")).otherwise(F.col("any"))
+    t = t.join(F.broadcast(_model(t, found)), F.lit(True)).withColumn("logs", logs)  # one row
+    return t.withColumn("llr", F.expr("-n * ln(k) - aggregate(counts, 0D, (a, x) -> a + x.o * logs[x.c])")).drop(
+        "logs", "counts", "letters", "any"
     )
-    each = t.select("pool", F.inline("counts")).groupBy("pool", "c").agg(F.sum("o").alias("o"))
-    total = each.groupBy("pool").agg(F.sum("o").alias("all"))
-    logs = each.join(total, "pool").groupBy("pool").agg(
-        F.map_from_entries(F.collect_list(F.struct("c", F.log((F.col("o") + 1) / (F.col("all") + 66))))).alias("logs")
-    )  # at most two rows of at most 66 characters
-    return t.join(F.broadcast(logs), "pool").withColumn(
-        "llr", F.expr("-n * ln(k) - aggregate(counts, 0D, (a, x) -> a + x.o * logs[x.c])")
-    ).drop("logs", "counts", "pool")
-
-
-def random_tokens(tokens: DataFrame, rate: float = RATE) -> DataFrame:
-    """The tokens (column ``value`` and others) taken for secrets."""
-    t = pinned(_log_ratios(tested(tokens)), "secret_tokens")
+
+
+def random_tokens(tokens: DataFrame, found: DataFrame, rate: float = RATE) -> DataFrame:
+    """The tokens (column ``value`` and others) of the ``scan`` that are taken for secrets."""
+    t = pinned(_log_ratios(pinned(tested(tokens), "secret_tests"), found), "secret_tokens")
     ten = math.log(10)
     grade = F.least(F.lit(_SHARPEST), F.floor(F.greatest(F.col("llr"), F.lit(0.0)) / ten * 10)).cast("int")
     t = t.withColumn("band", F.floor(F.log2("n"))).withColumn("grade", grade)
@@ -158,7 +177,7 @@ def spans(found: DataFrame) -> DataFrame:
     at = N.located(found, KINDS)
     secret = F.regexp_extract("value", "^" + ASSIGN, 2)
     base = at.where(F.col("kind").isin(1, 2) | ((F.col("kind") == 0) & (F.char_length(secret) >= 6)))
-    random = random_tokens(at.where("kind = 3").select("uid", "kind", "value", "start", "end"))
+    random = random_tokens(at.where("kind = 3").select("uid", "kind", "value", "start", "end"), found)
     cols = ["uid", "kind", "start", "end"]
     return base.select(*cols).unionByName(random.select(*cols))
 
