@@ -34,3 +34,18 @@ def partition_values(df: DataFrame, columns: Sequence[str]) -> Column:
     if not present:
         return F.create_map().cast("map<string,string>")
     return F.create_map(*[x for c in present for x in (F.lit(c), _text(c))])
+
+
+# Fixed value: the folder text of an empty text. Folder names have one text for null and none for the empty one.
+EMPTY_TEXT = "__EMPTY_TEXT__"
+
+
+def folder_text(value: Column) -> Column:
+    """A text as a partition folder holds it, so that empty, null and any other text stay apart."""
+    return F.when(value == "", EMPTY_TEXT).when(value.startswith(EMPTY_TEXT), F.concat(value, F.lit("_"))).otherwise(value)
+
+
+def from_folder(text: Column) -> Column:
+    """The value of a folder text; reads still prune folders by it."""
+    longer = text.startswith(EMPTY_TEXT)
+    return F.when(text == EMPTY_TEXT, "").when(longer, F.left(text, F.length(text) - 1)).otherwise(text)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tableflow import storage
+from tableflow.functions import partitions
 from tableflow.functions import schema as S
 from tableflow.sources import log as L
 
@@ -48,8 +49,13 @@ def write_files(
     ``rows_per_file`` starts a new file after that many rows.
     """
     physical = {f.name: S.physical_name(f) for f in schema.fields}
+    if L.DATA_COMMIT in (n.lower() for n in physical.values()):
+        raise S.UnsupportedSchema(f"the column name {L.DATA_COMMIT} is taken by the folders of commits")
     keys = [L.DATA_COMMIT, *[physical[c] for c in partition_columns]]
     out = to_physical(df, schema, [L.DATA_COMMIT])
+    for f in schema.fields:
+        if f.name in partition_columns and isinstance(f.dataType, T.StringType):
+            out = out.withColumn(physical[f.name], partitions.folder_text(F.col(f"`{physical[f.name]}`")))
     if partition_columns or multi_commit:
         out = out.hint("rebalance", *keys)
     if sort_by:
@@ -80,7 +86,10 @@ def written_files(
         F.col(L.DATA_COMMIT).alias("token"),
         F.col("_metadata.file_path").alias("uri"),
         F.col("_metadata.file_size").alias("size"),
-        *[F.col(f.name).alias(f"p{i}") for i, f in enumerate(part_fields)],
+        *[
+            (partitions.from_folder(F.col(f.name)) if isinstance(types[c].dataType, T.StringType) else F.col(f.name)).alias(f"p{i}")
+            for i, (c, f) in enumerate(zip(partition_columns, part_fields))
+        ],
     )
     keys = ["token", "uri", "size", *[f"p{i}" for i in range(len(part_fields))]]
     pairs = [x for i, c in enumerate(partition_columns) for x in (F.lit(c), F.col(f"p{i}"))]

@@ -210,6 +210,10 @@ ORACLES: dict[str, str] = {
         UNION ALL SELECT NULL, 'no record key' FROM events WHERE event_type = 'error'""",
     "evolve_case": f"SELECT CASE WHEN late THEN user_id END AS user_id, kind FROM ({_MESSAGES})",
     "typed_records": f"SELECT user_id, amount, kind FROM ({_MESSAGES})",
+    "partition_empty_text": """
+        SELECT read_by, event_id, kind, kind IS NULL AS missing FROM (
+          SELECT event_id, CASE event_type WHEN 'error' THEN '' WHEN 'signup' THEN NULL ELSE event_type END AS kind FROM events
+        ), (VALUES ('snapshot'), ('feed')) t(read_by)""",
     "message_schema": """
         SELECT column_name AS name, (SELECT count(*) FROM lineitem) AS n FROM (DESCRIBE lineitem)""",
     "commit_groups_null_ids": """

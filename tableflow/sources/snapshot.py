@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tableflow.functions import partitions
 from tableflow.functions import schema as S
 from tableflow.session import pinned
 from tableflow.sources import files as FS
@@ -96,5 +97,10 @@ def _folder_scan(
     names = [n for n in physical.values() if n not in inner] + inner
     wanted = T.StructType([T.StructField(n, covering[n].dataType) for n in names])
     scan = FS.parquet_scan(spark, paths, wanted, path)
-    cols = [F.col(f"`{S.physical_name(f)}`").cast(S.plain_type(f.dataType)).alias(f.name) for f in now.schema.fields]
+    cols = []
+    for f in now.schema.fields:
+        value = F.col(f"`{S.physical_name(f)}`").cast(S.plain_type(f.dataType))
+        if f.name in now.partition_columns and isinstance(f.dataType, T.StringType):
+            value = partitions.from_folder(value)
+        cols.append(value.alias(f.name))
     return scan.select(*cols)

@@ -440,6 +440,16 @@ def partitioned_roundtrip(spark, sf):
 SWITCH = "2024-01-15"
 
 
+def partition_empty_text(spark, sf):
+    """Empty text, null and other texts in a partition column, read back as a snapshot and as a feed."""
+    path = fresh_path(spark, "empty_text")
+    kind = F.when(F.col("event_type") == "error", "").when(F.col("event_type") != "signup", F.col("event_type"))
+    W.append(spark, path, table(spark, sf, "events").select("event_id", kind.alias("kind")), ["kind"])
+    read = {"snapshot": SN.snapshot(spark, path), "feed": CH.changes(spark, path, 0, capture_ts=CAPTURE_TS)}
+    parts = [df.select(F.lit(name).alias("read_by"), "event_id", "kind", F.col("kind").isNull().alias("missing")) for name, df in read.items()]
+    return parts[0].unionByName(parts[1])
+
+
 def evolve_replace(spark, sf):
     path = fresh_path(spark, "evolve_replace")
     ingest_batch(event_messages(spark, sf, SWITCH), IngestOptions("append", path))
@@ -614,7 +624,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         commit_groups, schema_runs, append_roundtrip, partitioned_roundtrip, evolve_replace, evolve_by_name,
         keyed_last_write_wins, keyed_partitioned, last_per_key, commit_check, idempotent_replay, stream_tail_changes,
         commit_groups_null_ids, stream_tail_restart, ingest_two_batches, keyed_null_keys, evolve_case, typed_records,
-        message_schema,
+        message_schema, partition_empty_text,
         stream_ingest_events, feed_metrics, feed_metrics_filtered, commit_metrics, sink_to_feed,
     )
 }

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from helpers import add, info, log, meta, parquet, protocol
 from test_ingest import PERSON, messages, person
 from test_streaming import NOW, SOURCE, drain, history
+from tableflow.functions import schema as S
 from tableflow.operators import changes as CH
 from tableflow.operators import ordered
 from tableflow.operators import write as W
@@ -147,3 +148,17 @@ def test_a_name_in_other_case_is_a_new_column(spark, table_path):
     got = SN.snapshot(spark, table_path)
     assert got.columns == ["x", "ID"]
     assert sorted((r.x, r.ID) for r in got.collect()) == [(i, i if i >= 5 else None) for i in range(8)]
+
+
+def test_empty_null_and_other_partition_texts(spark, table_path):
+    texts = ["", None, "a", "__EMPTY_TEXT__", "__EMPTY_TEXT___", "__HIVE_DEFAULT_PARTITION", " ", "a=b/c"]
+    W.append(spark, table_path, spark.createDataFrame(list(enumerate(texts)), "id int, k string"), ["k"])
+    want = sorted((i, repr(t)) for i, t in enumerate(texts))
+    for df in (SN.snapshot(spark, table_path), CH.changes(spark, table_path, 0)):
+        assert sorted((r.id, repr(r.k)) for r in df.select("id", "k").collect()) == want
+    assert [r.id for r in SN.snapshot(spark, table_path).where("k = ''").collect()] == [0]
+
+
+def test_a_column_named_like_the_commit_folder_is_refused(spark, table_path):
+    with pytest.raises(S.UnsupportedSchema, match="_commit"):
+        W.append(spark, table_path, spark.range(3).selectExpr("id", "id as _commit"))
