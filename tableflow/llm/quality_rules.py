@@ -26,10 +26,10 @@ from tableflow.llm import vocab as V
 from tableflow.session import pinned
 
 VOCABULARY = "piece_bpe_32k.model"
-FENCE = 4.0
+FENCE = 3.5
 LEAST = 40
 #: Smallest interquartile range taken, so that a band of nearly equal values is not a point.
-LEAST_RANGE = {"chars_per_token": 0.1, "byte_share": 0.01, "entropy": 0.01}
+LEAST_RANGE = {"chars_per_token": 0.03, "byte_share": 0.01, "entropy": 0.01}
 MEASURES = tuple(LEAST_RANGE)
 
 FIELDS = [
@@ -156,8 +156,8 @@ def base_failed() -> Column:
 
 
 def size_class() -> Column:
-    """Texts whose numbers of tokens differ by less than a factor of four."""
-    return F.floor(F.log2(F.greatest(F.col("out.n_tokens"), F.lit(1))) / 2)
+    """Texts whose numbers of tokens differ by less than the square root of two."""
+    return F.floor(F.log2(F.greatest(F.col("out.n_tokens"), F.lit(1))) * 2)
 
 
 def bands(measured: DataFrame) -> DataFrame:
