@@ -44,7 +44,7 @@ LEAST = 80
 RARE = 12
 #: The frequent tokens that tasks are told of, the commonest first: 16 MB.
 MOST_FREQUENT = 2_000_000
-TOKENS_PER_RANGE = 1_500_000
+TOKENS_PER_RANGE = 1_000_000
 #: With more hash ranges than this, tokens are counted by a plain aggregate: pieces of runs would be too small.
 MOST_RANGES = 2_000
 CELL = 16
@@ -274,11 +274,11 @@ def indexed(classes: DataFrame, common: Common) -> DataFrame:
             one, two = keys_of(s, common)
             cls.append(k)
             n.append(len(s))
-            singles.append(one)
+            singles.append(one.copy())  # a view would keep the whole set
             pairs.append(two)
-            first.append(s[:FIRST_KEYS])
+            first.append(s[:FIRST_KEYS].copy())
             size += len(one) + len(two)
-            if size > 500_000:
+            if size > 250_000:
                 yield flush()
                 cls, n, singles, pairs, first, size = [], [], [], [], [], 0
         if cls:
@@ -358,7 +358,7 @@ def links(pairs: DataFrame, classes: DataFrame) -> DataFrame:
             keys, out = batch.column(0), []
             for _, _, c in X.chunks(batch.column(1)):
                 out.extend(sets(c))
-                if sum(map(len, out)) > 500_000:
+                if sum(map(len, out)) > 250_000:
                     yield pa.RecordBatch.from_arrays([keys[: len(out)], _lists(out)], names=["cls", "tokens"])
                     keys, out = keys[len(out) :], []
             if out:

@@ -17,8 +17,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-CHUNK = 2 << 20
-ROWS_PER_BATCH = 2000
+CHUNK = 3 << 18
+ROWS_PER_BATCH = 1000
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _STEP = np.uint64(0xD1342543DE82EF95)

@@ -9,7 +9,7 @@ import numpy as np
 
 from tableflow.llm import texts as X
 
-REMEMBERED = 400_000
+REMEMBERED = 150_000
 
 
 def public_path(name: str) -> str:
