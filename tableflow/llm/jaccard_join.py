@@ -11,7 +11,8 @@ A document is the set of its distinct shingles, the tokens. Texts that are alike
    only pairs within a cell are needed, and their number stays in proportion to the set.
    g follows a set's size class; a set that may have partners in the next class is indexed under both.
 3. Some rounds join large groups of near copies in linear time. Classes that have one of their least tokens in common
-   are paired with one of them, the round's pivot, unless they are in its component already. Pairs that meet in several
+   are paired with one of them, the round's pivot, unless they are in its component already. The pivot is a set whose
+   tokens are nearly all frequent: what its copies were made from rather than one of them. Pairs that meet in several
    tokens are verified on the whole sets, and the links make components. These rounds may miss any link.
 4. Then all pairs of one entry whose classes are still in different components are candidates. Their common single
    tokens, with all that either set has beyond its indexed ones, bound what they can have in common; those that can
@@ -259,15 +260,19 @@ def keys_of(s: np.ndarray, common: Common) -> tuple[np.ndarray, np.ndarray]:
 
 
 def indexed(classes: DataFrame, common: Common) -> DataFrame:
-    """cls, n, the keys of each class (``singles`` and ``pairs``) and its least tokens. A class may have several rows."""
+    """cls, n, the keys of each class (``singles`` and ``pairs``), its least tokens, and the share of frequent ones.
+
+    A class may have several equal rows, one from each task that met it.
+    """
 
     def run(batches):
-        cls, n, singles, pairs, first, size = [], [], [], [], [], 0
+        cls, n, singles, pairs, first, share, size = [], [], [], [], [], [], 0
 
         def flush():
             return pa.RecordBatch.from_pydict({
                 "cls": pa.array(cls, pa.int64()), "n": pa.array(n, pa.int32()),
                 "singles": _lists(singles), "pairs": _lists(pairs), "first": _lists(first),
+                "share": pa.array(share, pa.float64()),
             })
 
         for k, s in _fresh(batches, set()):
@@ -277,14 +282,15 @@ def indexed(classes: DataFrame, common: Common) -> DataFrame:
             singles.append(one.copy())  # a view would keep the whole set
             pairs.append(two)
             first.append(s[:FIRST_KEYS].copy())
+            share.append(float(common.among(s).mean()))
             size += len(one) + len(two)
             if size > 250_000:
                 yield flush()
-                cls, n, singles, pairs, first, size = [], [], [], [], [], 0
+                cls, n, singles, pairs, first, share, size = [], [], [], [], [], [], 0
         if cls:
             yield flush()
 
-    return pinned(classes.mapInArrow(run, "cls long, n int, singles array<long>, pairs array<long>, first array<long>"), "jaccard_index")
+    return pinned(classes.mapInArrow(run, "cls long, n int, singles array<long>, pairs array<long>, first array<long>, share double"), "jaccard_index")
 
 
 def postings(index: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -316,13 +322,14 @@ def _fits():
 def pivot_pairs(posts: DataFrame, root: DataFrame | None, turn: int) -> DataFrame:
     """Classes that meet a pivot of another component in several of their least tokens.
 
-    A token's pivot is the class of least hash for this ``turn``, so one class is the pivot of most tokens of its group.
+    A token's pivot is the class with most of its tokens frequent and, of these, of greatest hash for this ``turn``, so one
+    class is the pivot of most tokens of its group.
     """
     if root is None:
         p = posts.withColumn("root", F.col("cls"))
     else:
-        p = posts.join(root, posts.cls == root.node, "left").select("key", "cls", "n", F.coalesce("root", "cls").alias("root"))
-    lead = F.min(F.struct(F.xxhash64("cls", F.lit(turn)).alias("h"), "cls", "n", "root")).alias("lead")
+        p = posts.join(root, posts.cls == root.node, "left").select("key", "cls", "n", "share", F.coalesce("root", "cls").alias("root"))
+    lead = F.max(F.struct("share", F.xxhash64("cls", F.lit(turn)).alias("h"), "cls", "n", "root")).alias("lead")
     ends = p.groupBy("key").agg(lead, F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi")
     ends = pinned(ends.select("key", F.col("lead.cls").alias("other"), F.col("lead.n").alias("m"), F.col("lead.root").alias("root2")), "jaccard_pivots")
     p = p.join(ends, "key").where(_fits() & (F.col("root") != F.col("root2")))
@@ -377,7 +384,7 @@ def links(pairs: DataFrame, classes: DataFrame) -> DataFrame:
 
 def linked(classes: DataFrame, index: DataFrame) -> DataFrame:
     """cls and root of every class that is linked with another."""
-    posts = index.select(F.explode("first").alias("key"), "cls", "n").distinct()
+    posts = index.select(F.explode("first").alias("key"), "cls", "n", "share").distinct()
     found, root = None, None
     for turn in range(ROUNDS):
         new = pinned(links(pivot_pairs(posts, root, turn), classes), "jaccard_links")
