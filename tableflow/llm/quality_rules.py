@@ -3,14 +3,14 @@
 Every word of every whole text is encoded with a public SentencePiece vocabulary that falls back to bytes. A text has
 three measures: characters per token, share of byte-fallback tokens, and token entropy (in parts of the most
 that so many tokens can have). Bands per language, or per script where no language is given, come from the quartiles
-of all texts: a measure further than ``FENCE`` interquartile ranges outside the quartiles rejects the text. Texts are
-compared with texts of a similar number of tokens, since entropy depends on it.
+of all distinct texts, copies counted once: a measure further than ``FENCE`` interquartile ranges outside the quartiles
+rejects the text. Texts are compared with texts of a similar number of tokens, since entropy depends on it.
 
 The measures are rounded and counted per value, so quartiles are exact and the same on every run. A group with fewer than
 ``LEAST`` texts uses the band of all texts of its size class.
 
 Edge cases: null and empty texts have no words and fail the base rule; a null or missing language is the text's main
-script; repeated rows are measured each; an empty table gives an empty result; extra columns stay in a struct.
+script; repeated rows are measured and judged each; an empty table gives an empty result; extra columns stay in a struct.
 """
 
 from __future__ import annotations
@@ -37,6 +37,7 @@ FIELDS = [
     T.StructField("n_tokens", T.LongType()),
     *[T.StructField(n, T.DoubleType()) for n in MEASURES],
     T.StructField("script", T.StringType()),
+    T.StructField("text_hash", T.LongType()),
 ]
 
 _SYMBOL = np.isin(np.arange(256), np.frombuffer(b"#*$%&|<>", np.uint8))
@@ -140,6 +141,7 @@ def _measured(column: pa.Array, path: str):
             )],
             pa.array(np.round(chars / some, 3)), pa.array(np.round(_sums(is_byte[ids], at) / some, 4)),
             pa.array(np.round(_entropy(ids, at), 4)), pa.array([_NAMES[i] for i in script]),
+            pa.array(X.mix(X.range_hash(X.prefix_hash(c.data), c.start, c.end)).view(np.int64)),
         ]
 
 
@@ -163,9 +165,12 @@ def size_class() -> Column:
 def bands(measured: DataFrame) -> DataFrame:
     """Quartiles and number of texts per group and size class; group null holds all texts of a class.
 
-    Texts that fail the base rule do not count. The result has a row per group and class.
+    Texts that fail the base rule do not count, and a text counts once in a group however many rows have it. The result
+    has a row per group and class.
     """
-    each = measured.where(~base_failed()).select("grp", size_class().alias("cls"), *[F.col(f"out.{m}").alias(m) for m in MEASURES])
+    each = measured.where(~base_failed()).select(
+        "grp", size_class().alias("cls"), "out.text_hash", *[F.col(f"out.{m}").alias(m) for m in MEASURES]
+    ).dropDuplicates(["grp", "text_hash"])
     return each.cube("cls", "grp").agg(
         F.grouping("cls").alias("g_cls"), F.grouping("grp").alias("g_grp"), F.count(F.lit(1)).alias("n"),
         *[F.expr(f"percentile({m}, array(0.25, 0.75))").alias(m) for m in MEASURES],

@@ -3,6 +3,7 @@ import public_tokenizers
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tableflow.llm import decontaminate, packing, quality_rules, queries
@@ -165,3 +166,26 @@ def test_words_are_encoded_like_whole_texts(tokenizer, texts):
         ids, _ = words.ids(c)
         whole = [k for e in tokenizer.encode_batch(texts[i : i + c.n], add_special_tokens=False) for k in e.ids]
         assert ids.tolist() == whole
+
+
+SYLLABLES = ["an", "ther", "in", "ion", "stre", "ed", "le", "ing", "ou", "ment", "ea", "re", "wh", "st", "er", "on"]
+
+
+def prose(rng, n, junk=False):
+    """``n`` words of invented prose; junk words have random characters of no language among them."""
+    def word():
+        w = "".join(rng.choice(SYLLABLES) for _ in range(rng.integers(1, 4)))
+        return w + "".join(map(chr, rng.integers(0x1F300, 0x1F5FF, 3))) if junk else w
+
+    return " ".join(word() for _ in range(n))
+
+
+@pytest.mark.parametrize("junk", [False, True])
+def test_rules_count_a_copied_text_once(spark, junk):
+    rng = np.random.default_rng(7)
+    clean = [prose(rng, rng.integers(100, 500)) for _ in range(400)]
+    copied = prose(rng, 60 if junk else 200, junk)
+    df = table(spark, list(enumerate(clean + [copied] * 200))).withColumn("lang", F.lit("en"))
+    kept = {r.doc_id for r in quality_rules.judged(df, ["doc_id"]).where("kept").select("doc.doc_id").collect()}
+    assert len(kept & set(range(400))) >= 396
+    assert len(kept & set(range(400, 600))) == (0 if junk else 200)
