@@ -6,8 +6,9 @@ that so many tokens can have). Bands per language, or per script where no langua
 of all distinct texts, copies counted once: a measure further than ``FENCE`` interquartile ranges outside the quartiles
 rejects the text. Texts are compared with texts of a similar number of tokens, since entropy depends on it.
 
-The measures are rounded and counted per value, so quartiles are exact and the same on every run. A group with fewer than
-``LEAST`` texts uses the band of all texts of its size class.
+The measures are rounded and counted per value, so quartiles are exact and the same on every run. Every band stands on
+``LEAST`` texts: a size class with fewer takes in its neighbours of the same language. A language with n < ``LEAST``
+texts in all has quartiles n/LEAST of the way from those of all languages to its own, so no verdict turns on one text.
 
 Edge cases: null and empty texts have no words and fail the base rule; a null or missing language is the text's main
 script; repeated rows are measured and judged each; an empty table gives an empty result; extra columns stay in a struct.
@@ -17,7 +18,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -163,32 +164,56 @@ def size_class() -> Column:
 
 
 def bands(measured: DataFrame) -> DataFrame:
-    """Quartiles and number of texts per group and size class; group null holds all texts of a class.
+    """Quartiles of the texts around each size class of each group, and by how much more they may differ; group null
+    holds all texts.
 
-    Texts that fail the base rule do not count, and a text counts once in a group however many rows have it. The result
-    has a row per group and class.
+    A class has a row if a text of it passes the base rule; only such texts count, and a text counts once in a group
+    however many rows have it. ``n`` is the number of texts the quartiles are taken from: those of the class and of as
+    many neighbouring classes, equally far on both sides, as it takes to have ``LEAST``, or of all classes if none do.
+    A measure may change with size, so what its trend over the group makes of that reach is added to the room.
     """
-    each = measured.where(~base_failed()).select(
-        "grp", size_class().alias("cls"), "out.text_hash", *[F.col(f"out.{m}").alias(m) for m in MEASURES]
-    ).dropDuplicates(["grp", "text_hash"])
-    return each.cube("cls", "grp").agg(
-        F.grouping("cls").alias("g_cls"), F.grouping("grp").alias("g_grp"), F.count(F.lit(1)).alias("n"),
-        *[F.expr(f"percentile({m}, array(0.25, 0.75))").alias(m) for m in MEASURES],
-    ).where("g_cls = 0").drop("g_cls")
+    one = measured.where(~base_failed()).groupBy("out.text_hash").agg(
+        F.first(size_class()).alias("cls"), F.collect_set("grp").alias("grps"),
+        F.first(F.array(*[F.col(f"out.{m}") for m in MEASURES])).alias("x"),
+    )
+    every = F.concat(F.array(F.lit(None).cast("string")), "grps")
+    values = one.select(F.explode(every).alias("grp"), "cls", F.posexplode("x").alias("measure", "x"))
+    values = pinned(values.groupBy("grp", "cls", "measure", "x").agg(F.count(F.lit(1)).alias("n")), "quality_values")
+    sizes = values.where("measure = 0").groupBy("grp", "cls").agg(F.sum("n").alias("n"))
+    near = sizes.alias("a").join(sizes.alias("b"), F.expr("a.grp <=> b.grp")).groupBy(
+        "a.grp", "a.cls", F.expr("abs(a.cls - b.cls)").alias("far")
+    ).agg(F.sum("b.n").alias("n"))
+    within = Window.partitionBy("grp", "cls").orderBy("far")
+    near = near.withColumn("n", F.sum("n").over(within))
+    reach = near.groupBy("grp", "cls").agg(F.coalesce(F.min(F.when(F.col("n") >= LEAST, F.col("far"))), F.max("far")).alias("reach"))
+    inside = F.expr("v.grp <=> r.grp and v.cls between r.cls - r.reach and r.cls + r.reach")
+    met = values.alias("v").join(F.broadcast(reach.alias("r")), inside)  # a row per group and class
+    trend = values.groupBy(F.col("grp").alias("of"), F.col("measure").alias("by")).agg(F.coalesce(F.try_divide(
+        F.expr("sum(n * cls * x) - sum(n * cls) * sum(n * x) / sum(n)"), F.expr("sum(n * cls * cls) - sum(n * cls) * sum(n * cls) / sum(n)")
+    ), F.lit(0.0)).alias("slope"))
+    each = met.groupBy("r.grp", "r.cls", "measure").agg(
+        F.sum("v.n").alias("n"), F.expr("percentile(v.x, array(0.25, 0.75), v.n)").alias("q"), F.first("reach").alias("reach")
+    ).join(F.broadcast(trend), F.expr("grp <=> of and measure = by")).withColumn(
+        "q", F.concat("q", F.array(F.abs("slope") * F.col("reach")))
+    )
+    return each.groupBy("grp", "cls").agg(
+        F.max("n").alias("n"), *[F.first(F.when(F.col("measure") == i, F.col("q")), True).alias(m) for i, m in enumerate(MEASURES)]
+    )
 
 
 def verdicts(measured: DataFrame) -> DataFrame:
     """``measured`` with ``kept``. Needs the columns doc, out and grp; the bands are joined by group and class."""
-    b = bands(measured)
-    own = b.where(f"g_grp = 0 and n >= {LEAST}").select("cls", "grp", F.struct(*MEASURES).alias("own"))
-    wide = b.where("g_grp = 1").select("cls", F.struct(*MEASURES).alias("wide"))
+    b = pinned(bands(measured), "quality_bands")
+    own = b.where("grp is not null").select("cls", "grp", F.struct("n", *MEASURES).alias("own"))
+    wide = b.where("grp is null").select("cls", F.struct(*MEASURES).alias("wide"))
     m = measured.withColumn("cls", size_class()).join(wide, "cls", "left").join(own, ["cls", "grp"], "left")
+    part = F.least(F.col("own.n") / LEAST, F.lit(1.0))
     outside = F.lit(False)
     for name in MEASURES:
-        q = F.coalesce(F.col(f"own.{name}"), F.col(f"wide.{name}"))
-        room = FENCE * F.greatest(q[1] - q[0], F.lit(LEAST_RANGE[name]))
+        low, high, more = [part * F.col(f"own.{name}")[i] + (1 - part) * F.col(f"wide.{name}")[i] for i in range(3)]
+        room = FENCE * F.greatest(high - low, F.lit(LEAST_RANGE[name])) + more
         x = F.col(f"out.{name}")
-        outside = outside | F.coalesce((x < q[0] - room) | (x > q[1] + room), F.lit(False))
+        outside = outside | F.coalesce((x < low - room) | (x > high + room), F.lit(False))
     return m.withColumn("kept", ~base_failed() & ~outside)
 
 

@@ -1,3 +1,5 @@
+from collections import Counter
+
 import numpy as np
 import public_tokenizers
 import pytest
@@ -189,3 +191,25 @@ def test_rules_count_a_copied_text_once(spark, junk):
     kept = {r.doc_id for r in quality_rules.judged(df, ["doc_id"]).where("kept").select("doc.doc_id").collect()}
     assert len(kept & set(range(400))) >= 396
     assert len(kept & set(range(400, 600))) == (0 if junk else 200)
+
+
+def test_rules_judge_small_groups(spark):
+    rng = np.random.default_rng(8)
+    # Two long texts and three of a rare language, each with one junk text, beside many of one size.
+    rows = [("en", prose(rng, rng.integers(150, 300))) for _ in range(200)]
+    rows += [("en", prose(rng, 3000)), ("en", prose(rng, 800, True)), ("xx", prose(rng, 200)), ("xx", prose(rng, 220)), ("xx", prose(rng, 60, True))]
+    df = spark.createDataFrame([(i, t, g) for i, (g, t) in enumerate(rows)], "doc_id long, text string, lang string")
+    kept = {r.doc_id for r in quality_rules.judged(df, ["doc_id"]).where("kept").select("doc.doc_id").collect()}
+    assert kept & set(range(200, 205)) == {200, 202, 203} and len(kept) >= 198
+
+
+def test_rules_reject_junk_of_small_groups(spark):
+    sf = "/root/testdata/sf0.1"
+    label = {r["doc_id"]: r["quality"] for r in brute.rows(sf, "labels")}
+    v = quality_rules.judged(spark.read.parquet(f"{sf}/documents.parquet"), ["doc_id"]).where(~quality_rules.base_failed())
+    rows = v.select("doc.doc_id", "grp", "cls", "kept").collect()
+    n = Counter((r.grp, r.cls) for r in rows)
+    small = [r for r in rows if r.doc_id in label and n[r.grp, r.cls] < quality_rules.LEAST]
+    junk = [r.kept for r in small if not label[r.doc_id]]
+    good = [r.kept for r in small if label[r.doc_id]]
+    assert len(junk) - sum(junk) >= 0.4 * len(junk) and sum(good) >= 0.95 * len(good), (len(junk), sum(junk), len(good), sum(good))
