@@ -6,11 +6,12 @@ the band of edit distances that are still within reach, and words leave a branch
 at distance 0 or 1 (whole words of five or more letters may be one edit off).
 
 Context: the ``WINDOW`` words before and after a hit tell quotation (quotation marks around it, words of saying)
-from abuse (address to a person, exclamation). Exact hits, misspelled hits and both contexts, plain and per word, are the
+from abuse (address to a person, exclamation). All hits, misspelled hits and both contexts, plain and per word, are the
 features of a logistic regression, fitted on the labelled sample.
 
 At most about ``MOST_ROWS`` labelled rows are learned from, picked by hash; their ids are sent to all tasks. The lexicon
-has at most ``MOST_TERMS`` terms. Every text is scanned whole, and no text is shuffled.
+has at most ``MOST_TERMS`` terms, and as many whole words that a stem covers, for their misspellings. Every text is
+scanned whole, and no text is shuffled.
 
 Edge cases: null and empty texts have no hits and get the score of a text without any; labels that are null are not
 learned from; without labels, or with one class only, the score is the share of toxic labels (0.5 without any);
@@ -48,7 +49,8 @@ THRESHOLD = 0.5
 SAYING = "said says say wrote writes called calls word term quote quoted says dit mot sagte wort dijo palabra".split()
 ADDRESS = "you your you're youre u ur tu toi vous votre du dich dein ihr tú te usted".split()
 
-FEATURES = ["exact", "fuzzy", "quoted", "addressed", "exact_share", "fuzzy_share", "exact_any", "fuzzy_any"]
+#: Hits count exact and misspelled ones alike, so that a misspelling weighs as its word unless the labels tell otherwise.
+FEATURES = ["hits", "fuzzy", "quoted", "addressed", "hits_share", "fuzzy_share", "hits_any", "fuzzy_any"]
 
 
 def _letters() -> np.ndarray:
@@ -167,15 +169,14 @@ class Scanner:
             total += at[hi + 1] - at[lo]
         quoted = ((np.maximum(before, opening) > 0) & (np.maximum(after, closing) > 0)) | (near[0] > 0)
         addressed = (near[1] > 0) | (shout[c.we[hi]] - shout[c.we[hit]] > 0)
-        exact, fuzzy = d == 0, d == 1
 
         def count(mask):
             return np.bincount(doc[mask], minlength=c.n)
 
-        e, f = count(exact), count(fuzzy)
+        h, f = count(d < 2), count(d == 1)
         per = np.sqrt(np.maximum(n, 1))
         return np.column_stack([
-            np.log1p(e), np.log1p(f), np.log1p(count(quoted)), np.log1p(count(addressed & ~quoted)), e / per, f / per, e > 0, f > 0,
+            np.log1p(h), np.log1p(f), np.log1p(count(quoted)), np.log1p(count(addressed & ~quoted)), h / per, f / per, h > 0, f > 0,
         ]).astype(float)
 
 
@@ -214,7 +215,8 @@ def _term_counts(known: DataFrame, wanted: dict[tuple[bytes, bool], int] | None)
 
 
 def lexicon(known: DataFrame, n_toxic: int, n_clean: int) -> list[tuple[bytes, bool]]:
-    """The purest terms of toxic texts. A longer term is left out where a shorter stem has nearly all its texts."""
+    """The purest terms of toxic texts. A longer term is left out where a shorter stem has nearly all its texts, except
+    that whole words stay for the search of misspellings, which stems take no part in."""
     least = max(LEAST_TEXTS, int(SUPPORT * n_toxic))
     found = _term_counts(known, None).where(F.col("toxic") >= least)
     rows = found.orderBy(F.desc("toxic"), "term", "stem").limit(MOST_CANDIDATES).collect()
@@ -225,10 +227,12 @@ def lexicon(known: DataFrame, n_toxic: int, n_clean: int) -> list[tuple[bytes, b
         a, b = toxic / max(n_toxic, 1), (clean.get(t, 0) + 0.5) / max(n_clean, 1)
         if a / (a + b) >= PURITY and toxic > 0.5 * (toxic + clean.get(t, 0)):
             pure[t] = toxic
-    out = [t for t in sorted(pure, key=lambda t: (-pure[t], t)) if not any(
+    ranked = sorted(pure, key=lambda t: (-pure[t], t))
+    covered = {t for t in ranked if any(
         (t[0][:k], True) in pure and (t[0][:k], True) != t for k in STEMS if k < len(t[0]) or (k == len(t[0]) and not t[1])
-    )]
-    return out[:MOST_TERMS]
+    )}
+    fuzzy = [t for t in ranked if t in covered and not t[1] and len(t[0]) >= FUZZY_LENGTH]
+    return [t for t in ranked if t not in covered][:MOST_TERMS] + fuzzy[:MOST_TERMS]
 
 
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int = 30) -> np.ndarray:

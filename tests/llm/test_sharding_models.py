@@ -178,3 +178,22 @@ def test_quotation_is_told_from_abuse():
     assert x[0, at["quoted"]] > 0 and x[0, at["addressed"]] == 0
     assert x[1, at["quoted"]] == 0 and x[1, at["addressed"]] > 0
     assert not x[2:].any()
+
+
+def test_misspelled_insults_are_flagged(spark):
+    rng = random.Random(4)
+    fill = ["the", "rain", "falls", "green", "table", "over", "water", "seven", "house", "bright", "cloud", "river"]
+    words = ["idiot", "moron", "stupid"]
+
+    def text(word=None):
+        out = rng.choices(fill, k=20)
+        return " ".join(out[:9] + ([word] if word else []) + out[9:])
+
+    learned = [(i, int(i % 2), text(words[i // 2 % 3]) if i % 2 else text()) for i in range(300)]
+    edits = [w[:k] + c + w[k + n:] for w in words for k in range(len(w)) for c, n in (("1", 1), ("*", 1), ("", 1), ("x", 0))]
+    rows = [(i, t) for i, _, t in learned] + [(1000 + i, text(w)) for i, w in enumerate(edits)] + [(5000 + i, text()) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, y, _ in learned], "doc_id long, toxic int")
+    got = {r.doc_id: r.predicted for r in toxicity.digest(docs, labels).collect()}
+    assert [w for i, w in enumerate(edits) if not got[1000 + i]] == []
+    assert not any(got[5000 + i] for i in range(40))
