@@ -15,6 +15,7 @@ from tableflow.llm import (
     quality_rules,
     secret_scan,
     sharding,
+    spelling,
     suffix_dedup,
     toxicity,
 )
@@ -65,9 +66,14 @@ def op10_benchmark_join(spark: SparkSession, sf: str) -> DataFrame:
     return decontaminate.digest(found)
 
 
+def op13_trie_node_pairs(spark: SparkSession, sf: str) -> DataFrame:
+    return spelling.digest(table(spark, sf, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_flow_resharding, op2_fourier_quality, op3_randomness_tests, op4_suffix_merge_sort, op5_fertility_rules,
         op6_combination_prefixes, op7_best_fit_packing, op8_lexicon_automata, op9_disclosure_terms, op10_benchmark_join,
+        op13_trie_node_pairs,
     )
 }
