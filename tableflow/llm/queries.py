@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tableflow.llm import (
     decontaminate,
+    embedding_dedup,
     jaccard_join,
     packing,
     pii,
@@ -18,6 +19,7 @@ from tableflow.llm import (
     spelling,
     suffix_dedup,
     toxicity,
+    whitening,
 )
 
 
@@ -66,6 +68,14 @@ def op10_benchmark_join(spark: SparkSession, sf: str) -> DataFrame:
     return decontaminate.digest(found)
 
 
+def op11_rank_one_whitening(spark: SparkSession, sf: str) -> DataFrame:
+    return whitening.digest(table(spark, sf, "embeddings"))
+
+
+def op12_collision_counting(spark: SparkSession, sf: str) -> DataFrame:
+    return embedding_dedup.digest(table(spark, sf, "embeddings"))
+
+
 def op13_trie_node_pairs(spark: SparkSession, sf: str) -> DataFrame:
     return spelling.digest(table(spark, sf, "documents"))
 
@@ -74,6 +84,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_flow_resharding, op2_fourier_quality, op3_randomness_tests, op4_suffix_merge_sort, op5_fertility_rules,
         op6_combination_prefixes, op7_best_fit_packing, op8_lexicon_automata, op9_disclosure_terms, op10_benchmark_join,
-        op13_trie_node_pairs,
+        op11_rank_one_whitening, op12_collision_counting, op13_trie_node_pairs,
     )
 }
