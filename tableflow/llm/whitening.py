@@ -29,6 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tableflow.llm import texts as X
 from tableflow.session import pinned
@@ -308,7 +309,7 @@ def whitened(rows: DataFrame, model: Whitening) -> DataFrame:
                 [b.column(0), pa.array(deviations(x), pa.int64()), pa.ListArray.from_arrays(offsets, y.ravel())], names=["row", "deviation", "whitened"]
             )
 
-    schema = rows.select("row", F.lit(0).cast("long").alias("deviation"), F.array(F.lit(0.0)).alias("whitened")).schema
+    schema = T.StructType([rows.schema["row"], T.StructField("deviation", T.LongType()), T.StructField("whitened", T.ArrayType(T.DoubleType()))])
     return X.small_batches(rows.select("row", "x")).mapInArrow(run, schema)
 
 

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 import zlib
 from collections import Counter
 
+import numpy as np
 import pyarrow.parquet as pq
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -164,3 +166,72 @@ def jaccard_components(docs: list[tuple]) -> list[tuple]:
             r = find(i)
             least[r] = min(d, least.get(r, d))
     return [(d, len(sets[i]), least.get(find(i))) for i, (d, _) in enumerate(docs)]
+
+
+def spelling(docs):
+    """word, form, root, n, n_near, form_n of (doc_id, text) rows, by trying every edit."""
+    count = Counter()
+    for i, t in docs:
+        for run in re.findall("[A-Za-z\u00c0-\u00ff]+", t or ""):
+            w = "".join(chr(ord(ch) + 32) if "A" <= ch <= "Z" else ch for ch in run)
+            h = zlib.crc32(f"{'' if i is None else i}:{w}".encode())
+            if h % 31 == 0:
+                w = w[: h % len(w)] + w[h % len(w) + 1 :]
+            if len(w) >= 7:
+                count[w] += 1
+    n = {w: c for w, c in count.items() if c >= 2}
+    near = {w: set() for w in n}
+    patterns = {}
+    for w in n:
+        for i in range(len(w)):
+            patterns.setdefault((w[:i], w[i + 1 :], len(w)), []).append(w)
+            short = w[:i] + w[i + 1 :]
+            if short in n:
+                near[w].add(short)
+                near[short].add(w)
+    for words in patterns.values():
+        for w in words:
+            near[w].update(v for v in words if v != w)
+    form = {}
+    for w in n:
+        best = min(near[w], key=lambda v: (-n[v], v), default=None)
+        if best is not None and n[best] >= 10 * n[w]:
+            form[w] = best
+    out = []
+    for w in n:
+        root = w
+        while root in form:
+            root = form[root]
+        out.append((w, form.get(w), root, n[w], len(near[w]), n[form[w]] if w in form else None))
+    return out
+
+
+def near_vectors(rows, least=0.93):
+    """(id, n_links, component, kept) of (id, vector, label) rows by comparing all pairs."""
+    size = len(rows)
+    links, lead = [0] * size, list(range(size))
+
+    def find(x):
+        while lead[x] != x:
+            x = lead[x]
+        return x
+
+    groups = {}
+    for k, (_, v, label) in enumerate(rows):
+        if v and label is not None and all(c is not None and math.isfinite(c) for c in v) and any(v):
+            groups.setdefault((label, len(v)), []).append(k)
+    for members in groups.values():
+        m = np.array([rows[k][1] for k in members], np.float64)
+        m /= np.abs(m).max(1, keepdims=True)
+        m /= np.sqrt((m * m).sum(1, keepdims=True))
+        at, to = np.nonzero(m @ m.T >= least)
+        for x, y in zip(at.tolist(), to.tolist()):
+            if x != y:
+                links[members[x]] += 1
+                a, b = find(members[x]), find(members[y])
+                lead[max(a, b)] = min(a, b)
+    least_id = {}
+    for k, (i, _, _) in enumerate(rows):
+        if i is not None:
+            least_id[find(k)] = min(i, least_id.get(find(k), i))
+    return [(i, links[k], least_id.get(find(k)), i == least_id.get(find(k))) for k, (i, _, _) in enumerate(rows)]
