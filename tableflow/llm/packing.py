@@ -42,8 +42,8 @@ _loaded: dict[str, V.Words] = {}
 def _vocabulary(path: str) -> V.Words:
     """Words to ids of a BPE with word ends.
 
-    Runs of letters a-z, accented Latin letters included, are one piece for the merges and go to them directly; any
-    other word goes through the whole tokenizer.
+    Runs of letters a-z, accented Latin letters included, are one piece for the merges and go to them directly, and so
+    do such runs with marks after them; any other word, one with a special token in it too, goes through the whole tokenizer.
     """
     if path not in _loaded:
         import json
@@ -53,7 +53,6 @@ def _vocabulary(path: str) -> V.Words:
         from tokenizers import Tokenizer
 
         whole = Tokenizer.from_file(path)
-        whole.encode_special_tokens = True
         with open(path, encoding="utf-8") as f:
             vocab = json.load(f)["model"]["vocab"]
         ranks = _ranks(vocab)
@@ -65,13 +64,12 @@ def _vocabulary(path: str) -> V.Words:
         def encode(words: list[bytes]) -> list[list[int]]:
             out: list[list[int]] = []
             odd: list[tuple[int, str]] = []
-            for w in words:
-                s = w.decode("utf-8", "replace")
-                low = s.lower()
-                if plain.fullmatch(low):
+            shown = b" ".join(words).decode("utf-8", "replace")
+            for s, low in zip(shown.split(" "), shown.lower().split(" "), strict=True):
+                if low.isascii() and low.isalpha() or plain.fullmatch(low):
                     out.append(bpe(low.encode() + _MARK))
                 elif m := marks.fullmatch(low):
-                    out.append([*bpe(m[1].encode() + _MARK), *bpe(m[2].encode() + _MARK)])
+                    out.append(bpe(m[1].encode() + _MARK) + bpe(m[2].encode() + _MARK))
                 else:
                     odd.append((len(out), s))
                     out.append([])
@@ -101,43 +99,52 @@ PIECE_FIELDS = [
     T.StructField("lengths", T.ArrayType(T.LongType())),
     T.StructField("crcs", T.ArrayType(T.LongType())),
 ]
+ID_FIELD = T.StructField("ids", T.ArrayType(T.ArrayType(T.IntegerType())))
 
 
-def _pieces_of(column: pa.Array, path: str, length: int, end_id: int):
-    words = _vocabulary(path)
+def _pieces_of(column: pa.Array, path: str | None, length: int, end_id: int, with_ids: bool):
+    words = _vocabulary(path or V.public_path(VOCABULARY))
     for _, _, c in X.chunks(column):
         c.words(X.SPACED)
         ids, n = words.ids(c)
         at = V.per_doc(c, n).tolist()
-        starts, lengths, crcs = [], [], []
+        starts, lengths, crcs, pieces = [], [], [], []
         for d in range(c.n):
             mine = np.append(ids[at[d] : at[d + 1]], np.uint32(end_id)).astype("<u4")
             cuts = range(0, len(mine), length)
             starts.append(list(cuts))
             lengths.append([min(length, len(mine) - s) for s in cuts])
             crcs.append([zlib.crc32(mine[s : s + length].tobytes()) for s in cuts])
-        yield [pa.array(x, pa.list_(pa.int64())) for x in (starts, lengths, crcs)]
+            if with_ids:
+                pieces.append([mine[s : s + length].astype(np.int32) for s in cuts])
+        out = [pa.array(x, pa.list_(pa.int64())) for x in (starts, lengths, crcs)]
+        yield [*out, pa.array(pieces, pa.list_(pa.list_(pa.int32())))] if with_ids else out
 
 
 def pieces(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", vocabulary: str | None = None, length: int = LENGTH,
-    end_id: int = END_ID,
+    end_id: int = END_ID, with_ids: bool = False,
 ) -> DataFrame:
-    """doc_id, piece, start, length and ids_crc32 of every piece. Words are encoded apart: no token spans white space."""
-    path = vocabulary or V.public_path(VOCABULARY)
-    found = X.per_text(docs, text, [doc_id], PIECE_FIELDS, lambda column: _pieces_of(column, path, length, end_id))
-    cut = F.posexplode(F.arrays_zip("out.starts", "out.lengths", "out.crcs")).alias("piece", "p")
+    """doc_id, piece, start, length and ids_crc32 of every piece, and its ids. Words are encoded apart: no token spans
+    white space. ``vocabulary`` is a path that every task can open; the installed public file by default."""
+    fields = [*PIECE_FIELDS, ID_FIELD] if with_ids else PIECE_FIELDS
+    found = X.per_text(docs, text, [doc_id], fields, lambda column: _pieces_of(column, vocabulary, length, end_id, with_ids))
+    cut = F.posexplode(F.arrays_zip(*[F.col(f"out.{f.name}").alias(f.name) for f in fields])).alias("piece", "p")
     return found.select(F.col(f"doc.`{doc_id}`").alias("doc_id"), cut).select(
         "doc_id", "piece", F.col("p.starts").alias("start"), F.col("p.lengths").alias("length"),
-        F.col("p.crcs").alias("ids_crc32"),
+        F.col("p.crcs").alias("ids_crc32"), *([F.col("p.ids").alias("ids")] if with_ids else []),
     )
 
 
 def lower_bound(lengths: np.ndarray, capacity: int) -> int:
-    """Bins that items of these lengths need at least, by dual feasible functions."""
-    if not len(lengths):
+    """Bins that items of these lengths need at least."""
+    return bound_of(np.bincount(lengths, minlength=capacity + 1).astype(np.int64), capacity)
+
+
+def bound_of(count: np.ndarray, capacity: int) -> int:
+    """The same from the number of items of each length, by dual feasible functions."""
+    if not count.any():
         return 0
-    count = np.bincount(lengths, minlength=capacity + 1).astype(np.int64)
     x = np.arange(capacity + 1)
     best = -(-int(count @ x) // capacity)
     # Items above capacity - e count as a whole bin, those below e as nothing.
@@ -223,9 +230,31 @@ def pack(items: DataFrame, capacity: int = LENGTH, per_group: int = PIECES, roun
     return out
 
 
+def placed(items: DataFrame, capacity: int) -> DataFrame:
+    """uid, sequence_id, offset, and the certificate: n_sequences used, and least_sequences that any packing needs."""
+    count = np.zeros(capacity + 1, np.int64)
+    for r in items.groupBy("length").count().collect():  # a row per length
+        count[r.length] = r["count"]
+    at = pinned(pack(items, capacity), "places")
+    used = at.where(F.col("offset") == 0).count()
+    return at.withColumns({"n_sequences": F.lit(used).cast("long"), "least_sequences": F.lit(bound_of(count, capacity)).cast("long")})
+
+
 def packed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **kw) -> DataFrame:
-    """One row per piece with its place."""
+    """One row per piece with its place, and the certificate."""
     items = pinned(pieces(docs, doc_id, text, **kw).withColumn("uid", F.monotonically_increasing_id()), "pieces")
-    return items.join(pack(items, kw.get("length", LENGTH)), "uid").select(
-        "doc_id", F.col("piece").cast("int").alias("piece"), "start", "length", "ids_crc32", "sequence_id", "offset"
+    return items.join(placed(items.select("uid", "length"), kw.get("length", LENGTH)), "uid").select(
+        "doc_id", F.col("piece").cast("int").alias("piece"), "start", "length", "ids_crc32", "sequence_id", "offset",
+        "n_sequences", "least_sequences",
+    )
+
+
+def sequences(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **kw) -> DataFrame:
+    """The training sequences: sequence_id, its ``ids``, and ``parts`` (offset, doc_id, start) in order."""
+    items = pinned(pieces(docs, doc_id, text, with_ids=True, **kw).withColumn("uid", F.monotonically_increasing_id()), "pieces")
+    at = items.join(placed(items.select("uid", "length"), kw.get("length", LENGTH)), "uid")
+    part = F.struct("offset", "doc_id", "start", "ids")
+    whole = at.groupBy("sequence_id").agg(F.array_sort(F.collect_list(part)).alias("p"))  # at most ``length`` ids
+    return whole.select(
+        "sequence_id", F.flatten("p.ids").alias("ids"), F.transform("p", lambda x: F.struct(x["offset"], x["doc_id"], x["start"])).alias("parts"),
     )

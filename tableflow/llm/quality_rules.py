@@ -150,8 +150,7 @@ def measure(
     docs: DataFrame, carry: list[str], text: str = "text", vocabulary: str | None = None
 ) -> DataFrame:
     """``doc`` (the carried columns) and ``out`` (base counts, measures, main script) per text."""
-    path = vocabulary or V.public_path(VOCABULARY)
-    return X.per_text(docs, text, carry, FIELDS, lambda column: _measured(column, path))
+    return X.per_text(docs, text, carry, FIELDS, lambda column: _measured(column, vocabulary or V.public_path(VOCABULARY)))
 
 
 def base_failed() -> Column:

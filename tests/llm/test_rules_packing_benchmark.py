@@ -30,9 +30,7 @@ def table(spark, rows=ODD):
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    t = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
 
 
 def test_rules_match_brute_force(spark):
@@ -119,7 +117,8 @@ def test_packing_whole_table(spark, tokenizer):
     ]
     assert sorted(map(tuple, [r[:5] for r in got])) == sorted(want)
     n = check_places(got)
-    assert n <= packing.lower_bound(np.array([r.length for r in got]), 4096) + 1
+    least = packing.lower_bound(np.array([r.length for r in got]), 4096)
+    assert {(r.n_sequences, r.least_sequences) for r in got} == {(n, least)} and least <= n <= least + 1
 
 
 def test_packing_odd_rows(spark, tokenizer):
@@ -131,6 +130,30 @@ def test_packing_odd_rows(spark, tokenizer):
     assert packing.packed(table(spark, ODD[:0])).count() == 0
 
 
+def test_special_tokens_in_texts(spark, tokenizer):
+    texts = ["some text <|endoftext|> more", "a<|startoftext|>b's", "<|endoftext|>", "<|endoftext|", "x <|ENDOFTEXT|> y's 12ab don't!"]
+    got = packing.pieces(table(spark, list(enumerate(texts))), with_ids=True).collect()
+    want = [[*tokenizer.encode(t, add_special_tokens=False).ids, 1] for t in texts]
+    assert [list(r.ids) for r in sorted(got, key=lambda r: r.doc_id)] == want
+    assert 49407 in want[0] and 49406 in want[1]
+
+
+def test_sequences_hold_all_ids(spark, tokenizer):
+    rows = [r for r in ODD if r[0] is not None]
+    want = {}
+    for i, t in rows:
+        want.setdefault(i, []).append([*tokenizer.encode(t or "", add_special_tokens=False).ids, 1])
+    got = {}
+    for r in packing.sequences(table(spark, rows)).collect():
+        ends = [p.offset for p in r.parts[1:]] + [len(r.ids)]
+        assert len(r.ids) <= 4096 and r.parts[0].offset == 0
+        for p, end in zip(r.parts, ends):
+            got.setdefault(p.doc_id, []).append((p.start, list(r.ids[p.offset : end])))
+    for i, texts in want.items():
+        cut = sorted((s, ids[s : s + 4096]) for ids in texts for s in range(0, len(ids), 4096))
+        assert sorted(got[i]) == cut
+
+
 def test_packing_in_many_groups(spark):
     rng = np.random.default_rng(0)
     lengths = rng.integers(1, 4096, 6000).tolist()
