@@ -7,7 +7,7 @@ counts, or the last value, over to the next ones.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
@@ -17,6 +17,8 @@ ROWS_PER_BUCKET = 1_000_000
 MAX_BUCKETS = 2000
 QUANTILE_ACCURACY = 20_000
 
+POSITIONS_PER_BUCKET = 10_000
+
 BUCKET = "__bucket"
 
 
@@ -67,6 +69,28 @@ def add_rank(df: DataFrame, order: str, by: Sequence[str] = (), name: str = "_ra
     return joined.withColumn(name, F.col("__before") + F.col("__rn") - 1).drop("__before", "__rn")
 
 
+def running_totals(
+    df: DataFrame, totals: Mapping[str, Column], order: Sequence[str], at: str, by: Sequence[str] = (),
+    per_bucket: int = POSITIONS_PER_BUCKET,
+) -> DataFrame:
+    """Add sums over the earlier rows of the same ``by`` values, in the order of the ``order`` columns and then of ``at``.
+
+    ``at`` numbers the rows of one ``order`` value, as positions in a commit do, with or without gaps. Stretches of
+    ``per_bucket`` numbers are summed first and laid end to end, so no task sees more rows than that, however many there
+    are of one ``order`` value.
+    """
+    keys = [*by, *order, BUCKET]
+    cut = df.withColumn(BUCKET, F.floor(F.col(at) / per_bucket)).withColumns({f"__v_{n}": F.coalesce(v, F.lit(0)) for n, v in totals.items()})
+    sums = cut.groupBy(*keys).agg(*[F.sum(f"__v_{n}").alias(f"__s_{n}") for n in totals])
+    earlier = Window.partitionBy(*by).orderBy(*order, BUCKET).rowsBetween(Window.unboundedPreceding, -1)  # one row per bucket
+    carried = sums.select(*keys, *[F.coalesce(F.sum(f"__s_{n}").over(earlier), F.lit(0)).alias(f"__c_{n}") for n in totals])
+    inside = Window.partitionBy(*keys).orderBy(at).rowsBetween(Window.unboundedPreceding, -1)
+    placed = cut.select("*", *[F.coalesce(F.sum(f"__v_{n}").over(inside), F.lit(0)).alias(f"__i_{n}") for n in totals])
+    return placed.join(carried, keys).select(
+        *[F.col(f"`{c}`") for c in df.columns], *[(F.col(f"__c_{n}") + F.col(f"__i_{n}")).cast("bigint").alias(n) for n in totals]
+    )
+
+
 def commit_groups(
     df: DataFrame, order: str, records_per_commit: int, by: Sequence[str] = (), name: str = "_group",
     rows_per_bucket: int = ROWS_PER_BUCKET, n_rows: int | None = None,

@@ -50,6 +50,9 @@ class FeedOptions:
     start_timestamp: dt.datetime | int | None = None
     max_read_bytes: int = MAX_READ_BYTES
     max_read_rows: int = MAX_READ_ROWS
+    #: Whether a read round is held to the two limits. They are meant for readers that hold a round in memory; Spark
+    #: splits and spills what it reads, so the limits count only where they were asked for: by name, or by another value.
+    limit_rounds: bool | None = None
     n_slots: int = 0
     include_rewrites: bool = True
     storage: dict[str, str] = field(default_factory=dict)
@@ -73,6 +76,8 @@ class FeedOptions:
             raise OptionError("table_path must be set")
         _positive(self, "max_read_bytes", MAX_READ_BYTES)
         _positive(self, "max_read_rows", MAX_READ_ROWS)
+        if self.limit_rounds is None:
+            self.limit_rounds = (self.max_read_bytes, self.max_read_rows) != (MAX_READ_BYTES, MAX_READ_ROWS)
 
     @property
     def periodic_checkpoint(self) -> bool:
@@ -86,7 +91,9 @@ class FeedOptions:
             raise OptionError("type must be set")
         if kind != "delta":
             raise OptionError(f"only 'delta' tables have a change feed, not {kind!r}")
-        return FeedOptions(**_known(FeedOptions, raw, FeedOptions.NAMES), storage=_hadoop_options(raw))
+        given = _known(FeedOptions, raw, FeedOptions.NAMES)
+        limited = True if {"max_read_bytes", "max_read_rows"} & set(given) else None
+        return FeedOptions(**given, limit_rounds=limited, storage=_hadoop_options(raw))
 
 
 @dataclass

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tableflow.functions import cursor as C
 from tableflow.operators import changes as CH
 from tableflow.options import LATEST, FeedOptions
+from tableflow.session import pinned
 from tableflow.sources import log as L
 
 
@@ -101,3 +103,56 @@ def feed(
         capture_ts=capture_ts,
         positions=positions,
     )
+
+
+@dataclass(frozen=True)
+class Round:
+    """A part of a feed: its change records, the cursor per slot once they are handled, and where it ends."""
+
+    number: int
+    records: DataFrame
+    cursors: DataFrame
+    end: CH.RoundEnd
+    last_version: int
+
+
+def feed_rounds(
+    spark: SparkSession,
+    options: FeedOptions,
+    saved: Mapping[str, str] | None = None,
+    end: int | None = None,
+    capture_ts: int | None = None,
+    after: Round | None = None,
+    instance: int = 0,
+    instances: int = 1,
+) -> Iterator[Round]:
+    """The feed in rounds of at most ``max_read_rows`` rows and ``max_read_bytes`` bytes of files.
+
+    A round ends at a file, also inside a version, so a version of any size is read in several rounds. Their records with
+    positions are together the whole feed. ``after`` is the last round that was handled: another process goes on
+    behind it, with the same other arguments; the feed then ends where the first one's did.
+    """
+    start = restore(spark, options, saved or {}, instance, instances)
+    if start is None:
+        return
+    path = options.table_path.rstrip("/")
+    if after is not None:
+        last = after.last_version
+    else:
+        last = L.latest_version(spark, path) if end is None else end
+    acts = CH.feed_actions(
+        spark, path, start.version, last, full=start.mode == C.FULL, n_slots=options.n_slots,
+        checkpoints=start.checkpoints if start.resumed else None, include_rewrites=options.include_rewrites,
+        owner=(instance, instances) if instances > 1 else None,
+    )
+    if "min_row" not in acts.columns:
+        acts = acts.withColumn("min_row", F.lit(0).cast("bigint"))
+    acts = CH.sequence_offsets(CH.with_row_counts(spark, path, acts))
+    laid = pinned(CH.laid_out(acts), "rounds")
+    history = L.epochs(spark, path, last)
+    number, at = (after.number + 1, after.end) if after is not None else (0, None)
+    while (found := CH.next_round(laid, at, options.max_read_rows, options.max_read_bytes)) is not None:
+        part, at = found
+        records = CH.change_records(spark, path, part, last, capture_ts, True, from_version=start.version, history=history)
+        yield Round(number, records, C.furthest(part), at, last)
+        number += 1

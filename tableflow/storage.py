@@ -34,6 +34,13 @@ def mkdirs(spark: SparkSession, path: str) -> None:
     p.getFileSystem(_conf(spark)).mkdirs(p)
 
 
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders below one folder; none where there is no such folder."""
+    p = _path(spark, path)
+    fs = p.getFileSystem(_conf(spark))
+    return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()) if fs.exists(p) else []
+
+
 def part_files(spark: SparkSession, folder: str) -> list[str]:
     """Names of the part files Spark wrote into one folder."""
     p = _path(spark, folder)
