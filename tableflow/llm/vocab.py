@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import importlib
 from collections.abc import Callable
+from itertools import chain
 
 import numpy as np
 
 from tableflow.llm import texts as X
 
-REMEMBERED = 150_000
+REMEMBERED = 1_000_000
 
 
 def public_path(name: str) -> str:
@@ -20,12 +21,30 @@ def public_path(name: str) -> str:
 class Words:
     """Encodes distinct words with ``encode`` (bytes of many words -> their ids) and remembers them by hash.
 
-    The memory is dropped when it has REMEMBERED words: it saves time and never changes a result.
+    The memory is sorted arrays. It is dropped when it has REMEMBERED words: it saves time and never changes a result.
     """
 
     def __init__(self, encode: Callable[[list[bytes]], list[list[int]]]):
         self.encode = encode
-        self.known: dict[int, tuple[int, ...]] = {}
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known = np.zeros(0, np.uint64)
+        self.at, self.n = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.flat, self.used = np.zeros(1 << 16, np.uint32), 0
+
+    def _learn(self, hashes: np.ndarray, words: list[bytes]) -> None:
+        lists = self.encode(words)
+        n = np.fromiter(map(len, lists), np.int64, len(lists))
+        total = int(n.sum())
+        while self.used + total > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.zeros(len(self.flat), np.uint32)])
+        self.flat[self.used : self.used + total] = np.fromiter(chain.from_iterable(lists), np.uint32, total)
+        place = np.searchsorted(self.known, hashes)
+        self.at = np.insert(self.at, place, self.used + np.cumsum(n) - n)
+        self.n = np.insert(self.n, place, n)
+        self.known = np.insert(self.known, place, hashes)
+        self.used += total
 
     def ids(self, c: X.Chunk) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all words of the chunk in order, and how many each word has."""
@@ -33,24 +52,21 @@ class Words:
         if not len(hashes):
             return np.zeros(0, np.uint32), np.zeros(0, np.int64)
         distinct, first, which = np.unique(hashes, return_index=True, return_inverse=True)
-        keys = distinct.tolist()
         if len(self.known) > REMEMBERED:
-            self.known.clear()
-        known = self.known
-        new = [i for i, k in enumerate(keys) if k not in known]
-        if new:
+            self._forget()
+        new = np.ones(len(distinct), bool)
+        if len(self.known):
+            near = np.minimum(np.searchsorted(self.known, distinct), len(self.known) - 1)
+            new = self.known[near] != distinct
+        if new.any():
             at = first[new]
-            words = [c.data[s:e].tobytes() for s, e in zip(c.ws[at].tolist(), c.we[at].tolist(), strict=True)]
-            for i, ids in zip(new, self.encode(words), strict=True):
-                known[keys[i]] = tuple(ids)
-        lists = [known[k] for k in keys]
-        n = np.fromiter(map(len, lists), np.int64, len(lists))
-        flat = np.fromiter((t for ids in lists for t in ids), np.uint32, int(n.sum()))
-        at = np.cumsum(n) - n
-        lengths = n[which]
+            whole = c.data.tobytes()
+            self._learn(distinct[new], [whole[s:e] for s, e in zip(c.ws[at].tolist(), c.we[at].tolist(), strict=True)])
+        place = np.searchsorted(self.known, distinct)
+        lengths = self.n[place][which]
         ends = np.cumsum(lengths)
         step = np.arange(int(ends[-1])) - np.repeat(ends - lengths, lengths)
-        return flat[np.repeat(at[which], lengths) + step], lengths
+        return self.flat[np.repeat(self.at[place][which], lengths) + step], lengths
 
 
 def per_doc(c: X.Chunk, lengths: np.ndarray) -> np.ndarray:
