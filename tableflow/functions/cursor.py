@@ -143,18 +143,23 @@ def acknowledged(records: DataFrame) -> DataFrame:
     )
 
 
-def furthest(acts: DataFrame) -> DataFrame:
+def furthest(acts: DataFrame, totals: bool = False) -> DataFrame:
     """The cursor per slot that ``acknowledged`` finds, told from file actions alone: the last row of the last file with rows.
 
     ``acts`` has ``slot, is_full, version, idx, n_rows, min_row`` and, for sequence counts, ``seq_before``; no row is read.
+    ``totals`` adds files, bytes and rows to hand on, and keeps slots without rows, whose cursor is null.
     """
     seq = F.col("seq_before") + F.col("n_rows") - 1 - F.col("min_row") if "seq_before" in acts.columns else F.lit(0)
     pos = position(F.col("is_full"), F.col("version"), F.col("idx"), F.col("n_rows") - 1)
-    last = acts.where(F.col("n_rows") > F.col("min_row")).groupBy("slot").agg(F.max(F.struct(pos.alias("p"), seq.alias("seq"))).alias("m"))
-    return last.select(
-        "slot", state_key_column(F.col("slot")).alias("state_key"),
-        cursor_json(F.col("m.p.state") == 0, F.col("m.p.version"), F.col("m.p.index"), F.col("m.p.row"), F.col("m.seq")).alias("cursor"),
+    some = F.col("n_rows") > F.col("min_row")
+    last = acts.groupBy("slot").agg(
+        F.max(F.when(some, F.struct(pos.alias("p"), seq.alias("seq")))).alias("m"), F.count(F.lit(1)).alias("files"),
+        F.sum(F.coalesce("size", F.lit(0))).alias("bytes"), F.sum(F.when(some, F.col("n_rows") - F.col("min_row")).otherwise(0)).alias("rows"),
     )
+    cursor = cursor_json(F.col("m.p.state") == 0, F.col("m.p.version"), F.col("m.p.index"), F.col("m.p.row"), F.col("m.seq"))
+    out = last.select("slot", state_key_column(F.col("slot")).alias("state_key"), F.when(F.col("m").isNotNull(), cursor).alias("cursor"),
+                      "files", "bytes", "rows")
+    return out if totals else out.where("cursor is not null").drop("files", "bytes", "rows")
 
 
 def minimum(checkpoints: Mapping[int, Cursor]) -> Cursor | None:

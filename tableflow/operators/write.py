@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tableflow import storage
+from tableflow.functions import conditions as Q
 from tableflow.functions import partitions
 from tableflow.functions import schema as S
 from tableflow.sources import log as L
@@ -31,6 +32,24 @@ def to_physical(df: DataFrame, schema: T.StructType, extra: Sequence[str] = ())
     return df.select(*cols, *extra)
 
 
+#: What a file should have.
+TARGET_FILE_BYTES = 128 << 20
+#: Plans that know nothing of their size say so by a huge number.
+_UNKNOWN_BYTES = 1 << 60
+_WIDTH = {T.LongType: 8, T.DoubleType: 8, T.TimestampType: 8, T.TimestampNTZType: 8, T.IntegerType: 4, T.FloatType: 4, T.DateType: 4}
+
+
+def _expected_files(
+    df: DataFrame, schema: T.StructType, n_rows: int | None, row_bytes: float | None, target_bytes: int
+) -> int | None:
+    """How many files of the target size some rows make; None if nothing tells how many bytes there are."""
+    if n_rows is not None:
+        size = n_rows * (row_bytes or sum(_WIDTH.get(type(f.dataType), 20) for f in schema.fields))
+    else:
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return None if size >= _UNKNOWN_BYTES else max(1, -(-int(size) // target_bytes))
+
+
 def write_files(
     df: DataFrame,
     path: str,
@@ -40,12 +59,17 @@ def write_files(
     sort_by: Sequence[str] = (),
     multi_commit: bool = False,
     rows_per_file: int = 0,
+    n_rows: int | None = None,
+    row_bytes: float | None = None,
+    target_bytes: int = TARGET_FILE_BYTES,
 ) -> None:
     """Write rows under ``path``; nothing is visible to readers until the files are published.
 
     ``df`` carries the column ``_commit``, the token of the commit each row belongs to. Partitioned writes are
     rebalanced on the partition columns: small values end in one file each, while AQE splits a value that holds much
-    of the data over many tasks. Unpartitioned writes need no shuffle: as many tasks write as read.
+    of the data over many tasks. Unpartitioned writes need no shuffle: so many tasks write as files of ``target_bytes`` are
+    expected, or as many as read if that is fewer, and a task that gets more starts a new file at that size. The size is
+    expected from ``n_rows``, or the plan's own estimate, and the bytes of a row in the table so far.
     ``rows_per_file`` starts a new file after that many rows.
     """
     physical = {f.name: S.physical_name(f) for f in schema.fields}
@@ -58,27 +82,39 @@ def write_files(
             out = out.withColumn(physical[f.name], partitions.folder_text(F.col(f"`{physical[f.name]}`")))
     if partition_columns or multi_commit:
         out = out.hint("rebalance", *keys)
+    elif (files := _expected_files(out, schema, n_rows, row_bytes, target_bytes)) is not None:
+        out = out.coalesce(files)
+    if rows_per_file <= 0 and row_bytes:
+        rows_per_file = max(1, int(target_bytes / row_bytes))
     if sort_by:
         out = out.sortWithinPartitions(*keys, *sort_by)
-    writer = out.write.mode("append").partitionBy(*keys).option("compression", compression)
+    own = storage.options_of(df.sparkSession, path)
+    writer = out.write.options(**own).mode("append").partitionBy(*keys).option("compression", compression)
     if rows_per_file > 0:
         writer = writer.option("maxRecordsPerFile", rows_per_file)
     writer.parquet(path)
 
 
 def written_files(
-    spark: SparkSession, path: str, tokens: Sequence[str], schema: T.StructType, partition_columns: Sequence[str] = ()
+    spark: SparkSession, path: str, tokens: Sequence[str], schema: T.StructType, partition_columns: Sequence[str] = (),
+    stats_columns: Sequence[str] = (),
 ) -> DataFrame:
-    """The files of some commits as ``token, path, pv, size, num_records, folder_files``.
+    """The files of some commits as ``token, path, pv, size, num_records, folder_files, stats``.
 
-    No data column is read, so the scan only touches Parquet footers.
+    Only the columns to keep statistics of are read; without any, the scan touches nothing but Parquet footers. Sums per file
+    are made before the shuffle, which carries a row per file.
     """
     root = storage.root_uri(spark, path)
     types = {f.name: f for f in schema.fields}
     part_fields = [T.StructField(S.physical_name(types[c]), T.StringType()) for c in partition_columns]
     dirs = [storage.glob_safe(f"{path.rstrip('/')}/{L.DATA_COMMIT}={t}") for t in tokens]
+    measured = {
+        S.physical_name(types[c]): S.plain_type(types[c].dataType)
+        for c in stats_columns if c in types and c not in partition_columns and Q.has_bounds(S.plain_type(types[c].dataType))
+    }
+    read = [T.StructField(n, t) for n, t in measured.items()]
     scan = (
-        spark.read.schema(T.StructType([T.StructField(L.DATA_COMMIT, T.StringType()), *part_fields]))
+        storage.reader(spark, path).schema(T.StructType([*read, T.StructField(L.DATA_COMMIT, T.StringType()), *part_fields]))
         .option("basePath", path)
         .parquet(*dirs)
     )
@@ -90,17 +126,24 @@ def written_files(
             (partitions.from_folder(F.col(f.name)) if isinstance(types[c].dataType, T.StringType) else F.col(f.name)).alias(f"p{i}")
             for i, (c, f) in enumerate(zip(partition_columns, part_fields))
         ],
+        *[F.col(f"`{n}`").alias(f"v{i}") for i, n in enumerate(measured)],
     )
     keys = ["token", "uri", "size", *[f"p{i}" for i in range(len(part_fields))]]
     pairs = [x for i, c in enumerate(partition_columns) for x in (F.lit(c), F.col(f"p{i}"))]
     pv = F.create_map(*pairs) if pairs else F.create_map()
-    return per_file.groupBy(*keys).agg(F.count(F.lit(1)).alias("num_records")).select(
+    sums, kept = [], {}
+    for i, (n, t) in enumerate(measured.items()):
+        low, high = Q.bounds(F.col(f"v{i}"), t)
+        sums += [low.alias(f"lo{i}"), high.alias(f"hi{i}"), F.count(f"v{i}").alias(f"n{i}")]
+        kept[n] = (F.col(f"lo{i}"), F.col(f"hi{i}"), F.col("num_records") - F.col(f"n{i}"))
+    return per_file.groupBy(*keys).agg(F.count(F.lit(1)).alias("num_records"), *sums).select(
         "token",
         F.expr(f"substr(uri, {len(root) + 2})").alias("path"),
         pv.cast("map<string,string>").alias("pv"),
         "size",
         "num_records",
         F.count(F.lit(1)).over(Window.partitionBy("token")).alias("folder_files"),
+        Q.stats_json(F.col("num_records"), kept).alias("stats"),
     )
 
 
@@ -139,11 +182,16 @@ def append(
     compression: str = "snappy",
     sort_by: Sequence[str] = (),
     timestamps: dict | None = None,
+    stats_columns: Sequence[str] = (),
+    n_rows: int | None = None,
+    target_bytes: int = TARGET_FILE_BYTES,
 ) -> list[int]:
     """Append rows, creating the table when needed. Returns the new versions.
 
     ``commit_by`` names a column whose values, in order, become one commit each: all data is written in one job and
     published version by version. The column itself is not stored. ``timestamps`` fixes commit times per value.
+    ``stats_columns`` get their least and greatest values and null counts per file into the log; ``n_rows`` and ``target_bytes``
+    are as in ``write_files``.
     """
     data = df.drop(commit_by) if commit_by else df
     start: list[L.Commit] = []
@@ -166,10 +214,12 @@ def append(
         names = spark.createDataFrame(list(tokens.items()), T.StructType([kind, T.StructField(L.DATA_COMMIT, T.StringType())]))
         same = F.col(commit_by).eqNullSafe(F.col("__group"))
         tagged = df.join(F.broadcast(names), same).drop(commit_by, "__group")  # one row per commit
-    write_files(tagged, path, schema, partition_columns, compression, sort_by, multi_commit=commit_by is not None)
+    row_bytes = None if start or partition_columns or commit_by is not None else L.row_bytes(spark, path, L.latest_version(spark, path))
+    write_files(tagged, path, schema, partition_columns, compression, sort_by, multi_commit=commit_by is not None,
+                n_rows=n_rows, row_bytes=row_bytes, target_bytes=target_bytes)
     stamps = {tokens[g]: (timestamps or {}).get(g) for g in groups}
     commits = start + [L.Commit(t, "WRITE", timestamp=stamps[t]) for t in tokens.values()]
-    done = publish_written(spark, path, schema, partition_columns, commits, after=-1 if start else None)
+    done = publish_written(spark, path, schema, partition_columns, commits, -1 if start else None, stats_columns)
     return done[len(start):]
 
 
@@ -180,6 +230,7 @@ def publish_written(
     partition_columns: Sequence[str],
     commits: Sequence[L.Commit],
     after: int | None = None,
+    stats_columns: Sequence[str] = (),
 ) -> list[int]:
     """Publish commits whose files were written with their tokens."""
     base = f"{path.rstrip('/')}/{L.DATA_COMMIT}="
@@ -191,7 +242,7 @@ def publish_written(
         return []
     if not tokens:
         return L.publish(spark, path, commits, None, after)
-    files = written_files(spark, path, [c.token for c in written], schema, partition_columns)
+    files = written_files(spark, path, [c.token for c in written], schema, partition_columns, stats_columns)
     fixed = {c.token: c.timestamp for c in commits if c.timestamp is not None}
     now = F.unix_millis(F.current_timestamp())
     stamps = now

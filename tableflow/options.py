@@ -16,6 +16,7 @@ MAX_READ_BYTES = 1 << 30
 COMMIT_INTERVAL_S = 120
 RECORDS_PER_COMMIT = 10_000_000
 COMMIT_FAILURES = 5
+TARGET_FILE_BYTES = 128 << 20
 CODECS = ("uncompressed", "snappy", "gzip", "lzo", "brotli", "lz4", "zstd")
 LAYOUTS = {"delta": "append", "iceberg": "evolving", "hudi": "keyed"}
 CATALOGS = ("hadoopCatalog", "hiveCatalog")
@@ -109,6 +110,8 @@ class IngestOptions:
     field_name: str = ""
     compression: str = "snappy"
     records_per_file: int = 0
+    target_file_bytes: int = TARGET_FILE_BYTES
+    stats_columns: list[str] = field(default_factory=list)
     app_id: str = "tableflow-ingest"
     record_key: str = ""
     partition_path: str = ""
@@ -141,6 +144,7 @@ class IngestOptions:
             self.partition_columns = []
         _positive(self, "commit_interval_s", COMMIT_INTERVAL_S)
         _positive(self, "records_per_commit", RECORDS_PER_COMMIT)
+        _positive(self, "target_file_bytes", TARGET_FILE_BYTES)
         if self.compression.lower() not in CODECS:
             warnings.warn(f"unknown compression {self.compression!r}, using snappy", stacklevel=3)
             self.compression = "snappy"

@@ -16,6 +16,13 @@ SELECT o_orderkey, o_orderstatus, {_VERSION} AS v, {_IDX} AS i, {_SLOT} AS slot,
 FROM orders
 """
 
+# the feed's records, added ones with their place in the slot
+_TAILED = f"""
+SELECT o_orderkey, 'c' AS _op, v AS _version, slot AS _slot, row_number() OVER (PARTITION BY slot ORDER BY v, i, r) - 1 AS _seq
+FROM ({_POSITIONS}) WHERE v >= {{first}}
+UNION ALL SELECT o_orderkey, 'r', 8, slot, NULL FROM ({_POSITIONS}) WHERE o_orderstatus = 'P'
+"""
+
 _MESSAGES = """
 SELECT event_id, ts, user_id, event_type AS kind, value AS amount,
        ts >= TIMESTAMP '2024-01-15' AS late FROM events
@@ -226,6 +233,30 @@ ORACLES: dict[str, str] = {
         SELECT o_orderkey, o_orderstatus, 'c' AS _op, {_VERSION} AS _version, {_SLOT} AS _slot
         FROM orders WHERE {_VERSION} >= 3
         UNION ALL SELECT o_orderkey, o_orderstatus, 'r', 8, {_SLOT} FROM orders WHERE o_orderstatus = 'P'""",
+    "feed_in_rounds": f"""
+        SELECT o_orderkey, 'c' AS _op, v AS _version, slot AS _slot,
+               row_number() OVER (PARTITION BY slot ORDER BY v, i, r) - 1 AS _seq FROM ({_POSITIONS})""",
+    "tail_with_failures": _TAILED.format(first=2),
+    "drained_tail": _TAILED.format(first=1),
+    "timed_cursor_export": f"""
+        SELECT 'checkpoint' || slot AS state_key,
+               '{{"state": "INCREMENTAL_COPY", "snapShotVersion": 7, "metadataChangeFileIndex": ' || max(i) || ', "rowNum": '
+               || max(r) FILTER (WHERE v = 7) || ', "seqCount": ' || (count(*) - 1) || '}}' AS cursor
+        FROM ({_POSITIONS}) WHERE slot <> 2 GROUP BY slot""",
+    "resume_without_checkpoint": f"""
+        SELECT o_orderkey, slot AS _slot, v AS _version, r AS _row_num FROM ({_POSITIONS}) WHERE slot <> 0 OR (v, i, r) >= (4, 2, 50)""",
+    "feed_total_order": f"""
+        SELECT o_orderkey, row_number() OVER (ORDER BY v, i, r) - 1 AS place FROM ({_POSITIONS})""",
+    "snapshot_skipping_files": """
+        SELECT * FROM (SELECT o_orderkey, o_totalprice, CASE WHEN o_orderstatus <> 'P'
+            THEN 'order placed with priority number ' || o_orderpriority || ' in ' || year(o_orderdate) END AS note
+          FROM orders WHERE o_orderdate >= TIMESTAMP '1997-03-01' AND o_orderdate < TIMESTAMP '1998-09-01' AND o_totalprice > 50000)
+        WHERE note >= 'order placed with priority number 2'""",
+    "crash_and_recovery": f"SELECT user_id, kind FROM ({_MESSAGES})",
+    "keyed_evolution": f"""
+        SELECT user_id, CASE WHEN late THEN amount END AS amount, kind FROM ({_MESSAGES})
+        QUALIFY row_number() OVER (PARTITION BY late, user_id ORDER BY event_id DESC) = 1""",
+    "options_by_name": f"SELECT user_id, kind, 'kind=' || kind AS _partition_value FROM ({_MESSAGES})",
     "stream_ingest_events": f"SELECT user_id, kind FROM ({_MESSAGES})",
     "feed_metrics": f"""
         SELECT {_VERSION} AS version, count(DISTINCT o_orderstatus) AS actions_prepared,

@@ -11,7 +11,8 @@ import warnings
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,6 +25,7 @@ from tableflow.operators import write as W
 from tableflow.options import IngestOptions
 from tableflow.session import pinned
 from tableflow.sources import log as L
+from tableflow.storage import VersionConflict
 
 _log = logging.getLogger(__name__)
 
@@ -34,6 +36,10 @@ SCHEMA_TEXT_BROADCAST = 32 << 20
 _EVOLVE = {"append": S.evolve_replace, "keyed": S.evolve_merge}
 
 
+#: What a write or a publish may fail with. Only these count against the budget; any other error is raised at once.
+FLUSH_ERRORS = (Py4JJavaError, PySparkException, L.LogError, VersionConflict, OSError)
+
+
 class CommitFailed(RuntimeError):
     """The failure budget of a batch is used up."""
 
@@ -253,6 +259,7 @@ def ingest_batch(
     check_replay: bool = True,
     timestamp: int | None = None,
     state: L.TableState | None = None,
+    reached: Callable[[str], None] | None = None,
 ) -> IngestResult:
     """Ingest one batch, under the next batch id of the application if none is given.
 
@@ -261,11 +268,12 @@ def ingest_batch(
 
     Unusable messages go to ``reject_sink`` with a reason, or stop the batch with ``fail_fast``. A failing write or
     publish is tried again until the failure budget is used up. ``state`` is what the caller, as the only writer,
-    knows from the batch before; it is brought up to date.
+    knows from the batch before; it is brought up to date. ``reached`` is told of each try's steps, ``written`` before its
+    commits are published and ``published`` after; what it raises comes up as if the process had ended there.
     """
     spark = messages.sparkSession
     path = options.table_path.rstrip("/")
-    L.storage_options(spark, options.storage)
+    L.storage_options(spark, path, options.storage)
     if batch_id is None:
         batch_id, check_replay = L.last_batch(spark, path, options.app_id) + 1, False
     judged = D.classify(messages)
@@ -288,14 +296,14 @@ def ingest_batch(
                 if state is None or failures:
                     fresh = L.table_state(spark, path)
                     state = state or fresh
-                    state.version, state.history = fresh.version, fresh.history
+                    state.version, state.history, state.row_bytes = fresh.version, fresh.history, fresh.row_bytes
                 done = _write_parts(spark, path, rows, parts, options, batch_id, result, rejected,
-                                    check_replay or failures > 0, timestamp, state)
+                                    check_replay or failures > 0, timestamp, state, reached or (lambda step: None))
                 published += done
                 break
-            except (D.RejectedMessage, S.UnsupportedSchema, ReplayMismatch, AnalysisException, TypeError, AttributeError):
+            except (D.RejectedMessage, S.UnsupportedSchema, ReplayMismatch, AnalysisException):
                 raise  # another try would end the same way
-            except Exception as e:
+            except FLUSH_ERRORS as e:
                 if options.fail_fast and "USER_RAISED_EXCEPTION" in str(e):
                     raise D.RejectedMessage(str(e)) from e
                 failures += 1
@@ -319,7 +327,7 @@ def _span(parts: list[_Part]) -> tuple[int, int, int]:
 def _write_parts(
     spark: SparkSession, path: str, rows: DataFrame, parts: list[_Part], options: IngestOptions, batch_id: int,
     result: IngestResult, rejected: list[DataFrame], check_replay: bool, timestamp: int | None,
-    state: L.TableState,
+    state: L.TableState, reached: Callable[[str], None],
 ) -> list[int]:
     done = L.committed_parts(spark, path, options.app_id, batch_id) if check_replay else {}
     span = _span(parts)
@@ -352,7 +360,8 @@ def _write_parts(
         watched = decoded.observe(seen, F.count(F.lit(1)).alias("total"), F.count(D.REASON).alias("errors"))
         W.write_files(
             _unit_rows(watched, kind, options), path, target, partition_columns, options.compression,
-            multi_commit=len(mine) > 1, rows_per_file=options.records_per_file,
+            multi_commit=len(mine) > 1, rows_per_file=options.records_per_file, n_rows=sum(p.rows for p in mine),
+            row_bytes=state.row_bytes, target_bytes=options.target_file_bytes,
         )
         counts = seen.get
         result.accepted += counts["total"] - counts["errors"]
@@ -366,11 +375,15 @@ def _write_parts(
         if p.changes_schema:
             commits.append(L.Commit(W.new_token(), "UPGRADE SCHEMA", p.target, partition_columns, None, timestamp))
         commits.append(L.Commit(p.token, "WRITE", txn=(options.app_id, batch_id, p.number, *span), timestamp=timestamp))
-    out = W.publish_written(spark, path, todo[-1].target, partition_columns, commits, state.version)
+    reached("written")
+    out = W.publish_written(spark, path, todo[-1].target, partition_columns, commits, state.version, options.stats_columns)
+    reached("published")
     for c in commits:
         if c.schema is not None and c.version is not None:
             state.learn(c.version, c.schema, partition_columns)
     state.version = out[-1] if out else state.version
+    if state.row_bytes is None and out:
+        state.row_bytes = L.row_bytes(spark, path, state.version)
     rejected += decode_rejects
     result.rejected += bad
     return [v for v in out if v > 0]  # version 0 only creates the table

@@ -86,7 +86,7 @@ def feed(
     instances: int = 1,
 ) -> DataFrame | None:
     """The change feed as options and saved checkpoints describe it."""
-    L.storage_options(spark, options.storage)
+    L.storage_options(spark, options.table_path, options.storage)
     start = restore(spark, options, saved or {}, instance, instances)
     if start is None:
         return None
@@ -132,6 +132,7 @@ def feed_rounds(
     positions are together the whole feed. ``after`` is the last round that was handled: another process goes on
     behind it, with the same other arguments; the feed then ends where the first one's did.
     """
+    L.storage_options(spark, options.table_path, options.storage)
     start = restore(spark, options, saved or {}, instance, instances)
     if start is None:
         return

@@ -43,7 +43,7 @@ def parquet_scan(
     spark: SparkSession, paths: Sequence[str], schema: T.StructType, root: str | None = None
 ) -> DataFrame:
     """Rows of files, or of whole commit folders below ``root``; folder names then give the partition columns."""
-    reader = spark.read
+    reader = storage.reader(spark, root or (paths[0] if paths else ""))
     if root is not None:
         schema = T.StructType([*schema.fields, T.StructField(DATA_COMMIT, T.StringType())])
         reader = reader.option("basePath", root)
@@ -60,7 +60,7 @@ def row_scan(spark: SparkSession, paths: Sequence[str], schema: T.StructType, ro
 
 def row_counts(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """(uri, n_rows) per file; with an empty read schema only footers are touched."""
-    scan = spark.read.schema(T.StructType([])).parquet(*[storage.glob_safe(p) for p in paths])
+    scan = storage.reader(spark, paths[0]).schema(T.StructType([])).parquet(*[storage.glob_safe(p) for p in paths])
     return scan.select(F.col("_metadata.file_path").alias("uri")).groupBy("uri").agg(F.count(F.lit(1)).alias("n_rows"))
 
 

@@ -56,7 +56,7 @@ def file_name(version: int) -> str:
 
 def log_versions(spark: SparkSession, path: str) -> DataFrame:
     """(version, log_ts, bytes) of every log file, from the listing alone."""
-    listed = spark.read.format("binaryFile").option("pathGlobFilter", "[0-9]*.json").load(storage.glob_safe(log_dir(path)))
+    listed = storage.reader(spark, path).format("binaryFile").option("pathGlobFilter", "[0-9]*.json").load(storage.glob_safe(log_dir(path)))
     name = F.substring_index(F.substring_index("path", "/", -1), ".", 1)
     return listed.select(name.cast("bigint").alias("version"), F.unix_millis("modificationTime").alias("log_ts"),
                          F.col("length").alias("bytes"))
@@ -100,7 +100,7 @@ def _has_long_commits(spark: SparkSession, path: str, to_version: int | None) ->
 def log_lines(spark: SparkSession, path: str, from_version: int = 0, to_version: int | None = None) -> DataFrame:
     """(version, log_ts, idx, line) of a version range; the file name filter prunes the listing."""
     # both ways of reading cut lines at "\n" only, so that an action has the same number in either
-    reader = spark.read.option("pathGlobFilter", "[0-9]*.json").option("lineSep", "\n")
+    reader = storage.reader(spark, path).option("pathGlobFilter", "[0-9]*.json").option("lineSep", "\n")
     long = _has_long_commits(spark, path, to_version)
     raw = reader.text(storage.glob_safe(log_dir(path)), wholetext=not long)
     name = F.col("_metadata.file_name")
@@ -135,8 +135,8 @@ def actions(spark: SparkSession, path: str, from_version: int = 0, to_version: i
     return parse_log(log_lines(spark, path, from_version, to_version))
 
 
-def file_actions(parsed: DataFrame, include_rewrites: bool = True) -> DataFrame:
-    """Add and remove actions in one shape; commit info and unknown lines fall away.
+def file_actions(parsed: DataFrame, include_rewrites: bool = True, stats: bool = False) -> DataFrame:
+    """Add and remove actions in one shape, with the text of their statistics if asked for; commit info and unknown lines fall away.
 
     Rewrites (``dataChange = false``) count as changes unless ``include_rewrites`` is off.
     """
@@ -156,13 +156,14 @@ def file_actions(parsed: DataFrame, include_rewrites: bool = True) -> DataFrame:
         F.coalesce(either("dataChange"), F.lit(True)).alias("data_change"),
         F.get_json_object(either("stats"), "$.numRecords").cast("bigint").alias("num_records"),
         F.try_element_at(either("tags"), F.lit(FOLDER_FILES)).cast("bigint").alias("folder_files"),
+        *([either("stats").alias("stats")] if stats else []),
     )
     return out if include_rewrites else out.where("data_change")
 
 
-def live_files(parsed: DataFrame) -> DataFrame:
+def live_files(parsed: DataFrame, stats: bool = False) -> DataFrame:
     """Files whose last action is an add. ``max_by`` combines on the map side before the one shuffle on path."""
-    acts = file_actions(parsed)
+    acts = file_actions(parsed, stats=stats)
     last = acts.groupBy("path").agg(F.max_by(F.struct(*[c for c in acts.columns if c != "path"]),
                                              F.struct("version", "idx")).alias("last"))
     return last.where("last.op = 'c'").select("path", "last.*")
@@ -211,6 +212,7 @@ class TableState:
 
     version: int
     history: list[Epoch]
+    row_bytes: float | None = None  # of a row in the table's files
 
     def learn(self, version: int, schema: T.StructType, partition_columns: Sequence[str]) -> None:
         self.history.append(Epoch(len(self.history), version, schema, tuple(partition_columns)))
@@ -225,7 +227,20 @@ class TableState:
 
 def table_state(spark: SparkSession, path: str) -> TableState:
     version = latest_version(spark, path)
-    return TableState(version, epochs(spark, path, version) if version >= 0 else [])
+    if version < 0:
+        return TableState(version, [])
+    return TableState(version, epochs(spark, path, version), row_bytes(spark, path, version))
+
+
+#: How many versions back the size of rows is measured.
+RECENT_VERSIONS = 20
+
+
+def row_bytes(spark: SparkSession, path: str, version: int) -> float | None:
+    """Bytes of a row in the files that recent versions added; None without any."""
+    recent = parse_log(log_lines(spark, path, max(0, version - RECENT_VERSIONS), version), containing='"add"')
+    size, rows = file_actions(recent).where("op = 'c' and num_records > 0").agg(F.sum("size"), F.sum("num_records")).first()
+    return size / rows if rows else None
 
 
 def epoch_column(version: Column, history: Sequence[Epoch]) -> Column:
@@ -261,13 +276,13 @@ class Resolved:
     out_of_range: bool
 
 
-def resolve_version(spark: SparkSession, path: str, version: int | None) -> Resolved:
-    """A usable version: the given one if it exists, the first for EARLIEST, else the latest.
+def resolve_version(spark: SparkSession, path: str, version: int | None, bounds: tuple[int, int] | None = None) -> Resolved:
+    """A usable version: the given one if it exists, the first for EARLIEST, else the latest. ``bounds`` saves a listing.
 
     Without any readable log the answer is version 0, marked out of range.
     """
     try:
-        first, last = version_bounds(spark, path)
+        first, last = bounds or version_bounds(spark, path)
     except LogError:
         return Resolved(0, True)
     if version == EARLIEST:
@@ -284,12 +299,12 @@ def to_millis(ts: dt.datetime | int) -> int:
     return int(ts) * 1000
 
 
-def resolve_timestamp(spark: SparkSession, path: str, ts: dt.datetime | int) -> Resolved:
+def resolve_timestamp(spark: SparkSession, path: str, ts: dt.datetime | int, bounds: tuple[int, int] | None = None) -> Resolved:
     """The last version committed at or before ``ts``; the latest version when there is none."""
     if not table_exists(spark, path):
         return Resolved(0, True)
     found = commit_times(spark, path).where(F.col("commit_ts") <= to_millis(ts)).agg(F.max("version")).first()[0]
-    return resolve_version(spark, path, LATEST) if found is None else Resolved(found, False)
+    return resolve_version(spark, path, LATEST, bounds) if found is None else Resolved(found, False)
 
 
 # ---- publishing ------------------------------------------------------------------------------------------------
@@ -334,14 +349,15 @@ def _tags() -> Column:
 
 
 def add_lines(files: DataFrame, stamps: Column, data_change: bool = True) -> DataFrame:
-    """Log lines adding files; ``files`` has ``token, path, pv, size, num_records, folder_files``."""
+    """Log lines adding files; ``files`` has ``token, path, pv, size, num_records, folder_files`` and may have ``stats``."""
+    stats = F.col("stats") if "stats" in files.columns else F.to_json(F.struct(F.col("num_records").alias("numRecords")))
     add = F.struct(
         "path",
         F.col("pv").alias("partitionValues"),
         "size",
         stamps.alias("modificationTime"),
         F.lit(data_change).alias("dataChange"),
-        F.to_json(F.struct(F.col("num_records").alias("numRecords"))).alias("stats"),
+        stats.alias("stats"),
         _tags(),
     )
     return files.select("token", F.lit(2).alias("ord"), "path", F.to_json(F.struct(add.alias("add"))).alias("value"))
@@ -388,7 +404,7 @@ def publish(
         rows.repartition("token")
         .sortWithinPartitions("token", "ord", "path")
         .select("token", "value")
-        .write.partitionBy("token")
+        .write.options(**storage.options_of(spark, base)).partitionBy("token")
         .text(stage)
     )
     storage.mkdirs(spark, log_dir(path))
@@ -425,7 +441,6 @@ def last_batch(spark: SparkSession, path: str, app_id: str) -> int:
     return -1 if last is None else last
 
 
-def storage_options(spark: SparkSession, options: Mapping[str, str]) -> None:
-    """Set file-system settings given as ``hadoop.*`` options for this session."""
-    for k, v in options.items():
-        spark.conf.set(k, v)
+def storage_options(spark: SparkSession, path: str, options: Mapping[str, str]) -> None:
+    """Use file-system settings given as ``hadoop.*`` options for one table; the session and other tables keep theirs."""
+    storage.configure(spark, path, options)

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tableflow.functions import conditions as Q
 from tableflow.functions import partitions
 from tableflow.functions import schema as S
 from tableflow.session import pinned
@@ -17,19 +18,26 @@ from tableflow.sources import log as L
 
 
 def pick_version(
-    spark: SparkSession, path: str, version: int | None = None, timestamp: dt.datetime | int | None = None
+    spark: SparkSession, path: str, version: int | None = None, timestamp: dt.datetime | int | None = None,
+    bounds: tuple[int, int] | None = None,
 ) -> int:
-    found = L.resolve_timestamp(spark, path, timestamp) if timestamp is not None else L.resolve_version(spark, path, version)
+    if timestamp is not None:
+        found = L.resolve_timestamp(spark, path, timestamp, bounds)
+    else:
+        found = L.resolve_version(spark, path, version, bounds)
     if found.out_of_range:
         raise L.LogError(f"no table log under {path}")
     return found.version
 
 
-def live(spark: SparkSession, path: str, version: int) -> DataFrame:
-    """Live files at a version; they can only be told from a log that is whole from its first version on."""
-    if L.version_bounds(spark, path)[0] != 0:
+def live(spark: SparkSession, path: str, version: int, stats: bool = False, bounds: tuple[int, int] | None = None) -> DataFrame:
+    """Live files at a version; they can only be told from a log that is whole from its first version on.
+
+    ``bounds`` are the log's versions, where the caller has listed it already.
+    """
+    if (bounds or L.version_bounds(spark, path))[0] != 0:
         raise L.LogError(f"log of {path} does not start at version 0")
-    return L.live_files(L.actions(spark, path, 0, version))
+    return L.live_files(L.actions(spark, path, 0, version), stats)
 
 
 def written_epochs(spark: SparkSession, path: str, acts: DataFrame, history: Sequence[L.Epoch], to_version: int) -> DataFrame:
@@ -48,17 +56,22 @@ def snapshot(
     version: int | None = None,
     timestamp: dt.datetime | int | None = None,
     where: Column | None = None,
+    conditions: Sequence[Q.Condition] = (),
 ) -> DataFrame:
     """Rows of the table as of a version or time, the latest by default.
 
     Tables this library wrote keep partition values in folder names, so Spark prunes partitions and pushes filters
-    into the scan by itself. ``where`` filters the result and is only a shorthand.
+    into the scan by itself. ``where`` filters the result and is only a shorthand. ``conditions``, as in
+    ``functions.conditions``, filter rows too, and files whose statistics in the log rule them out are not opened.
     """
     path = path.rstrip("/")
-    v = pick_version(spark, path, version, timestamp)
+    bounds = L.version_bounds(spark, path)
+    v = pick_version(spark, path, version, timestamp, bounds)
     history = L.epochs(spark, path, v)
     now = L.schema_at(history, v)
-    acts = live(spark, path, v)
+    acts = live(spark, path, v, bool(conditions), bounds)
+    if conditions:
+        acts = acts.where(_wanted(conditions, history, now)).drop("stats")
     out = _folder_scan(spark, path, acts, history, now)
     if out is None:
         columns = T.StructType([T.StructField(f.name, f.dataType, True) for f in now.schema.fields])
@@ -68,9 +81,33 @@ def snapshot(
         acts = acts.withColumn("version", F.lit(v).cast("bigint"))
         acts = pinned(FS.with_locations(spark, acts, path), "live")
         out = FS.expand(spark, path, acts, history, columns, []).drop(FS.ROW)
+    out = out.where(Q.row_filter(conditions)) if conditions else out
     return out if where is None else out.where(where)
 
 
+def _wanted(conditions: Sequence[Q.Condition], history: Sequence[L.Epoch], now: L.Epoch) -> Column:
+    """The filter on live files that some conditions come to. Statistics count only for columns that never changed type."""
+    names = now.schema.fieldNames()
+    for c in conditions:
+        if c[0] not in names:
+            raise Q.BadCondition(f"the table has no column {c[0]!r}")
+    kinds: dict[str, set[str]] = {}
+    for e in history:
+        for f in e.schema.fields:
+            kinds.setdefault(S.physical_name(f), set()).add(S.plain_type(f.dataType).json())
+    split = {c for e in history for c in e.partition_columns}
+    fields, partitions_ = {}, {}
+    for f in now.schema.fields:
+        kind = S.plain_type(f.dataType)
+        if len(kinds[S.physical_name(f)]) > 1 or not Q.has_bounds(kind):
+            continue
+        if f.name in now.partition_columns and all(f.name in e.partition_columns for e in history):
+            partitions_[f.name] = kind
+        elif f.name not in split:
+            fields[f.name] = (S.physical_name(f), kind)
+    return Q.may_match(conditions, fields, partitions_)
+
+
 def _folder_scan(
     spark: SparkSession, path: str, acts: DataFrame, history: Sequence[L.Epoch], now: L.Epoch
 ) -> DataFrame | None:

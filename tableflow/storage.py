@@ -2,15 +2,61 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from collections.abc import Mapping
+
+from pyspark.sql import DataFrameReader, SparkSession
 
 
 class VersionConflict(RuntimeError):
     """The version file to publish exists already."""
 
 
-def _conf(spark: SparkSession):
-    return spark._jsparkSession.sessionState().newHadoopConf()
+#: File-system options by table: (application, path) -> options. The session's own settings are never changed.
+_options: dict[tuple[str, str], dict[str, str]] = {}
+_systems: dict[tuple, object] = {}
+
+
+def configure(spark: SparkSession, path: str, options: Mapping[str, str]) -> None:
+    """Use file-system options for everything under a path, in this application. Empty options change nothing."""
+    if options:
+        _options[spark.sparkContext.applicationId, path.rstrip("/")] = dict(options)
+
+
+def options_of(spark: SparkSession, path: str) -> dict[str, str]:
+    """The options of the nearest configured folder."""
+    app, at = spark.sparkContext.applicationId, path.rstrip("/")
+    while at:
+        if (app, at) in _options:
+            return _options[app, at]
+        at = at.rpartition("/")[0]
+    return {}
+
+
+def reader(spark: SparkSession, path: str) -> DataFrameReader:
+    """A reader whose scans open files with the options of a path."""
+    return spark.read.options(**options_of(spark, path))
+
+
+def _conf(spark: SparkSession, path: str = ""):
+    conf = spark._jsparkSession.sessionState().newHadoopConf()
+    for k, v in options_of(spark, path).items():
+        conf.set(k, v)
+    return conf
+
+
+def _system(spark: SparkSession, path: str):
+    """The file system of a path. Hadoop keeps one per scheme and host whatever the settings, so a path with options of its
+    own gets one of its own."""
+    p, own = _path(spark, path), options_of(spark, path)
+    if not own:
+        return p.getFileSystem(_conf(spark))
+    uri = p.toUri()
+    key = (spark.sparkContext.applicationId, uri.getScheme(), uri.getAuthority(), tuple(sorted(own.items())))
+    if key not in _systems:
+        conf = _conf(spark, path)
+        root = uri if uri.getScheme() else spark._jvm.org.apache.hadoop.fs.FileSystem.getDefaultUri(conf)
+        _systems[key] = spark._jvm.org.apache.hadoop.fs.FileSystem.newInstance(root, conf)
+    return _systems[key]
 
 
 def _path(spark: SparkSession, path: str):
@@ -20,31 +66,32 @@ def _path(spark: SparkSession, path: str):
 def root_uri(spark: SparkSession, path: str) -> str:
     """The table root as the ``_metadata.file_path`` column spells it."""
     p = _path(spark, path)
-    uri = p.getFileSystem(_conf(spark)).makeQualified(p).toUri().toString().rstrip("/")
+    uri = _system(spark, path).makeQualified(p).toUri().toString().rstrip("/")
     return "file:/" + uri[len("file:"):].lstrip("/") if uri.startswith("file:") else uri
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    p = _path(spark, path)
-    return p.getFileSystem(_conf(spark)).exists(p)
+    return _system(spark, path).exists(_path(spark, path))
 
 
 def mkdirs(spark: SparkSession, path: str) -> None:
-    p = _path(spark, path)
-    p.getFileSystem(_conf(spark)).mkdirs(p)
+    _system(spark, path).mkdirs(_path(spark, path))
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a folder with all it holds."""
+    _system(spark, path).delete(_path(spark, path), True)
 
 
 def folders(spark: SparkSession, path: str) -> list[str]:
     """Names of the folders below one folder; none where there is no such folder."""
-    p = _path(spark, path)
-    fs = p.getFileSystem(_conf(spark))
+    p, fs = _path(spark, path), _system(spark, path)
     return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()) if fs.exists(p) else []
 
 
 def part_files(spark: SparkSession, folder: str) -> list[str]:
     """Names of the part files Spark wrote into one folder."""
-    p = _path(spark, folder)
-    fs = p.getFileSystem(_conf(spark))
+    p, fs = _path(spark, folder), _system(spark, folder)
     names = [s.getPath().getName() for s in fs.listStatus(p)]
     return sorted(n for n in names if n.startswith("part-"))
 
@@ -57,9 +104,9 @@ def move_new(spark: SparkSession, src: str, dst: str, mtime_ms: int) -> None:
     """
     jvm = spark._jvm
     s, d = _path(spark, src), _path(spark, dst)
-    fs = s.getFileSystem(_conf(spark))
+    fs = _system(spark, dst)
     fs.setTimes(s, mtime_ms, -1)
-    ctx = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.makeQualified(d).toUri(), _conf(spark))
+    ctx = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.makeQualified(d).toUri(), _conf(spark, dst))
     no_options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
     try:
         ctx.rename(fs.makeQualified(s), fs.makeQualified(d), no_options)

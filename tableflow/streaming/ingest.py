@@ -44,6 +44,7 @@ def ingest_stream(
         own = own or replace(options, app_id=f"{options.app_id}-{_query_id(batch.sparkSession, checkpoint)}")
         # a failed batch ends the query, so only the first batch of a run can be a replay
         replay = state is None
+        L.storage_options(batch.sparkSession, options.table_path, options.storage)
         state = state or L.table_state(batch.sparkSession, options.table_path)
         done = ingest_batch(batch, own, batch_id, reject_sink, check_replay=replay, state=state)
         if results is not None:

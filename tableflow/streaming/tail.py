@@ -238,7 +238,7 @@ def tail_changes(
     An exception in the writer ends the query.
     """
     path = options.table_path.rstrip("/")
-    L.storage_options(spark, options.storage)
+    L.storage_options(spark, path, options.storage)
     state = _State(spark, f"{checkpoint.rstrip('/')}/feed_state")
     begin = state.begin(lambda: ST.restore(spark, options, saved or {}))
     resume = begin.checkpoints if begin.resumed else None
@@ -256,7 +256,7 @@ def tail_changes(
     finish()
 
     # log files are only listed here, their content is read batch by batch
-    log = spark.readStream.format("binaryFile").schema(_LISTING).option("pathGlobFilter", "[0-9]*.json")
+    log = spark.readStream.options(**storage.options_of(spark, path)).format("binaryFile").schema(_LISTING).option("pathGlobFilter", "[0-9]*.json")
     if versions_per_trigger:
         log = log.option("maxFilesPerTrigger", versions_per_trigger)
     name = F.substring_index(F.substring_index("path", "/", -1), ".", 1)
@@ -283,21 +283,29 @@ def tail_changes(
             return acts
         if "min_row" not in acts.columns:
             acts = acts.withColumn("min_row", F.lit(0).cast("bigint"))
-        return CH.with_row_counts(spark, path, acts)
+        acts = CH.with_row_counts(spark, path, acts)
+        if positions:
+            acts = CH.sequence_offsets(acts)
+        return pinned(CH.laid_out(acts) if r.max_rows is not None else acts, "counted")
+
+    def summary(acts: DataFrame) -> list:
+        """Per slot: files, bytes, rows to hand on and the furthest cursor."""
+        return C.furthest(acts, totals=True).collect()
 
     def parts(acts: DataFrame, r: _Range, after: CH.RoundEnd | None):
         """(actions, end, whether it is the last) of each round; the end of an unlimited one is not looked for."""
         if r.max_rows is None:
             yield acts, None, True
             return
-        laid = pinned(CH.laid_out(CH.sequence_offsets(acts) if positions else acts), "rounds")
-        found = CH.next_round(laid, after, r.max_rows, r.max_bytes)
+        found = CH.next_round(acts, after, r.max_rows, r.max_bytes)
         while found is not None:
-            further = CH.next_round(laid, found[1], r.max_rows, r.max_bytes)
+            further = CH.next_round(acts, found[1], r.max_rows, r.max_bytes)
             yield *found, further is None
             found = further
 
-    def hand_on(acts: DataFrame, r: _Range, offsets: dict[int, int], number: int, end: CH.RoundEnd | None, last: bool, log_ms: int) -> None:
+    def hand_on(
+        acts: DataFrame, r: _Range, offsets: dict[int, int], number: int, end: CH.RoundEnd | None, last: bool, log_ms: int, slots: list | None
+    ) -> None:
         began = time.time()
         records = CH.change_records(
             spark, path, acts, r.end, capture_ts, positions, seq_start=offsets, from_version=r.start, history=list(known.history)
@@ -305,19 +313,20 @@ def tail_changes(
         planned = time.time()
         writer(records, number)
         wrote = time.time()
+        slots = summary(acts) if slots is None and counted else slots or []
         cursors = {}
-        if export.sink is not None:
-            if positions and "seq_before" not in acts.columns:
-                acts = CH.sequence_offsets(acts)
-            for row in C.furthest(acts).collect():  # a row per slot
+        for row in slots if export.sink is not None else []:
+            if row.cursor is not None:
                 c = C.Cursor.from_json(row.cursor)
                 cursors[row.slot] = replace(c, seq=c.seq + offsets.get(row.slot, 0)).to_json() if positions else row.cursor
         exported = export.add(cursors, number)
         state.keep_round(_Done(number, end, last, dict(export.cursors), exported, export.at))
         next_id[0] = number + 1
-        n = acts.agg(F.count(F.lit(1)), F.sum("n_rows") if counted else F.lit(None), F.sum("size")).first()
-        rounds.append({"id": number, "first_version": r.start, "last_version": r.end, "files": n[0], "rows": n[1] or 0, "bytes": n[2] or 0,
-                       "log_ms": log_ms, "plan_ms": int((planned - began) * 1000), "read_and_write_ms": int((wrote - planned) * 1000)})
+        rounds.append({
+            "id": number, "first_version": r.start, "last_version": r.end, "files": sum(x.files for x in slots),
+            "rows": sum(x.rows for x in slots), "bytes": sum(x.bytes for x in slots), "log_ms": log_ms,
+            "plan_ms": int((planned - began) * 1000), "read_and_write_ms": int((wrote - planned) * 1000),
+        })
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         with busy:
@@ -339,12 +348,12 @@ def tail_changes(
         _check_versions([x[0] for x in seen], r.start, r.end, path)
         acts = file_actions(r)
         offsets = prev.seq if prev else {}
+        slots = summary(acts) if counted and (positions and replayed is None or r.max_rows is None) else None
         if replayed is None:
             after = dict(offsets)
             if positions:
-                rows = F.greatest(F.col("n_rows") - F.col("min_row"), F.lit(0))
-                for slot, n in acts.groupBy("slot").agg(F.sum(rows)).collect():
-                    after[slot] = after.get(slot, 0) + n
+                for row in slots:
+                    after[row.slot] = after.get(row.slot, 0) + row.rows
             r = replace(r, seq=after, started=True)
             state.keep_batch(batch_id, r)
         number, end, over = r.first_id, None, False
@@ -354,7 +363,7 @@ def tail_changes(
             known.catch_up(spark, path, r.end)
             log_ms = int((time.time() - began) * 1000)
             for part, end, last in parts(acts, r, end):
-                hand_on(part, r, offsets, number, end, last, log_ms)
+                hand_on(part, r, offsets, number, end, last, log_ms, slots if r.max_rows is None else None)
                 number += 1
         next_id[0] = max(next_id[0], number)
         done.clear()

@@ -8,12 +8,16 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import threading
 from collections.abc import Callable
+from functools import reduce
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tableflow import storage
 from tableflow.functions import cursor as C
 from tableflow.functions import hashing, partitions, records
 from tableflow.functions import schema as S
@@ -22,6 +26,7 @@ from tableflow.operators import decode as D
 from tableflow.operators import keyed, ordered
 from tableflow.operators import write as W
 from tableflow.options import EARLIEST, LATEST, FeedOptions, IngestOptions
+from tableflow.plans import recovery as R
 from tableflow.plans import start as ST
 from tableflow.plans.ingest import ingest_batch, reject_folder
 from tableflow.session import fresh_path
@@ -612,6 +617,175 @@ def sink_to_feed(spark, sf):
     return df.select(F.col("user").alias("user_id"), "amount", "kind", "_op", "_version", "_partition_value")
 
 
+def feed_in_rounds(spark, sf):
+    """The feed in rounds of less than a version, by rows and bytes of the log; after two rounds another reader goes on."""
+    path = orders_history(spark, sf)
+    per = CH.incremental_actions(spark, path, 1, 7).groupBy("version").agg(F.sum("num_records").alias("n"), F.sum("size").alias("b"))
+    rows, size = per.agg(F.max("n"), F.max("b")).first()
+    o = FeedOptions(path, start_version=1, n_slots=SLOTS, max_read_rows=max(1, rows // 2), max_read_bytes=max(1, size * 3 // 4))
+    first = ST.feed_rounds(spark, o, end=7, capture_ts=CAPTURE_TS)
+    done = [next(first), next(first)]
+    done += list(ST.feed_rounds(spark, o, end=7, capture_ts=CAPTURE_TS, after=done[-1]))
+    assert len(done) > 7
+    parts = [r.records.select("o_orderkey", "_op", "_version", "_slot", "_seq") for r in done]
+    return reduce(DataFrame.unionAll, parts)
+
+
+def _numbered_adds(records: DataFrame) -> DataFrame:
+    """Records with their place in the slot; removed files stand in the log by path, which SQL does not know."""
+    return records.select("o_orderkey", "_op", "_version", "_slot", F.when(F.col("_op") == "c", F.col("_seq")).alias("_seq"))
+
+
+class _SinkDown(RuntimeError):
+    pass
+
+
+def tail_with_failures(spark, sf):
+    """A tail in rounds whose writer fails twice, once before and once after a round was written, and is started again."""
+    path, out, ck = orders_history(spark, sf), fresh_path(spark, "failing_out"), fresh_path(spark, "failing_ck")
+    rows = CH.incremental_actions(spark, path, 1, 7).groupBy("version").agg(F.sum("num_records").alias("n")).agg(F.max("n")).first()[0]
+    o = FeedOptions(path, start_version=2, n_slots=SLOTS, max_read_rows=max(1, rows // 2))
+    write, fails = tail.slot_folder(out), {1: "before", 3: "after"}
+
+    def writer(df: DataFrame, number: int) -> None:
+        when = fails.pop(number, None)
+        if when == "before":
+            raise _SinkDown(f"round {number}")
+        write(df, number)
+        if when == "after":
+            raise _SinkDown(f"round {number}")
+
+    for _ in range(3):
+        q = tail.tail_changes(spark, o, writer, ck, versions_per_trigger=3, trigger={"availableNow": True}, capture_ts=CAPTURE_TS)
+        try:
+            q.awaitTermination()
+        except StreamingQueryException as e:
+            if _SinkDown.__name__ not in str(e):
+                raise
+    assert not fails
+    return _numbered_adds(spark.read.parquet(out))
+
+
+def timed_cursor_export(spark, sf):
+    """Cursors of a tail, exported by a clock that a round moves on by 20 of the interval's 30 seconds, and at the end."""
+    path, out, ck = orders_history(spark, sf), fresh_path(spark, "export_out"), fresh_path(spark, "export_ck")
+    now, written = [0.0], []
+    o = FeedOptions(path, start_version=1, n_slots=SLOTS, checkpoint_interval_s=30)
+
+    def writer(df: DataFrame, number: int) -> None:
+        df.write.format("noop").mode("overwrite").save()
+        now[0] += 20
+        written.append(number)
+
+    q = tail.tail_changes(spark, o, writer, ck, versions_per_trigger=1, trigger={"availableNow": True}, capture_ts=CAPTURE_TS,
+                          cursor_sink=tail.cursor_file(out), clock=lambda: now[0])
+    q.awaitTermination()
+    exports = len(storage.folders(spark, out))
+    kept = tail.saved_cursors(spark, out)
+    assert exports < len(written)
+    removed = C.state_key(2)  # the slot of the removed files, which stand in the log by path
+    rows = [(k, v) for k, v in kept.items() if k != removed]
+    return spark.createDataFrame(rows, "state_key string, cursor string")
+
+
+def drained_tail(spark, sf):
+    """A tail that is drained while it works on its second round, then started again: every record once, by a writer that
+    only appends."""
+    path, out, ck = orders_history(spark, sf), fresh_path(spark, "drained_out"), fresh_path(spark, "drained_ck")
+    o = FeedOptions(path, start_version=1, n_slots=SLOTS)
+    second = threading.Event()
+
+    def writer(df: DataFrame, number: int) -> None:
+        if number == 1:
+            second.set()
+        df.write.mode("append").parquet(out)
+
+    def start() -> tail.FeedQuery:
+        return tail.tail_changes(spark, o, writer, ck, versions_per_trigger=2, trigger={"availableNow": True}, capture_ts=CAPTURE_TS)
+
+    q = start()
+    second.wait(300)
+    q.drain()
+    start().awaitTermination()
+    return _numbered_adds(spark.read.parquet(out))
+
+
+def resume_without_checkpoint(spark, sf):
+    """One slot has a checkpoint; the others have none and keep every row."""
+    saved = {0: C.Cursor(C.INCREMENTAL, 4, 2, 50)}
+    df = CH.changes(spark, orders_history(spark, sf), 1, end=7, n_slots=SLOTS, checkpoints=saved, capture_ts=CAPTURE_TS)
+    return df.select("o_orderkey", "_slot", "_version", "_row_num")
+
+
+def feed_total_order(spark, sf):
+    """The place of every record in the sorted feed."""
+    df = CH.in_order(CH.changes(spark, orders_history(spark, sf), 1, end=7, capture_ts=CAPTURE_TS)).select("o_orderkey")
+    at = ordered.with_buckets(df.withColumn("at", F.monotonically_increasing_id()), "at")
+    return ordered.add_rank(at, "at", name="place").select("o_orderkey", "place")
+
+
+@once("orders_measured")
+def orders_measured(spark: SparkSession, sf: str, path: str) -> None:
+    """Orders by year, a commit each, with statistics of some columns; a comment longer than a text bound, and nulls."""
+    o = table(spark, sf, "orders").withColumn("y", F.year("o_orderdate"))
+    long = F.concat(F.lit("order placed with priority number "), F.col("o_orderpriority"), F.lit(" in "), F.col("y").cast("string"))
+    o = o.withColumn("note", F.when(F.col("o_orderstatus") != "P", long))
+    W.append(spark, path, o, commit_by="y", sort_by=["o_orderkey"], stats_columns=["o_orderdate", "o_totalprice", "note", "o_orderkey"])
+
+
+def snapshot_skipping_files(spark, sf):
+    """Rows by range and equality; only files whose statistics in the log allow a match are opened."""
+    path = orders_measured(spark, sf)
+    days = [("o_orderdate", ">=", dt.datetime(1997, 3, 1)), ("o_orderdate", "<", dt.datetime(1998, 9, 1)), ("o_totalprice", ">", 50000.0)]
+    note = [("note", "is not null"), ("note", ">=", "order placed with priority number 2"), ("o_custkey", "<", 10**9)]
+    got = SN.snapshot(spark, path, conditions=[*days, *note])
+    assert len(got.inputFiles()) < len(SN.snapshot(spark, path).inputFiles())
+    return got.select("o_orderkey", "o_totalprice", "note")
+
+
+def crash_and_recovery(spark, sf):
+    """Batches that die before and after their commits are published, each tried again: every message once, and what the
+    dead tries left is found and removed."""
+    path = fresh_path(spark, "crashing")
+    o = IngestOptions("append", path, records_per_commit=4000)
+    m = event_messages(spark, sf)
+    late = F.col("event_time") >= F.lit(SWITCH).cast("timestamp_ntz")
+
+    class Died(Exception):
+        pass
+
+    for number, (part, at) in enumerate(((~late, "written"), (late, "published"))):
+        def reached(step: str, at: str = at) -> None:
+            if step == at:
+                raise Died
+
+        for stop in (reached, None):
+            try:
+                ingest_batch(m.where(part), o, number, reached=stop)
+            except Died:
+                pass
+    left = R.remove_orphans(spark, path, older_than_s=-60)
+    assert left and R.orphans(spark, path, older_than_s=-60).isEmpty()
+    return SN.snapshot(spark, path).select(F.col("user").alias("user_id"), "kind")
+
+
+def keyed_evolution(spark, sf):
+    """Last write per user over two schemas: the later one adds a column, and the table keeps both."""
+    path = fresh_path(spark, "keyed_evolution")
+    ingest_batch(event_messages(spark, sf, SWITCH), IngestOptions("keyed", path, record_key="user"))
+    return SN.snapshot(spark, path).select(F.col("user").alias("user_id"), "amount", "kind")
+
+
+def options_by_name(spark, sf):
+    """Feed and ingestion set up from name/value maps alone."""
+    path = fresh_path(spark, "by_name")
+    ingest_batch(event_messages(spark, sf), IngestOptions.load(
+        {"type": "delta", "tablePath": path, "maxRecordsPerCommit": 5000, "partitionColumns": ["kind"], "compression": "zstd", "queueSize": 1}))
+    o = FeedOptions.load({"type": "delta", "tablePath": path, "startSnapshotVersion": 1, "maxReadRowCountOneRound": 3000, "checkpointInterval": 0})
+    parts = [r.records for r in ST.feed_rounds(spark, o, capture_ts=CAPTURE_TS)]
+    return reduce(DataFrame.unionAll, parts).select(F.col("user").alias("user_id"), "kind", "_partition_value")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -625,6 +799,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         keyed_last_write_wins, keyed_partitioned, last_per_key, commit_check, idempotent_replay, stream_tail_changes,
         commit_groups_null_ids, stream_tail_restart, ingest_two_batches, keyed_null_keys, evolve_case, typed_records,
         message_schema, partition_empty_text,
+        feed_in_rounds, tail_with_failures, timed_cursor_export, drained_tail, resume_without_checkpoint, feed_total_order,
+        snapshot_skipping_files, crash_and_recovery, keyed_evolution, options_by_name,
         stream_ingest_events, feed_metrics, feed_metrics_filtered, commit_metrics, sink_to_feed,
     )
 }

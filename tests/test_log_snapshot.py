@@ -190,12 +190,27 @@ def test_rows_per_file(spark, table_path):
     assert W.written_files(spark, table_path, ["t"], now.schema).count() == 4
 
 
-def test_storage_options(spark):
-    from tableflow.options import FeedOptions
-
-    o = FeedOptions.load({"type": "delta", "tablePath": "/t", "hadoop.fs.tableflow.test": "yes"})
-    L.storage_options(spark, o.storage)
-    assert storage._conf(spark).get("fs.tableflow.test") == "yes"
+def test_storage_options(spark, tmp_path):
+    """Two tables with different settings in one session, which keeps its own."""
+    from tableflow.options import FeedOptions, IngestOptions
+    from tableflow.plans import start as ST
+
+    name = "fs.tableflow.test"
+    paths = [str(tmp_path / n) for n in ("one", "two")]
+    for n, path in enumerate(paths):
+        W.append(spark, path, spark.range(n + 3))
+        o = FeedOptions.load({"type": "delta", "tablePath": path, "startSnapshotVersion": 0, f"hadoop.{name}": f"v{n}"})
+        assert o.storage == {name: f"v{n}"} and ST.feed(spark, o).count() == n + 3
+    for n, path in enumerate(paths):
+        assert storage._conf(spark, path + "/_delta_log").get(name) == f"v{n}"
+        assert storage.options_of(spark, f"{path}/_commit=x/part") == {name: f"v{n}"}
+        W.append(spark, path, spark.range(2))
+        plan = SN.snapshot(spark, path)
+        assert plan.count() == n + 5
+        seen = L.log_lines(spark, path)._jdf.queryExecution().analyzed().toString()
+        assert seen and storage._system(spark, path).getConf().get(name) == f"v{n}"
+    assert storage._conf(spark).get(name) is None and spark.conf.get(name, None) is None
+    assert IngestOptions.load({"type": "delta", "tablePath": "/t", f"hadoop.{name}": "x"}).storage == {name: "x"}
 
 
 def test_commit_by_keeps_null_groups(spark, table_path):

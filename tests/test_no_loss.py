@@ -2,6 +2,7 @@
 
 import glob
 import os
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -86,13 +87,25 @@ def test_null_order_values_stay_at_any_size(spark, per_bucket):
     assert ordered.schema_runs(df, "id", "key", rows_per_bucket=per_bucket).count() == 1000
 
 
-def test_a_write_keeps_its_tasks(spark, table_path):
-    W.append(spark, table_path, spark.range(0, 4000, 1, 4).toDF("id"))
-    assert len(glob.glob(f"{table_path}/_commit=*/*.parquet")) == 4
+def test_files_follow_bytes_not_tasks(spark, table_path):
+    """A small write is one file however many tasks read; a large one keeps its tasks and starts files near the target."""
+    pattern = f"{table_path}/_commit=*/*.parquet"
+    wide = spark.range(0, 40_000, 1, 4).select("id", F.sha2(F.col("id").cast("string"), 256).alias("pad"))
+    W.append(spark, table_path, wide.where("id < 10"), n_rows=10)
+    assert len(glob.glob(pattern)) == 1
+    W.append(spark, table_path, wide, target_bytes=100_000)
+    sizes = sorted(map(os.path.getsize, glob.glob(pattern)))[1:]
+    assert len(sizes) >= 4 and max(sizes) < 400_000
+    W.append(spark, table_path, wide, n_rows=40_000, target_bytes=100_000)  # bytes per row are known now
+    sizes = sorted(map(os.path.getsize, set(glob.glob(pattern))))
+    assert len(sizes) > 20 and sizes[-1] < 400_000
     path = table_path + "2"
     schema = '{"type":"record","name":"r","fields":[{"name":"id","type":"string"}]}'
-    ingest_batch(messages(spark, (schema, ['{"id": "%d"}' % i for i in range(400)])).repartition(4), IngestOptions(table_path=path))
-    assert len(glob.glob(f"{path}/_commit=*/*.parquet")) == 4
+    for n, target in ((0, 1 << 20), (1, 1000)):
+        m = messages(spark, (schema, ['{"id": "%d"}' % i for i in range(400)])).repartition(16)
+        ingest_batch(m, IngestOptions(table_path=path, target_file_bytes=target), n)
+    files = dict(L.file_actions(L.actions(spark, path)).groupBy("version").count().collect())
+    assert files[1] == 1 and 2 <= files[2] <= 30 and SN.snapshot(spark, path).count() == 800
 
 
 def small_log(spark, table, versions, reader=1):
