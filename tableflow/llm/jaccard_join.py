@@ -4,18 +4,21 @@ A document is the set of its distinct shingles, the tokens. Texts that are alike
 
 1. Token frequencies over all classes: each task sorts its tokens and sends them by hash range as coded
    differences; a range adds up. Tokens of more than ``RARE`` classes are frequent.
-2. Tokens are ordered rare ones first, then by hash. Two sets of similarity t or more have a token in common among the
-   first n - ceil(t n) + 1 of each (the prefix) and k in common when both prefixes are k - 1 longer. A rare token of
-   the prefix is indexed alone. Where the prefix reaches into frequent tokens, it is extended and its frequent tokens are
-   indexed in combinations of two: hashed into g cells, k = g + 1 common tokens must put two into one cell, so
-   only pairs within a cell are needed, and their number stays in proportion to the set.
-   g follows a set's size class; a set that may have partners in the next class is indexed under both.
+2. Tokens are ordered rare ones first, then by hash. A pair is looked for from its smaller set (equal sizes: of lesser class)
+   to its larger one. Sets of similarity t have at least o = 2t/(1+t) n of n tokens in common with a larger one, and t m of
+   m with a smaller one, so they share a token among the first n - o + 1 and m - t m + 1 (the prefixes), and k tokens when
+   both prefixes are k - 1 longer. A rare token of a prefix is indexed alone. Where a prefix reaches into frequent tokens, it
+   is extended and its frequent tokens are indexed in combinations of two: hashed into g cells, k = g + 1 common tokens
+   must put two into one cell, so only pairs within a cell are needed, and their number stays in proportion to the set.
+   g follows the larger set's size class; a smaller set that may have partners in the next class is indexed under both.
 3. Some rounds join large groups of near copies in linear time. Classes that have one of their least tokens in common
    are paired with one of them, the round's pivot, unless they are in its component already. The pivot is a set whose
    tokens are nearly all frequent: what its copies were made from rather than one of them. Pairs that meet in several
    tokens are verified on the whole sets, and the links make components. These rounds may miss any link.
-4. Then all pairs of one entry whose classes are still in different components are candidates. Their common single
-   tokens, with all that either set has beyond its indexed ones, bound what they can have in common; those that can
+4. Then the pairs of one entry whose classes are still in different components are candidates. A pair with a rare token
+   in common meets there, so one that meets in a combination need only be looked at if the frequent tokens of either set
+   would do alone: copies of one text with too many words of their own never meet. Of pairs that meet in rare tokens,
+   their number, with all that either set has beyond its indexed ones, bounds what they have in common. Those that can
    reach the similarity are verified. No link between components is lost, and pairs inside one add nothing. The
    components of all links are the result.
 
@@ -43,7 +46,8 @@ SHINGLE = 5
 #: Least similarity in hundredths.
 LEAST = 80
 RARE = 12
-#: The frequent tokens that tasks are told of, the commonest first: 16 MB.
+#: The frequent tokens that tasks are told of: 16 MB. Of more, the commonest; a token beyond is as common as the last of these
+#: at most, and is indexed alone.
 MOST_FREQUENT = 2_000_000
 TOKENS_PER_RANGE = 1_000_000
 #: With more hash ranges than this, tokens are counted by a plain aggregate: pieces of runs would be too small.
@@ -58,10 +62,15 @@ MOST_SENT = 1_000_000
 
 
 def least_overlap(n):
-    """What a set of n tokens must have in common with any partner."""
+    """What a set of n tokens must have in common with any smaller partner."""
     return -(-LEAST * n // 100)
 
 
+def least_overlap_above(n):
+    """What a set of n tokens must have in common with any larger partner."""
+    return -(-2 * LEAST * n // (100 + LEAST))
+
+
 def sets(c: X.Chunk) -> Iterator[np.ndarray]:
     """Sorted distinct shingle hashes of each text of the chunk."""
     c.lower()
@@ -213,15 +222,7 @@ def frequent(classes: DataFrame, n_bytes: int, rare: int = RARE) -> Common:
         found = classes.mapInArrow(each, "token long").groupBy("token").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > rare)
     found = pinned(found, "jaccard_frequent")
     if found.count() > MOST_FREQUENT:
-        # How common a token must be so that no more than that many are.
-        by = found.groupBy(F.floor(F.log2("n") * 8).alias("e")).agg(F.count(F.lit(1)).alias("m")).orderBy(F.desc("e")).collect()
-        total, cut = 0, None
-        for r in by:
-            total += r.m
-            if total > MOST_FREQUENT:
-                break
-            cut = r.e
-        found = found.where(F.floor(F.log2("n") * 8) >= F.lit(cut)) if cut is not None else found.limit(0)
+        found = found.orderBy(F.desc("n"), "token").limit(MOST_FREQUENT)
     return Common(np.sort(found.select("token").toArrow().column(0).to_numpy().view(np.uint64)), shift)
 
 
@@ -232,78 +233,98 @@ def _iterated(f):
     return run
 
 
-def keys_of(s: np.ndarray, common: Common) -> tuple[np.ndarray, np.ndarray]:
-    """Index keys of a sorted set: rare tokens of its prefix, and combinations of frequent ones."""
-    n = len(s)
-    often = common.among(s)
-    rare, often = s[~often], s[often]
-    if n == 1:  # alike only to itself, and no combination can be made of it
-        return rare, often
-    prefix = n - least_overlap(n) + 1
-    if len(rare) >= prefix:
-        return rare[:prefix], s[:0]
+def _combinations(often: np.ndarray, prefix: int, size: int) -> list[np.ndarray]:
+    """Combinations of two of the frequent tokens of a prefix, extended by one token for each cell of a size class."""
+    cells = max(1, (1 << (size - 1)) // CELL)
+    mine = often[: prefix + cells]
+    cell = X.mix(mine ^ np.uint64(size)) % np.uint64(cells)
+    order = np.argsort(cell, kind="stable")
+    mine, cell = mine[order], cell[order]
     pairs = []
-    for size in sorted({n.bit_length(), (100 * n // LEAST).bit_length()}):
-        cells = max(1, (1 << (size - 1)) // CELL)
-        mine = often[: prefix + cells - len(rare)]
-        cell = X.mix(mine ^ np.uint64(size)) % np.uint64(cells)
-        order = np.argsort(cell, kind="stable")
-        mine, cell = mine[order], cell[order]
-        for step in range(1, len(mine)):
-            same = cell[step:] == cell[:-step]
-            if not same.any():
-                break
-            a, b = mine[:-step][same], mine[step:][same]
-            lo, hi = np.minimum(a, b), np.maximum(a, b)
-            pairs.append(X.mix(lo * X._STEP + X.mix(hi + np.uint64(size))))
-    return rare, np.unique(np.concatenate(pairs)) if pairs else s[:0]
+    for step in range(1, len(mine)):
+        same = cell[step:] == cell[:-step]
+        if not same.any():
+            break
+        a, b = mine[:-step][same], mine[step:][same]
+        lo, hi = np.minimum(a, b), np.maximum(a, b)
+        pairs.append(X.mix(lo * X._STEP + X.mix(hi + np.uint64(size))))
+    return pairs
+
+
+class Keys:
+    """Index keys of a sorted set: ``rare`` tokens of its prefix as the larger set, the first ``small`` of them as the smaller
+    one, ``below`` and ``above``, its combinations as the smaller and as the larger set; and how many tokens are frequent."""
+
+    def __init__(self, s: np.ndarray, common: Common):
+        n, is_often = len(s), common.among(s)
+        rare, often = s[~is_often], s[is_often]
+        self.often = len(often)
+        if n == 1:  # alike only to itself, and no combination can be made of it
+            self.rare, self.small, self.below, self.above = s.copy(), 1, s[:0], s[:0]
+            return
+        smaller, larger = n - least_overlap_above(n) + 1, n - least_overlap(n) + 1
+        self.rare, self.small = rare[:larger].copy(), min(smaller, len(rare))
+        below, above = [], []
+        if len(rare) < smaller:
+            for size in sorted({n.bit_length(), (100 * n // LEAST).bit_length()}):
+                below += _combinations(often, smaller - len(rare), size)
+        if len(rare) < larger:
+            above = _combinations(often, larger - len(rare), n.bit_length())
+        self.below = np.unique(np.concatenate(below)) if below else s[:0]
+        self.above = np.unique(np.concatenate(above)) if above else s[:0]
 
 
 def indexed(classes: DataFrame, common: Common) -> DataFrame:
-    """cls, n, the keys of each class (``singles`` and ``pairs``), its least tokens, and the share of frequent ones.
+    """cls, n, the keys of each class, its least tokens, and how many of its tokens are frequent (``often``).
 
     A class may have several equal rows, one from each task that met it.
     """
+    sent = classes.sparkSession.sparkContext.broadcast((common.tokens, int(common.shift)))
+    names = ["cls", "n", "often", "small", "rare", "below", "above", "first"]
 
     def run(batches):
-        cls, n, singles, pairs, first, share, size = [], [], [], [], [], [], 0
+        known = Common(*sent.value)
+        rows, size = [], 0
 
         def flush():
-            return pa.RecordBatch.from_pydict({
-                "cls": pa.array(cls, pa.int64()), "n": pa.array(n, pa.int32()),
-                "singles": _lists(singles), "pairs": _lists(pairs), "first": _lists(first),
-                "share": pa.array(share, pa.float64()),
-            })
-
-        for k, s in _fresh(batches, set()):
-            one, two = keys_of(s, common)
-            cls.append(k)
-            n.append(len(s))
-            singles.append(one.copy())  # a view would keep the whole set
-            pairs.append(two)
-            first.append(s[:FIRST_KEYS].copy())
-            share.append(float(common.among(s).mean()))
-            size += len(one) + len(two)
+            cls, n, often, small, *lists = zip(*rows, strict=True)
+            numbers = [pa.array(cls, pa.int64()), pa.array(n, pa.int32()), pa.array(often, pa.int32()), pa.array(small, pa.int32())]
+            return pa.RecordBatch.from_arrays([*numbers, *[_lists(x) for x in lists]], names=names)
+
+        for cls, s in _fresh(batches, set()):
+            k = Keys(s, known)
+            rows.append((cls, len(s), k.often, k.small, k.rare, k.below, k.above, s[:FIRST_KEYS].copy()))  # a view would keep the whole set
+            size += len(k.rare) + len(k.below) + len(k.above)
             if size > 250_000:
                 yield flush()
-                cls, n, singles, pairs, first, share, size = [], [], [], [], [], [], 0
-        if cls:
+                rows, size = [], 0
+        if rows:
             yield flush()
 
-    return pinned(classes.mapInArrow(run, "cls long, n int, singles array<long>, pairs array<long>, first array<long>, share double"), "jaccard_index")
+    out = pinned(
+        classes.mapInArrow(run, "cls long, n int, often int, small int, rare array<long>, below array<long>, above array<long>, first array<long>"),
+        "jaccard_index",
+    )
+    sent.destroy()
+    return out
 
 
 def postings(index: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(key, cls, n, rest) of the keys that two classes or more have, single tokens and combinations, written.
+    """Rows of single tokens and of combinations that two classes or more have, written.
 
-    ``rest`` is how many tokens of the set are not among its single keys.
+    Both have key, cls, n and ``role`` (0 as the smaller set, 1 as the larger); single tokens also ``rest``, how many tokens of
+    the set are not among its single keys of that role, and combinations ``often``.
     """
-    rest = (F.col("n") - F.size("singles")).alias("rest")
-    one = index.select(F.explode("singles").alias("key"), "cls", "n", rest)
+    at = index.select(F.posexplode("rare").alias("pos", "key"), "cls", "n", "small", F.size("rare").alias("m"))
     w = Window.partitionBy("key")  # rare tokens: about RARE rows
-    one = one.withColumn("lo", F.min("cls").over(w)).withColumn("hi", F.max("cls").over(w)).where("lo < hi").drop("lo", "hi")
-    two = index.where(F.size("pairs") > 0).select(F.explode("pairs").alias("key"), "cls", "n", rest)
-    many = two.groupBy("key").agg(F.min("cls").alias("lo"), F.max("cls").alias("hi")).where("lo < hi").select("key")
+    at = at.withColumn("lo", F.min("cls").over(w)).withColumn("hi", F.max("cls").over(w)).where("lo < hi").drop("lo", "hi")
+    one = at.select("key", "cls", "n", F.inline(F.expr(
+        "if(pos < small, array(struct(0 as role, n - small as rest), struct(1 as role, n - m as rest)), array(struct(1 as role, n - m as rest)))")))
+    two = index.where("size(below) > 0 or size(above) > 0").select("cls", "n", "often", F.inline(F.expr(
+        "concat(transform(below, k -> struct(k as key, 0 as role)), transform(above, k -> struct(k as key, 1 as role)))")))
+    many = two.groupBy("key").agg(
+        F.min("cls").alias("lo"), F.max("cls").alias("hi"), F.min("role").alias("r0"), F.max("role").alias("r1")
+    ).where("lo < hi and r0 < r1").select("key")
     many = pinned(many, "jaccard_keys")
     return pinned(one.distinct(), "jaccard_singles"), pinned(two.join(many, "key").distinct(), "jaccard_pairs")
 
@@ -340,19 +361,33 @@ def pivot_pairs(posts: DataFrame, root: DataFrame | None, turn: int) -> DataFram
 
 
 def cross_pairs(singles: DataFrame, pairs: DataFrame, root: DataFrame) -> DataFrame:
-    """The pairs of one key in different components that can have enough in common."""
-    posts = singles.withColumn("one", F.lit(1)).unionByName(pairs.withColumn("one", F.lit(0)))
-    p = posts.join(root, posts.cls == root.node, "left").select("key", "cls", "n", "rest", "one", F.coalesce("root", "cls").alias("root"))
-    mixed = p.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("key")
-    p = pinned(p.join(pinned(mixed, "jaccard_keys"), "key"), "jaccard_mixed")
-    q = p.select("key", F.col("cls").alias("other"), F.col("n").alias("m"), F.col("rest").alias("rest2"), F.col("root").alias("root2"))
-    both = p.join(q, (p.key == q.key) & (p.cls < q.other) & (p.root != q.root2) & _fits())
-    both = both.groupBy(F.col("cls").alias("a"), F.col("other").alias("b")).agg(
-        F.sum("one").alias("c"), F.max("n").alias("n"), F.max("m").alias("m"), F.max(F.greatest("rest", "rest2")).alias("rest")
+    """The pairs of one key in different components that can have enough in common, smaller set to larger one."""
+
+    def mixed(posts: DataFrame, extra: str) -> tuple[DataFrame, DataFrame]:
+        """Postings of keys with both roles in different components, as the smaller and as the larger side."""
+        p = posts.join(root, posts.cls == root.node, "left").select("key", "cls", "n", "role", extra, F.coalesce("root", "cls").alias("root"))
+        ends = p.groupBy("key").agg(
+            F.min("root").alias("lo"), F.max("root").alias("hi"), F.min("role").alias("r0"), F.max("role").alias("r1"))
+        keys = pinned(ends.where("lo < hi and r0 < r1").select("key"), "jaccard_keys")
+        p = pinned(p.join(keys, "key"), "jaccard_mixed")
+        larger = p.where("role = 1").select("key", F.col("cls").alias("other"), F.col("n").alias("m"), F.col(extra).alias("extra2"), F.col("root").alias("root2"))
+        return p.where("role = 0").withColumnRenamed(extra, "extra"), larger
+
+    def meet(p: DataFrame, q: DataFrame, more=F.lit(True)) -> DataFrame:
+        order = F.struct(p.n, p.cls) < F.struct(q.m, q.other)
+        return p.join(q, (p.key == q.key) & order & (p.root != q.root2) & (p.n * 100 >= q.m * LEAST) & more)
+
+    both = (F.col("n") + F.col("m")) * LEAST
+    p, q = mixed(singles, "rest")
+    one = meet(p, q).groupBy(F.col("cls").alias("a"), F.col("other").alias("b")).agg(
+        F.count(F.lit(1)).alias("c"), F.max("n").alias("n"), F.max("m").alias("m"), F.max(F.greatest("extra", "extra2")).alias("rest")
     )
     # All common tokens up to the end of the shorter reaching index are counted; beyond it there are ``rest`` at most.
-    most = F.col("c") + F.col("rest")
-    return both.where(most * 100 >= (F.col("n") + F.col("m") - most) * LEAST).select("a", "b")
+    one = one.where((F.col("c") + F.col("rest")) * (100 + LEAST) >= both).select("a", "b")
+    p, q = mixed(pairs, "often")
+    # With no rare token in common, only frequent ones are left.
+    two = meet(p, q, F.least(p.extra, q.extra2) * (100 + LEAST) >= (p.n + q.m) * LEAST)
+    return one.unionByName(two.select(F.col("cls").alias("a"), F.col("other").alias("b"))).distinct()
 
 
 def links(pairs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -384,7 +419,7 @@ def links(pairs: DataFrame, classes: DataFrame) -> DataFrame:
 
 def linked(classes: DataFrame, index: DataFrame) -> DataFrame:
     """cls and root of every class that is linked with another."""
-    posts = index.select(F.explode("first").alias("key"), "cls", "n", "share").distinct()
+    posts = index.select(F.explode("first").alias("key"), "cls", "n", (F.col("often") / F.col("n")).alias("share")).distinct()
     found, root = None, None
     for turn in range(ROUNDS):
         new = pinned(links(pivot_pairs(posts, root, turn), classes), "jaccard_links")
@@ -422,14 +457,20 @@ def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     """One document of each component (the least id; null before any), with its own columns.
 
     Rows without words stay, each of them. Of rows with equal id and text one stays.
+    The rows that go are few and narrow, so documents are filtered where they are read; only beyond ``MOST_SENT`` of them,
+    and for rows that repeat id and text, documents are shuffled.
     """
-    keep = pinned(grouped(docs, doc_id, text).where("chosen and n_shingles > 0").select("id", "cls"), "jaccard_keep")
+    rows = pinned(grouped(docs, doc_id, text).where("n_shingles > 0").select("id", "cls", "chosen"), "jaccard_chosen")
+    each = rows.groupBy("id", "cls").agg(F.max("chosen").alias("stays"), F.count(F.lit(1)).alias("m"))
+    other = pinned(each.where("not stays or m > 1").select("id", "cls", "stays"), "jaccard_other")
+    if other.count() <= MOST_SENT:  # 17 MB
+        other = F.broadcast(other)
     body = F.col(f"`{text}`")
-    wordy = F.coalesce(body.rlike("[^\\x20\\x09-\\x0D]"), F.lit(False))
     d = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.col(f"`{doc_id}`").alias("_id"), F.xxhash64(body).alias("_cls"),
-        wordy.alias("_wordy"),
+        F.coalesce(body.rlike("[^\\x20\\x09-\\x0D]"), F.lit(False)).alias("_wordy"),
     )
-    chosen = d.where("_wordy").join(keep, (F.col("_cls") == keep.cls) & F.col("_id").eqNullSafe(keep.id), "left_semi")
-    chosen = chosen.dropDuplicates(["_cls", "_id"])
-    return chosen.select("doc").unionByName(d.where("not _wordy").select("doc")).select(*[F.col(f"doc.`{c}`") for c in docs.columns])
+    same = F.col("_wordy") & (F.col("_cls") == F.col("cls")) & F.col("_id").eqNullSafe(F.col("id"))
+    single = d.join(other.select("id", "cls"), same, "left_anti").select("doc")
+    repeated = d.join(other.where("stays").select("id", "cls"), same, "left_semi").dropDuplicates(["_cls", "_id"]).select("doc")
+    return single.unionByName(repeated).select(*[F.col(f"doc.`{c}`") for c in docs.columns])

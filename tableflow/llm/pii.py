@@ -21,6 +21,8 @@ result; extra columns stay in a struct and cannot clash.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -131,11 +133,16 @@ def spans(found: DataFrame) -> DataFrame:
 
 
 def personal_data(docs: DataFrame, carry: list[str], text: str = "text") -> DataFrame:
-    """``doc`` and ``spans`` (kind number, start, end; ordered by kind, then start) of every text."""
+    """``doc`` and ``spans`` (kind number, start, end; ordered by kind, then start) of every text.
+
+    Only texts with a match are joined to their spans; the others pass as they were written.
+    """
     found = scan(docs, carry, text)
     per = spans(found).groupBy("uid").agg(F.array_sort(F.collect_list(F.struct("kind", "start", "end"))).alias("spans"))
     none = F.array().cast("array<struct<kind:int,start:bigint,end:bigint>>")
-    return found.select("uid", "doc").join(per, "uid", "left").select("doc", F.coalesce("spans", none).alias("spans"))
+    some = reduce(lambda a, b: a | b, [F.col(kind).isNotNull() for kind in PATTERNS])
+    hit = found.where(some).select("uid", "doc").join(per, "uid", "left").select("doc", F.coalesce("spans", none).alias("spans"))
+    return hit.unionByName(found.where(~some).select("doc", none.alias("spans")))
 
 
 def digest(docs: DataFrame) -> DataFrame:

@@ -94,8 +94,10 @@ def test_similar_sets_share_a_key(n, changed, common_part, rnd):
     pool = sorted(x | y)
     common = np.array(sorted(rnd.sample(pool, len(pool) * common_part // 3)), np.uint64)
     common = jaccard_join.Common(common, 0)
-    a, b = (jaccard_join.keys_of(np.array(sorted(s), np.uint64), common) for s in (x, y))
-    assert set(a[0].tolist()) & set(b[0].tolist()) or set(a[1].tolist()) & set(b[1].tolist())
+    sets = sorted((x, y), key=len)
+    for small, large in (sets, sets[::-1]) if len(x) == len(y) else (sets,):
+        a, b = (jaccard_join.Keys(np.array(sorted(s), np.uint64), common) for s in (small, large))
+        assert set(a.rare[: a.small].tolist()) & set(b.rare.tolist()) or set(a.below.tolist()) & set(b.above.tolist())
 
 
 @settings(max_examples=100, deadline=None)
