@@ -13,11 +13,13 @@ from pyspark.sql import functions as F
 
 from tableflow.session import pinned
 
-CONTEXT = 120
+#: Where a sentence ends: at white space after its last mark, or at a line's end.
+SENTENCE = "(?<=[.!?。！？])\\s++|\\n++"
 
 
 def matched(df: DataFrame, text: str, patterns: dict[str, str], context: bool = False) -> DataFrame:
-    """``df`` with one array column per kind: structs of pos, gap, len, value (and the text before and after)."""
+    """``df`` with one array column per kind: structs of pos, gap, len, value (and the rest of its sentence before and after,
+    up to the next match of its kind)."""
     kept = df.columns
     for kind, p in patterns.items():
         df = df.withColumn(f"m_{kind}", F.regexp_extract_all(F.col(text), F.lit(p), F.lit(0)))
@@ -31,7 +33,7 @@ def _zipped(kind: str, context: bool) -> Column:
     parts = F.arrays_zip(m.alias("v"), F.slice(p, F.lit(1), F.size(m)).alias("a"), F.slice(p, F.lit(2), F.size(m)).alias("b"))
 
     def one(x: Column, i: Column) -> Column:
-        around = [F.right(x["a"], F.lit(CONTEXT)).alias("before"), F.left(x["b"], F.lit(CONTEXT)).alias("after")]
+        around = [F.element_at(F.split(x["a"], SENTENCE, -1), -1).alias("before"), F.split(x["b"], SENTENCE, 2)[0].alias("after")]
         return F.struct(
             i.alias("pos"), F.char_length(x["a"]).alias("gap"), F.char_length(x["v"]).alias("len"), x["v"].alias("value"),
             *(around if context else []),

@@ -1,19 +1,24 @@
 """Personal data: found by pattern, and what reveals it sanitised by information theory.
 
 Mail addresses, IP addresses, card numbers and phone numbers are found by pattern. Each distinct value is an entity to
-protect. The corpus tells how strongly a term reveals an entity: both are counted over the contexts of entities (the
-words within ``REACH`` words of a match), one count per distinct context, so copies of a document are no evidence of
-their own. An entity's information is IC = log2(contexts / its contexts), what a term tells about it is the pointwise
-mutual information PMI = log2(contexts * joint / (its contexts * the term's)). A term is
+protect. The corpus tells how strongly a term reveals an entity. All counts are over distinct texts of the whole corpus: n texts,
+n_e with the entity, n_t with the term, wherever it stands, and n_j with the term in a sentence of the entity. An entity's
+information is IC = log2(n / n_e), what a term tells about it is the pointwise mutual information
+PMI = log2(n n_j / (n_e n_t)). In the sentences of the entity a term is
 
 * removed (kind ``term``) where PMI reaches ``DISCLOSE`` of IC: it all but names the entity;
 * generalised (kind ``hint``) where PMI reaches ``NARROW`` of IC: it narrows the entity down.
 
-Both need ``SUPPORT`` distinct contexts in common, and only an entity of at least ``LEAST_IC`` bits is protected by its
-terms: what stands in a large part of all contexts is no secret about anyone.
+Both need ``SUPPORT`` different sentences (by their terms) in common, so copies are no evidence of their own, and only an entity
+of at least ``LEAST_IC`` bits is protected by its terms: what stands in a large part of all texts is no secret about anyone.
+A term is a word of two or more letters or digits, one letter at least, with hyphens, apostrophes and ampersands inside it. A
+sentence is read on either side of a match as far as the next match of the same kind, which has a sentence of its own.
 
-SQL functions only. The text is scanned once for matches; contexts are narrow rows, and counts are summed before
-they are shuffled, so a value that a third of all rows hold is one sum per task.
+The texts are read twice: for matches, and for n_t. A term that can reach a threshold at all has a greatest n_t, and
+terms that occur beside entities more often are known to be above it, so only the few that are left are counted.
+
+SQL functions only. Sentences become narrow rows, one per word, and counts are summed before they are shuffled, so a value that
+a third of all rows hold is one sum per task.
 
 Edge cases: null is empty text; empty texts have no spans; repeated rows are scanned each; an empty table gives an empty
 result; extra columns stay in a struct and cannot clash.
@@ -23,10 +28,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tableflow.llm import native_spans as N
+from tableflow.session import pinned
 
 #: The base patterns, in loops that never backtrack.
 PATTERNS = {
@@ -37,7 +43,7 @@ PATTERNS = {
 }
 KINDS = [*PATTERNS, "term", "hint"]
 MASKS = ["<EMAIL>", "<IP>", "<CARD>", "<PHONE>", "", "<TERM>"]
-REACH = 5
+TERM = "[\\p{L}\\p{N}]++(?:[-'’&][\\p{L}\\p{N}]++)*+"
 SUPPORT = 3
 LEAST_IC = 4.0
 DISCLOSE = 0.95
@@ -45,10 +51,10 @@ NARROW = 0.8
 
 
 def scan(docs: DataFrame, carry: list[str], text: str = "text") -> DataFrame:
-    """uid, struct ``doc`` of the carried columns and the matches of every pattern, written once."""
+    """uid, struct ``doc`` of the carried columns, ``h`` for the text, and the matches of every pattern, written once."""
     src = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in carry]).alias("doc"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text")
-    )
+    ).withColumn("h", F.xxhash64("text"))
     return N.numbered(N.matched(src, "text", PATTERNS, context=True).drop("text"), "pii_matches")
 
 
@@ -77,57 +83,60 @@ def valid(at: DataFrame) -> DataFrame:
     return at.where(ok)
 
 
-def _words(side: str) -> str:
-    """SQL: the letter words of a context and where they start in it, nearest ``REACH`` first."""
-    nearest = f"slice(w, greatest(size(w) - {REACH - 1}, 1), {REACH})" if side == "before" else f"slice(w, 1, {REACH})"
-    return nearest.replace("w", f"{side}_w")
+def contexts(base: DataFrame) -> DataFrame:
+    """uid, entity, t, start and end of every term in a sentence of a match, and ``sentence``, its number in the match's kind."""
+    entity = F.xxhash64("kind", F.lower("value")).alias("entity")
+    sides = F.array(
+        F.struct(F.lit(0).alias("side"), (F.col("start") - F.char_length("before")).alias("at"), F.col("before").alias("text")),
+        F.struct(F.lit(1).alias("side"), F.col("end").alias("at"), F.col("after").alias("text")),
+    )
+    seg = base.select("uid", entity, "kind", "pos", F.inline(sides)).where(F.col("text").rlike("\\p{L}"))
+    found, gaps = F.regexp_extract_all("text", F.lit(TERM), F.lit(0)), F.split("text", TERM, -1)
+    each = seg.select("uid", "entity", "kind", "pos", "side", "at", F.posexplode(F.arrays_zip(
+        found.alias("v"), F.transform(F.slice(gaps, F.lit(1), F.size(found)), lambda g: F.char_length(g)).alias("gap"))).alias("i", "x"))
+    sides_of = Window.partitionBy("uid", "kind", "pos", "side").orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
+    end = F.col("at") + F.sum(F.col("x.gap") + F.char_length("x.v")).over(sides_of)
+    each = each.select("uid", "entity", F.struct("kind", "pos").alias("sentence"), F.lower("x.v").alias("t"), F.char_length("x.v").alias("len"), end.alias("end"))
+    return each.where((F.col("len") >= 2) & F.col("t").rlike("\\p{L}")).select("uid", "entity", "sentence", "t", (F.col("end") - F.col("len")).alias("start"), "end")
+
 
+def texts_with(docs: DataFrame, text: str, terms: DataFrame) -> DataFrame:
+    """t and n_t: in how many distinct texts each of some terms (t) occurs."""
+    body = F.col(f"`{text}`")
+    each = docs.select(F.xxhash64(body).alias("h"), F.explode(F.array_distinct(F.regexp_extract_all(body, F.lit(TERM), F.lit(0)))).alias("v"))
+    each = each.select("h", F.lower("v").alias("t")).join(terms, "t", "left_semi").distinct()
+    return each.groupBy("t").agg(F.count(F.lit(1)).alias("n_t"))
 
-def contexts(base: DataFrame) -> DataFrame:
-    """uid, entity, start, end and ``terms`` (word, start) around every match.
 
-    A context that fills its window may begin or end inside a word; that word is left out.
-    """
-    c = base.withColumn("entity", F.xxhash64("kind", F.lower("value")))
-    for side in ("before", "after"):
-        # Words of three or more letters with no digit or mark at them, their place from the lengths before them.
-        c = c.withColumn(f"{side}_p", F.expr(f"split({side}, ' |\\n', -1)")).withColumn(f"{side}_w", F.expr(f"""
-            filter(transform(sequence(0, size({side}_p) - 1), i -> named_struct('t', {side}_p[i], 'i', i,
-              's', i + aggregate(slice({side}_p, 1, i), 0, (a, x) -> a + char_length(x)))),
-              x -> x.t rlike '^\\\\p{{L}}{{3,}}[.,;:!?]?$')"""))
-    before = f"filter(before_w, x -> x.i > 0 or char_length(before) < {N.CONTEXT})"
-    after = f"filter(after_w, x -> x.i < size(after_p) - 1 or char_length(after) < {N.CONTEXT})"
-    c = c.withColumn("before_w", F.expr(before)).withColumn("after_w", F.expr(after))
-    word = "lower(regexp_replace(x.t, '[.,;:!?]$', ''))"
-    return c.select("uid", "entity", "start", "end", F.expr(f"""concat(
-        transform({_words("before")}, x -> named_struct('t', {word}, 's', start - char_length(before) + x.s)),
-        transform({_words("after")}, x -> named_struct('t', {word}, 's', end + x.s)))""").alias("terms"))
-
-
-def revealing(ctx: DataFrame) -> DataFrame:
+def revealing(ctx: DataFrame, base: DataFrame, found: DataFrame, docs: DataFrame, text: str) -> DataFrame:
     """entity, t and ``kind`` (4 removed, 5 generalised) of the terms that reveal an entity too well."""
-    each = ctx.select("entity", F.array_sort(F.array_distinct(F.expr("transform(terms, x -> x.t)"))).alias("ts"))
-    each = each.groupBy("entity", F.xxhash64("ts").alias("h")).agg(F.first("ts").alias("ts"))
-    by_entity = each.groupBy("entity").agg(F.count(F.lit(1)).alias("n_e"))
-    pairs = each.select("entity", F.explode("ts").alias("t"))
-    by_term = pairs.groupBy("t").agg(F.count(F.lit(1)).alias("n_t"))
-    joint = pairs.groupBy("entity", "t").agg(F.count(F.lit(1)).alias("n_j")).where(F.col("n_j") >= SUPPORT)
-    total = by_entity.agg(F.sum("n_e").alias("n"))
+    h = found.select("uid", "h")
+    total = found.agg(F.count_distinct("h").alias("n"))
+    by_entity = base.select("uid", F.xxhash64("kind", F.lower("value")).alias("entity")).distinct().join(h, "uid")
+    by_entity = by_entity.groupBy("entity").agg(F.count_distinct("h").alias("n_e"))
+    alike = ctx.groupBy("uid", "entity", "sentence").agg(F.xxhash64(F.array_sort(F.collect_set("t"))).alias("words"))
+    occ = ctx.select("uid", "entity", "sentence", "t").distinct().join(alike, ["uid", "entity", "sentence"]).join(h, "uid")
+    occ = pinned(occ.select("entity", "t", "h", "words").distinct(), "pii_terms")
+    joint = occ.groupBy("entity", "t").agg(F.count_distinct("h").alias("n_j"), F.count_distinct("words").alias("support"))
+    beside = occ.groupBy("t").agg(F.count_distinct("h").alias("n_beside"))
     ic = F.log2(F.col("n") / F.col("n_e"))
+    # PMI reaches NARROW of IC up to this many texts with the term.
+    most = F.col("n") * F.col("n_j") / F.col("n_e") * F.pow(F.col("n_e") / F.col("n"), F.lit(NARROW))
+    able = joint.where(F.col("support") >= SUPPORT).join(by_entity, "entity").join(F.broadcast(total), F.lit(True))  # one row
+    able = able.where(ic >= LEAST_IC).join(beside, "t").where(F.col("n_beside") <= most)
+    able = pinned(able.select("entity", "t", "n", "n_e", "n_j"), "pii_able")
+    scored = able.join(texts_with(docs, text, able.select("t").distinct()), "t")
     pmi = F.log2(F.col("n") * F.col("n_j") / (F.col("n_e") * F.col("n_t")))
-    scored = joint.join(by_entity, "entity").join(by_term, "t").join(F.broadcast(total), F.lit(True))  # one row
     kind = F.when(pmi >= DISCLOSE * ic, 4).when(pmi >= NARROW * ic, 5)
-    return scored.where(ic >= LEAST_IC).select("entity", "t", kind.alias("kind")).where("kind is not null")
+    return scored.select("entity", "t", kind.alias("kind")).where("kind is not null")
 
 
-def spans(found: DataFrame) -> DataFrame:
+def spans(found: DataFrame, docs: DataFrame, text: str) -> DataFrame:
     """uid, kind number, start, end of all personal data and of the terms that reveal it."""
-    base = valid(N.located(found, list(PATTERNS)))
-    ctx = contexts(base)
-    terms = ctx.select("uid", "entity", F.explode("terms").alias("x")).select("uid", "entity", "x.t", "x.s")
-    shown = terms.join(revealing(ctx), ["entity", "t"]).groupBy("uid", F.col("s").alias("start")).agg(
-        F.min("kind").alias("kind"), F.max(F.col("s") + F.char_length("t")).alias("end")
-    )
+    base = pinned(valid(N.located(found, list(PATTERNS))), "pii_base")
+    ctx = pinned(contexts(base), "pii_contexts")
+    shown = ctx.join(revealing(ctx, base, found, docs, text), ["entity", "t"])
+    shown = shown.groupBy("uid", "start").agg(F.min("kind").alias("kind"), F.max("end").alias("end"))
     cols = ["uid", "kind", "start", "end"]
     return base.select(*cols).unionByName(shown.select(*cols))
 
@@ -138,7 +147,7 @@ def personal_data(docs: DataFrame, carry: list[str], text: str = "text") -> Data
     Only texts with a match are joined to their spans; the others pass as they were written.
     """
     found = scan(docs, carry, text)
-    per = spans(found).groupBy("uid").agg(F.array_sort(F.collect_list(F.struct("kind", "start", "end"))).alias("spans"))
+    per = spans(found, docs, text).groupBy("uid").agg(F.array_sort(F.collect_list(F.struct("kind", "start", "end"))).alias("spans"))
     none = F.array().cast("array<struct<kind:int,start:bigint,end:bigint>>")
     some = reduce(lambda a, b: a | b, [F.col(kind).isNotNull() for kind in PATTERNS])
     hit = found.where(some).select("uid", "doc").join(per, "uid", "left").select("doc", F.coalesce("spans", none).alias("spans"))

@@ -1,3 +1,4 @@
+import math
 import random
 import re
 
@@ -74,18 +75,80 @@ def test_random_tokens_are_found_and_words_are_not(spark):
     assert len(found) >= 36 and len(wrong) <= 2
 
 
+FILL = ["alpha", "beta", "gamma", "delta", "omega", "sigma", "kappa", "lambda"]
+
+
+def terms_cut(spark, texts):
+    got = {r.doc_id: r.spans for r in pii.digest(table(spark, texts)).collect()}
+    return {i: [(k, texts[i][int(a) : int(b)]) for k, a, b in re.findall(r"(term|hint):(\d+):(\d+)", s)] for i, s in got.items()}
+
+
+def brute_terms(texts):
+    """(kind, word) by text as the definition says, for texts with one match each and sentences that end at marks or lines."""
+    word = re.compile(r"[^\W_]+(?:[-'’&][^\W_]+)*")
+    useful = lambda s: {w.lower() for w in word.findall(s) if len(w) > 1 and re.search(r"[^\W\d_]", w)}
+    whole = {t: useful(t) for t in set(texts)}
+    n, found = len(whole), []
+    for t in texts:
+        m = re.search(r"[a-z0-9.]+@[a-z0-9]+\.[a-z]+", t)
+        if m:
+            before = re.split(r"(?<=[.!?])\s+|\n+", t[: m.start()])[-1]
+            after = re.split(r"(?<=[.!?])\s+|\n+", t[m.end() :], maxsplit=1)[0]
+        found.append((m[0], before, after) if m else None)
+    sentences = {t: (f[0], useful(f[1]) | useful(f[2])) for t, f in zip(texts, found) if f}
+    out = {}
+    for i, (t, f) in enumerate(zip(texts, found)):
+        out[i] = []
+        if f is None:
+            continue
+        mine = [x for x in sentences.values() if x[0] == f[0]]
+        n_e, ic = len(mine), math.log2(n / len(mine))
+        for w in word.findall(f[1]) + word.findall(f[2]):
+            if w.lower() not in sentences[t][1]:
+                continue
+            with_it = [frozenset(x[1]) for x in mine if w.lower() in x[1]]
+            if len(set(with_it)) < 3 or ic < 4:
+                continue
+            pmi = math.log2(n * len(with_it) / (n_e * sum(w.lower() in x for x in whole.values())))
+            if pmi >= 0.8 * ic:
+                out[i].append(("term" if pmi >= 0.95 * ic else "hint", w))
+    return out
+
+
 def test_terms_that_reveal_an_entity(spark):
-    fill = ["alpha", "beta", "gamma", "delta", "omega", "sigma", "kappa", "lambda"]
     rng = random.Random(3)
-    texts = [f"{rng.choice(fill)} {i}x Smithsonian {rng.choice(fill)} joe@smith.org {rng.choice(fill)} {rng.choice(fill)}" for i in range(9)]
-    texts += [f"{' '.join(rng.choices(fill, k=3))} p{i}@mail.net {' '.join(rng.choices(fill, k=3))}" for i in range(300)]
-    got = {r.doc_id: r for r in pii.digest(table(spark, texts)).collect()}
-    for i in range(9):
-        cut = [texts[i][int(a) : int(b)] for a, b in re.findall(r"term:(\d+):(\d+)", got[i].spans)]
-        assert cut == ["Smithsonian"]
-    assert not any("term" in got[i].spans or "hint" in got[i].spans for i in range(9, 309))
+    some = lambda k: " ".join(rng.choices(FILL, k=k))
+    texts = [f"{some(1)} x{i} Smithsonian {some(i % 3)} joe@smith.org {some(2)}" for i in range(9)]
+    texts += [f"{some(3)} p{i}@mail.net {some(3)}" for i in range(300)]
+    # Far off in the sentence, with a digit or marks in it, before or behind; the next sentence says nothing.
+    texts += [f"O'Neil-7 {some(9)} x{i}. {some(2)}, {some(7)} B2B q{i} {some(20)} ann{0}@corp.com {some(12)} {some(i % 4)} jo? Wharton {some(3)}" for i in range(6)]
+    # A word that the corpus uses everywhere else too.
+    texts += [f"{some(2)} table {some(2)} y{i} bob@home.org {some(3)}" for i in range(4)] + [f"{some(4)} table {some(i % 7)} z{i}" for i in range(500)]
+    got, want = terms_cut(spark, texts), brute_terms(texts)
+    assert got == want
+    assert all(got[i] == [("term", "Smithsonian")] for i in range(9)) and not any(got[i] for i in range(9, 309))
+    assert all(("term", "B2B") in got[i] and ("term", "jo") in got[i] for i in range(309, 315))
+    assert not any("Wharton" in w or "Neil" in w or w == "table" for i in got for _, w in got[i])
     clean = {r.doc_id: r for r in pii.sanitised(table(spark, texts)).collect()}
     assert "Smithsonian" not in clean[0].text and "<EMAIL>" in clean[0].text and clean[0].n_chars == len(clean[0].text)
+    assert "table" in clean[315].text and clean[400].text == texts[400]
+
+
+def test_terms_against_brute_force(spark):
+    rng = random.Random(5)
+    people = [f"u{i}@mail{i % 7}.org" for i in range(25)]
+    marks = [". ", "! ", "\n", " ", ", ", " - ", "; "]
+    texts = []
+    for i in range(700):
+        who = rng.choice(people) if i % 3 else ""
+        near = f"Clue{people.index(who)}" if who and rng.random() < 0.6 else rng.choice(FILL)
+        words = rng.choices([*FILL, f"Clue{rng.randrange(25)}" if rng.random() < 0.1 else "word", f"w{i}", "x-ray", "it's"], k=rng.randint(3, 14))
+        at = rng.randrange(len(words))
+        words[at:at] = rng.sample([who, near], 2)
+        texts.append("".join(w + rng.choice(marks) for w in words if w))
+    texts = [t for t in texts if len(re.findall("@", t)) < 2]
+    got, want = terms_cut(spark, texts + texts[:50]), brute_terms(texts + texts[:50])
+    assert got == {i: sorted(w, key=lambda x: (x[0] == "hint", 0)) for i, w in want.items()} and sum(map(bool, want.values())) > 50
 
 
 def test_sanitised_texts(spark):
