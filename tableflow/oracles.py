@@ -252,6 +252,10 @@ ORACLES: dict[str, str] = {
             THEN 'order placed with priority number ' || o_orderpriority || ' in ' || year(o_orderdate) END AS note
           FROM orders WHERE o_orderdate >= TIMESTAMP '1997-03-01' AND o_orderdate < TIMESTAMP '1998-09-01' AND o_totalprice > 50000)
         WHERE note >= 'order placed with priority number 2'""",
+    "catalog_names": f"SELECT user_id, CASE WHEN late THEN amount END AS amount, kind FROM ({_MESSAGES})",
+    "tail_round_metrics": f"""
+        SELECT 1 AS first_version, 8 AS last_version, count(DISTINCT v * 10 + i) + count(DISTINCT CASE WHEN o_orderstatus = 'P' THEN v END) AS files,
+               count(*) + count(CASE WHEN o_orderstatus = 'P' THEN 1 END) AS n_rows FROM ({_POSITIONS})""",
     "crash_and_recovery": f"SELECT user_id, kind FROM ({_MESSAGES})",
     "keyed_evolution": f"""
         SELECT user_id, CASE WHEN late THEN amount END AS amount, kind FROM ({_MESSAGES})

@@ -9,6 +9,7 @@ from __future__ import annotations
 import datetime as dt
 import json
 import threading
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
@@ -26,6 +27,7 @@ from tableflow.operators import decode as D
 from tableflow.operators import keyed, ordered
 from tableflow.operators import write as W
 from tableflow.options import EARLIEST, LATEST, FeedOptions, IngestOptions
+from tableflow.plans import catalog as CT
 from tableflow.plans import recovery as R
 from tableflow.plans import start as ST
 from tableflow.plans.ingest import ingest_batch, reject_folder
@@ -786,6 +788,31 @@ def options_by_name(spark, sf):
     return reduce(DataFrame.unionAll, parts).select(F.col("user").alias("user_id"), "kind", "_partition_value")
 
 
+def catalog_names(spark, sf):
+    """A table that catalog options name: ingested into, evolved and read by its name."""
+    name, o = CT.create(spark, {
+        "type": "iceberg", "tableNamespace": f"ns_{uuid.uuid4().hex[:8]}", "tableName": "events",
+        "catalogProperties": {"warehouse": fresh_path(spark, "warehouse")}, "maxRecordsPerCommit": 100_000_000,
+    })
+    m = event_messages(spark, sf, SWITCH)
+    late = F.col("event_time") >= F.lit(SWITCH).cast("timestamp_ntz")
+    for number, part in enumerate((~late, late)):
+        CT.ingest(m.where(part), name, o, number)
+    assert spark.table(name).columns == CT.read(spark, name).columns == ["user", "amount", "kind"]
+    return CT.read(spark, name).select(F.col("user").alias("user_id"), "amount", "kind")
+
+
+def tail_round_metrics(spark, sf):
+    """What a tail records of a round: versions, files and rows; the times of its steps are there and not below zero."""
+    path, ck = orders_history(spark, sf), fresh_path(spark, "metrics_ck")
+    q = tail.tail_changes(spark, FeedOptions(path, start_version=1, n_slots=SLOTS), lambda df, n: df.write.format("noop").mode("overwrite").save(),
+                          ck, trigger={"availableNow": True}, capture_ts=CAPTURE_TS)
+    q.awaitTermination()
+    assert all(r[k] >= 0 for r in q.rounds for k in ("log_ms", "plan_ms", "read_and_write_ms")) and all(r["bytes"] > 0 for r in q.rounds)
+    rows = [(r["first_version"], r["last_version"], r["files"], r["rows"]) for r in q.rounds]
+    return spark.createDataFrame(rows, "first_version long, last_version long, files long, n_rows long")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -800,7 +827,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         commit_groups_null_ids, stream_tail_restart, ingest_two_batches, keyed_null_keys, evolve_case, typed_records,
         message_schema, partition_empty_text,
         feed_in_rounds, tail_with_failures, timed_cursor_export, drained_tail, resume_without_checkpoint, feed_total_order,
-        snapshot_skipping_files, crash_and_recovery, keyed_evolution, options_by_name,
+        snapshot_skipping_files, crash_and_recovery, keyed_evolution, options_by_name, catalog_names, tail_round_metrics,
         stream_ingest_events, feed_metrics, feed_metrics_filtered, commit_metrics, sink_to_feed,
     )
 }
