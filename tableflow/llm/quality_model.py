@@ -137,13 +137,15 @@ def normal_equations(rows: DataFrame, lift: Fourier) -> tuple[np.ndarray, np.nda
 
 
 def isotonic(score: np.ndarray, label: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Knots of the monotone map from score to probability, by pooling adjacent violators."""
-    order = np.argsort(score, kind="stable")
+    """Knots of the monotone map from score to probability, by pooling adjacent violators. Equal scores are one point with the
+    mean of their labels, so the order of rows does not matter."""
+    points, which = np.unique(score, return_inverse=True)
+    n = np.bincount(which)
+    mean = np.bincount(which, weights=label) / n
     means: list[float] = []
     weights: list[float] = []
     centres: list[float] = []
-    for s, y in zip(score[order].tolist(), label[order].tolist(), strict=True):
-        m, w, c = y, 1.0, s
+    for c, m, w in zip(points.tolist(), mean.tolist(), n.astype(float).tolist(), strict=True):
         while means and means[-1] >= m:
             pm, pw, pc = means.pop(), weights.pop(), centres.pop()
             m, c, w = (m * w + pm * pw) / (w + pw), (c * w + pc * pw) / (w + pw), w + pw

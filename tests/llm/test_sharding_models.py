@@ -140,6 +140,18 @@ def test_isotonic_is_monotone(points):
     assert (np.diff(knots) >= 0).all()
 
 
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 4), st.booleans()), min_size=1, max_size=30), st.randoms())
+def test_isotonic_pools_equal_scores(points, rnd):
+    mixed = list(points)
+    rnd.shuffle(mixed)
+    got = [quality_model.isotonic(np.array([p[0] for p in q], float), np.array([float(p[1]) for p in q])) for q in (points, mixed)]
+    assert np.allclose(got[0][0], got[1][0]) and np.allclose(got[0][1], got[1][1])
+    assert len(np.unique(got[0][0])) == len(got[0][0])
+    tied = quality_model.isotonic(np.full(6, 0.3), np.array([0.0, 0, 0, 1, 1, 1]))
+    assert tied[0].tolist() == [0.3] and tied[1].tolist() == [0.5]
+
+
 def edit(a: bytes, b: bytes) -> int:
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
