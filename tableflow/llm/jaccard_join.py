@@ -17,7 +17,8 @@ A document is the set of its distinct shingles, the tokens. Texts that are alike
    tokens are verified on the whole sets, and the links make components. These rounds may miss any link.
 4. Then the pairs of one entry whose classes are still in different components are candidates. A pair with a rare token
    in common meets there, so one that meets in a combination need only be looked at if the frequent tokens of either set
-   would do alone: copies of one text with too many words of their own never meet. Of pairs that meet in rare tokens,
+   would do alone, less those that ``BITS`` marks of its frequent tokens show to be absent from the other: copies of one text
+   with too many words of their own never meet. Of pairs that meet in rare tokens,
    their number, with all that either set has beyond its indexed ones, bounds what they have in common. Those that can
    reach the similarity are verified. No link between components is lost, and pairs inside one add nothing. The
    components of all links are the result.
@@ -54,6 +55,9 @@ TOKENS_PER_RANGE = 1_000_000
 MOST_RANGES = 2_000
 CELL = 16
 FIRST_KEYS = 8
+#: Marks of the frequent tokens of a set, as 64-bit words. A mark that the other set lacks is a token that it lacks.
+BITS = 256
+_MARKS = [f"mark{i}" for i in range(BITS // 64)]
 #: Of these, how many must meet for a pair with a pivot.
 MEETINGS = 3
 ROUNDS = 3
@@ -253,12 +257,16 @@ def _combinations(often: np.ndarray, prefix: int, size: int) -> list[np.ndarray]
 
 class Keys:
     """Index keys of a sorted set: ``rare`` tokens of its prefix as the larger set, the first ``small`` of them as the smaller
-    one, ``below`` and ``above``, its combinations as the smaller and as the larger set; and how many tokens are frequent."""
+    one, ``below`` and ``above``, its combinations as the smaller and as the larger set; how many tokens are frequent, and their
+    marks."""
 
     def __init__(self, s: np.ndarray, common: Common):
         n, is_often = len(s), common.among(s)
         rare, often = s[~is_often], s[is_often]
         self.often = len(often)
+        bit = np.unique(X.mix(often + np.uint64(BITS)) % np.uint64(BITS))
+        word = np.arange(BITS // 64)[:, None] == (bit >> np.uint64(6)).astype(np.int64)[None, :]
+        self.marks = np.where(word, np.uint64(1) << (bit & np.uint64(63)), np.uint64(0)).sum(1, dtype=np.uint64)
         if n == 1:  # alike only to itself, and no combination can be made of it
             self.rare, self.small, self.below, self.above = s.copy(), 1, s[:0], s[:0]
             return
@@ -280,7 +288,7 @@ def indexed(classes: DataFrame, common: Common) -> DataFrame:
     A class may have several equal rows, one from each task that met it.
     """
     sent = classes.sparkSession.sparkContext.broadcast((common.tokens, int(common.shift)))
-    names = ["cls", "n", "often", "small", "rare", "below", "above", "first"]
+    names = ["cls", "n", "often", "small", "rare", "below", "above", "first", "marks"]
 
     def run(batches):
         known = Common(*sent.value)
@@ -293,7 +301,7 @@ def indexed(classes: DataFrame, common: Common) -> DataFrame:
 
         for cls, s in _fresh(batches, set()):
             k = Keys(s, known)
-            rows.append((cls, len(s), k.often, k.small, k.rare, k.below, k.above, s[:FIRST_KEYS].copy()))  # a view would keep the whole set
+            rows.append((cls, len(s), k.often, k.small, k.rare, k.below, k.above, s[:FIRST_KEYS].copy(), k.marks))  # a view would keep the whole set
             size += len(k.rare) + len(k.below) + len(k.above)
             if size > 250_000:
                 yield flush()
@@ -302,7 +310,8 @@ def indexed(classes: DataFrame, common: Common) -> DataFrame:
             yield flush()
 
     out = pinned(
-        classes.mapInArrow(run, "cls long, n int, often int, small int, rare array<long>, below array<long>, above array<long>, first array<long>"),
+        classes.mapInArrow(run, "cls long, n int, often int, small int, rare array<long>, below array<long>, above array<long>, first array<long>, "
+                           "marks array<long>"),
         "jaccard_index",
     )
     sent.destroy()
@@ -313,14 +322,15 @@ def postings(index: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Rows of single tokens and of combinations that two classes or more have, written.
 
     Both have key, cls, n and ``role`` (0 as the smaller set, 1 as the larger); single tokens also ``rest``, how many tokens of
-    the set are not among its single keys of that role, and combinations ``often``.
+    the set are not among its single keys of that role, and combinations ``often`` and the marks.
     """
     at = index.select(F.posexplode("rare").alias("pos", "key"), "cls", "n", "small", F.size("rare").alias("m"))
     w = Window.partitionBy("key")  # rare tokens: about RARE rows
     at = at.withColumn("lo", F.min("cls").over(w)).withColumn("hi", F.max("cls").over(w)).where("lo < hi").drop("lo", "hi")
     one = at.select("key", "cls", "n", F.inline(F.expr(
         "if(pos < small, array(struct(0 as role, n - small as rest), struct(1 as role, n - m as rest)), array(struct(1 as role, n - m as rest)))")))
-    two = index.where("size(below) > 0 or size(above) > 0").select("cls", "n", "often", F.inline(F.expr(
+    two = index.where("size(below) > 0 or size(above) > 0").select("cls", "n", "often", *[
+        F.col("marks")[i].alias(m) for i, m in enumerate(_MARKS)], F.inline(F.expr(
         "concat(transform(below, k -> struct(k as key, 0 as role)), transform(above, k -> struct(k as key, 1 as role)))")))
     many = two.groupBy("key").agg(
         F.min("cls").alias("lo"), F.max("cls").alias("hi"), F.min("role").alias("r0"), F.max("role").alias("r1")
@@ -363,14 +373,15 @@ def pivot_pairs(posts: DataFrame, root: DataFrame | None, turn: int) -> DataFram
 def cross_pairs(singles: DataFrame, pairs: DataFrame, root: DataFrame) -> DataFrame:
     """The pairs of one key in different components that can have enough in common, smaller set to larger one."""
 
-    def mixed(posts: DataFrame, extra: str) -> tuple[DataFrame, DataFrame]:
+    def mixed(posts: DataFrame, extra: str, marks: list[str]) -> tuple[DataFrame, DataFrame]:
         """Postings of keys with both roles in different components, as the smaller and as the larger side."""
-        p = posts.join(root, posts.cls == root.node, "left").select("key", "cls", "n", "role", extra, F.coalesce("root", "cls").alias("root"))
+        p = posts.join(root, posts.cls == root.node, "left").select("key", "cls", "n", "role", extra, *marks, F.coalesce("root", "cls").alias("root"))
         ends = p.groupBy("key").agg(
             F.min("root").alias("lo"), F.max("root").alias("hi"), F.min("role").alias("r0"), F.max("role").alias("r1"))
         keys = pinned(ends.where("lo < hi and r0 < r1").select("key"), "jaccard_keys")
         p = pinned(p.join(keys, "key"), "jaccard_mixed")
-        larger = p.where("role = 1").select("key", F.col("cls").alias("other"), F.col("n").alias("m"), F.col(extra).alias("extra2"), F.col("root").alias("root2"))
+        larger = p.where("role = 1").select("key", F.col("cls").alias("other"), F.col("n").alias("m"), F.col(extra).alias("extra2"), *[
+            F.col(m).alias(f"{m}b") for m in marks], F.col("root").alias("root2"))
         return p.where("role = 0").withColumnRenamed(extra, "extra"), larger
 
     def meet(p: DataFrame, q: DataFrame, more=F.lit(True)) -> DataFrame:
@@ -378,15 +389,17 @@ def cross_pairs(singles: DataFrame, pairs: DataFrame, root: DataFrame) -> DataFr
         return p.join(q, (p.key == q.key) & order & (p.root != q.root2) & (p.n * 100 >= q.m * LEAST) & more)
 
     both = (F.col("n") + F.col("m")) * LEAST
-    p, q = mixed(singles, "rest")
+    p, q = mixed(singles, "rest", [])
     one = meet(p, q).groupBy(F.col("cls").alias("a"), F.col("other").alias("b")).agg(
         F.count(F.lit(1)).alias("c"), F.max("n").alias("n"), F.max("m").alias("m"), F.max(F.greatest("extra", "extra2")).alias("rest")
     )
     # All common tokens up to the end of the shorter reaching index are counted; beyond it there are ``rest`` at most.
     one = one.where((F.col("c") + F.col("rest")) * (100 + LEAST) >= both).select("a", "b")
-    p, q = mixed(pairs, "often")
-    # With no rare token in common, only frequent ones are left.
-    two = meet(p, q, F.least(p.extra, q.extra2) * (100 + LEAST) >= (p.n + q.m) * LEAST)
+    p, q = mixed(pairs, "often", _MARKS)
+    # With no rare token in common, only frequent ones are left, less those whose mark the other set has not.
+    lacks = [sum(F.bit_count(x.bitwiseAND(F.bitwise_not(y))) for x, y in sides) for sides in (
+        [(p[m], q[f"{m}b"]) for m in _MARKS], [(q[f"{m}b"], p[m]) for m in _MARKS])]
+    two = meet(p, q, F.least(p.extra - lacks[0], q.extra2 - lacks[1]) * (100 + LEAST) >= (p.n + q.m) * LEAST)
     return one.unionByName(two.select(F.col("cls").alias("a"), F.col("other").alias("b"))).distinct()
 
 

@@ -177,3 +177,14 @@ def test_loser_tree(runs):
         while k < min(len(a), len(b)) and a[k] == b[k]:
             k += 1
         assert h == k
+
+
+def test_marks_never_deny_a_common_token():
+    rng = np.random.default_rng(4)
+    for n in (3, 40, 400, 4000):
+        pool = np.unique(rng.integers(0, 1 << 63, n * 2, dtype=np.uint64))
+        common = jaccard_join.Common(pool, 0)
+        x, y = (np.sort(rng.choice(pool, n, replace=False)) for _ in range(2))
+        a, b = (jaccard_join.Keys(s, common) for s in (x, y))
+        absent = sum(int(v).bit_count() for v in a.marks & ~b.marks)
+        assert a.often == n and len(np.intersect1d(x, y)) <= n - absent
