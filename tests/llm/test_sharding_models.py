@@ -74,6 +74,38 @@ def test_shards_that_stay_are_kept(spark, tmp_path):
     assert placed.where("moved").count() <= 4
 
 
+def test_digest_reads_written_and_kept_files(spark, tmp_path):
+    path = str(tmp_path / "t")
+    docs = [(i, "w " * (40 if i >= 300 else 10) if i % 50 else ODD[i // 50 % 7][1]) for i in range(400)]
+    df = spark.createDataFrame([(i, t, 7, "x", "y") for i, t in docs], "doc_id long, text string, shard int, slot string, file string")
+    df.repartitionByRange(4, "doc_id").write.parquet(path)
+    rows = sharding.digest(spark, path, 4).collect()
+    check_shards(rows, [dict(zip(("doc_id", "text"), d, strict=True)) for d in docs], 4)
+    even = str(tmp_path / "even")
+    spark.range(400).select(F.col("id").alias("doc_id"), F.lit("abcd").alias("text")).repartitionByRange(4, "doc_id").write.parquet(even)
+    sizes = sharding.sizes_of(spark, even)
+    n = [r["count"] for r in sizes.groupBy("file").count().collect()]
+    if len(set(n)) == 1:  # nothing to level: every file stays
+        kept = sharding.rewrite(spark, even, sharding.reshard(sizes, 4), str(tmp_path / "out")).collect()
+        assert sorted(r.shard for r in kept) == [0, 1, 2, 3] and all(r.path.endswith(".parquet") for r in kept)
+    rows = sharding.digest(spark, even, 4).collect()
+    assert check_shards(rows, [{"doc_id": i, "text": "abcd"} for i in range(400)], 4)
+
+
+@settings(max_examples=50, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 5), st.integers(1, 60)), min_size=1, max_size=60), st.integers(1, 5))
+def test_rows_placed_by_themselves(rows, n):
+    rows = [(old, i, size) for i, (old, size) in enumerate(rows)]
+    load = [0] * n
+    where, rest = sharding.place_rows(rows, load, sum(r[2] for r in rows) / n)
+    assert all(where[k] == k[0] < n for k in where)
+    where |= sharding.fill(rest, load)
+    before = max(load) - min(load)
+    sharding.settle(rows, where, load, 1)
+    held = [sum(size for old, i, size in rows if where[old, i] == j) for j in range(n)]
+    assert held == load and max(load) - min(load) <= max(before, 1)
+
+
 def test_shards_of_an_empty_table(spark, tmp_path):
     path = str(tmp_path / "t")
     spark.range(0).select(F.col("id").alias("doc_id"), F.lit("a").alias("text")).write.parquet(path)
