@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping
+import time
+from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -105,15 +107,55 @@ def feed(
     )
 
 
+@dataclass(frozen=True)
+class _Laid:
+    """A feed that is laid out for rounds: its file actions, and what their records are made with."""
+
+    spark: SparkSession
+    path: str
+    acts: DataFrame
+    last: int
+    capture_ts: int | None
+    first_version: int
+    history: list[L.Epoch]
+
+    def records(self, acts: DataFrame) -> DataFrame:
+        return CH.change_records(
+            self.spark, self.path, acts, self.last, self.capture_ts, True, from_version=self.first_version, history=self.history
+        )
+
+
 @dataclass(frozen=True)
 class Round:
-    """A part of a feed: its change records, the cursor per slot once they are handled, and where it ends."""
+    """A part of a feed: its change records, the cursor per slot once they are handled, and where it ends.
+
+    Records and cursors are planned when they are asked for, so that a long list of rounds costs nothing.
+    """
 
     number: int
-    records: DataFrame
-    cursors: DataFrame
     end: CH.RoundEnd
     last_version: int
+    after: CH.RoundEnd | None
+    laid: _Laid = field(repr=False)
+
+    @cached_property
+    def actions(self) -> DataFrame:
+        return CH.round_actions(self.laid.acts, self.after, self.end)
+
+    @cached_property
+    def records(self) -> DataFrame:
+        return self.laid.records(self.actions)
+
+    @cached_property
+    def cursors(self) -> DataFrame:
+        return C.furthest(self.actions)
+
+
+def all_records(rounds: Sequence[Round]) -> DataFrame:
+    """The change records of rounds that follow each other, with ``_round``, read by one scan and not by one a round."""
+    first, laid = rounds[0], rounds[0].laid
+    acts = CH.round_actions(laid.acts, first.after, rounds[-1].end)
+    return laid.records(pinned(CH.numbered_rounds(acts, [r.end for r in rounds], first.number), "numbered_rounds"))
 
 
 def feed_rounds(
@@ -149,11 +191,11 @@ def feed_rounds(
     if "min_row" not in acts.columns:
         acts = acts.withColumn("min_row", F.lit(0).cast("bigint"))
     acts = CH.sequence_offsets(CH.with_row_counts(spark, path, acts))
-    laid = pinned(CH.laid_out(acts), "rounds")
-    history = L.epochs(spark, path, last)
+    acts = pinned(CH.laid_out(acts), "rounds")
+    # one time of capture for all rounds, as they are one feed
+    capture = capture_ts if capture_ts is not None else int(time.time() * 1000)
+    laid = _Laid(spark, path, acts, last, capture, start.version, L.epochs(spark, path, last))
     number, at = (after.number + 1, after.end) if after is not None else (0, None)
-    while (found := CH.next_round(laid, at, options.max_read_rows, options.max_read_bytes)) is not None:
-        part, at = found
-        records = CH.change_records(spark, path, part, last, capture_ts, True, from_version=start.version, history=history)
-        yield Round(number, records, C.furthest(part), at, last)
-        number += 1
+    for end_of_round in CH.round_ends(acts, at, options.max_read_rows, options.max_read_bytes):
+        yield Round(number, end_of_round, last, at, laid)
+        number, at = number + 1, end_of_round

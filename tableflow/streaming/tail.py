@@ -297,11 +297,12 @@ def tail_changes(
         if r.max_rows is None:
             yield acts, None, True
             return
-        found = CH.next_round(acts, after, r.max_rows, r.max_bytes)
-        while found is not None:
-            further = CH.next_round(acts, found[1], r.max_rows, r.max_bytes)
-            yield *found, further is None
-            found = further
+        ends = CH.round_ends(acts, after, r.max_rows, r.max_bytes)
+        end = next(ends, None)
+        while end is not None:
+            further = next(ends, None)
+            yield CH.round_actions(acts, after, end), end, further is None
+            after, end = end, further
 
     def hand_on(
         acts: DataFrame, r: _Range, offsets: dict[int, int], number: int, end: CH.RoundEnd | None, last: bool, log_ms: int, slots: list | None

@@ -77,6 +77,27 @@ def test_rounds_are_the_whole_feed(spark, big_version, rows, full):
     assert last == {x.slot: x.cursor for x in C.acknowledged(ST.feed(spark, o, positions=True)).collect()}
 
 
+def test_many_rounds_are_found_and_read_by_few_jobs(spark, big_version):
+    """Jobs do not follow the number of rounds; all rounds are read by one scan, with the records each has on its own."""
+    def jobs(group, todo):
+        spark.sparkContext.setJobGroup(group, group)
+        out = todo()
+        spark.sparkContext.setJobGroup("", "")
+        return out, len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+    o = [FeedOptions(big_version, start_version=0, n_slots=3, max_read_rows=n, max_read_bytes=1 << 40) for n in (1, 10_000)]
+    (many, a), (one, b) = (jobs(f"rounds-{n}", lambda x=x: list(ST.feed_rounds(spark, x, capture_ts=1))) for n, x in enumerate(o))
+    assert (len(many), len(one)) == (12, 1) and a <= b + 1
+    together = ST.all_records(many[2:]).cache()
+    assert {r["_round"] for r in together.select("_round").distinct().collect()} == set(range(2, 12))
+    for r in (many[2], many[11]):
+        assert records(together.where(F.col("_round") == r.number)) == records(r.records)
+    ends = [r.end for r in many]
+    for window in (1, 5, 12, 13):
+        assert list(CH.round_ends(many[0].laid.acts, None, 1, 1 << 40, window)) == ends
+        assert list(CH.round_ends(many[0].laid.acts, ends[3], 1, 1 << 40, window)) == ends[4:]
+
+
 def test_byte_limit(spark, big_version):
     size = L.file_actions(L.actions(spark, big_version)).agg(F.max("size")).first()[0]
     o = FeedOptions(big_version, start_version=0, max_read_bytes=3 * size, max_read_rows=30)
