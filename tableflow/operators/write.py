@@ -234,7 +234,8 @@ def publish_written(
 ) -> list[int]:
     """Publish commits whose files were written with their tokens."""
     base = f"{path.rstrip('/')}/{L.DATA_COMMIT}="
-    written = [c for c in commits if c.schema is None and storage.exists(spark, base + c.token)]
+    there = storage.among(spark, [base + c.token for c in commits if c.schema is None])
+    written = [c for c in commits if base + c.token in there]
     tokens = {c.token for c in written}
     # without rows there are no files, and no version unless the schema changes
     commits = [c for c in commits if c.schema is not None or c.token in tokens]

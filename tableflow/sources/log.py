@@ -27,6 +27,8 @@ LOG_DIR = "_delta_log"
 STAGE_DIR = "_staged_commits"
 DATA_COMMIT = "_commit"
 WHOLE_FILE_BYTES = 32 << 20
+LOGS_PER_WRITER = 20
+MAX_LOG_WRITERS = 1000
 READER_VERSION = 1
 FOLDER_FILES = "folderFiles"  # tag: how many files were published in the action's commit folder
 
@@ -400,18 +402,23 @@ def publish(
         rows = rows.unionByName(lines)
     base = path.rstrip("/")
     stage = f"{base}/{STAGE_DIR}/{uuid.uuid4().hex}"
+    # so many tasks as there are files for: sized by bytes, all files of a long batch would be one task's
+    tasks = min(MAX_LOG_WRITERS, -(-len(commits) // LOGS_PER_WRITER))
     (
-        rows.repartition("token")
+        rows.repartition(tasks, "token")
         .sortWithinPartitions("token", "ord", "path")
         .select("token", "value")
         .write.options(**storage.options_of(spark, base)).partitionBy("token")
         .text(stage)
     )
     storage.mkdirs(spark, log_dir(path))
+    staged: dict[str, list[str]] = {}
+    for r in storage.part_files(spark, stage, "token").collect():  # one per commit
+        staged.setdefault(r["value"], []).append(r["name"])
     out = []
     for i, c in enumerate(commits):
         folder = f"{stage}/token={c.token}"
-        parts = storage.part_files(spark, folder)
+        parts = staged.get(c.token, [])
         if len(parts) != 1:
             raise LogError(f"expected one staged log file in {folder}, found {len(parts)}")
         storage.move_new(spark, f"{folder}/{parts[0]}", f"{log_dir(path)}/{file_name(last + 1)}", now + i)

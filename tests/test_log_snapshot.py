@@ -107,6 +107,33 @@ def test_publish_never_overwrites(spark, table_path):
     assert open(os.path.join(table_path, "_delta_log", L.file_name(0))).read() == before
 
 
+def test_publishing_many_commits_asks_the_file_system_little(spark, table_path, monkeypatch):
+    """A commit more costs a few calls to the JVM, and the log files of a long batch are not all written by one task."""
+    schema = S.avro_to_struct({"type": "record", "name": "r", "fields": [{"name": "a", "type": "int"}]})
+    client = spark._jvm._gateway_client
+    real, calls = client.send_command, []
+
+    def counted(*a, **k):
+        calls.append(1)
+        return real(*a, **k)
+
+    def cost(n):
+        spark.sparkContext.setJobGroup(f"publish-{n}", "")
+        monkeypatch.setattr(client, "send_command", counted)
+        calls.clear()
+        versions = L.publish(spark, f"{table_path}-{n}", [L.Commit(W.new_token(), schema=schema) for _ in range(n)], after=-1)
+        monkeypatch.undo()
+        spark.sparkContext.setJobGroup("", "")
+        assert versions == list(range(n)) and L.latest_version(spark, f"{table_path}-{n}") == n - 1
+        status = spark.sparkContext.statusTracker()
+        stages = [s for j in status.getJobIdsForGroup(f"publish-{n}") for s in status.getJobInfo(j).stageIds]
+        return len(calls), [x.numTasks for s in stages if (x := status.getStageInfo(s))]
+
+    few, many = cost(5), cost(105)
+    assert many[0] - few[0] < 100 * 20
+    assert 6 in many[1] and max(few[1]) <= 8  # 105 log files, 20 a task
+
+
 def test_round_trip_values(spark, table_path):
     """Nulls, odd texts and typed partition values come back as they were."""
     df = spark.createDataFrame(
