@@ -39,14 +39,26 @@ _UNKNOWN_BYTES = 1 << 60
 _WIDTH = {T.LongType: 8, T.DoubleType: 8, T.TimestampType: 8, T.TimestampNTZType: 8, T.IntegerType: 4, T.FloatType: 4, T.DateType: 4}
 
 
+def _plan_bytes(stats) -> int:
+    return int(str(stats.sizeInBytes()))
+
+
 def _expected_files(
     df: DataFrame, schema: T.StructType, n_rows: int | None, row_bytes: float | None, target_bytes: int
 ) -> int | None:
-    """How many files of the target size some rows make; None if nothing tells how many bytes there are."""
+    """How many tasks write some rows, as files of the target size; None if nothing tells how many bytes there are.
+
+    What the plan's sources hold counts too: a task should not read more than it may write, whatever the rows come to,
+    and texts may be far longer than a guess from their type.
+    """
+    plan = df._jdf.queryExecution().optimizedPlan()
+    leaves = plan.collectLeaves()
+    read = sum(_plan_bytes(leaves.apply(i).stats()) for i in range(leaves.size()))
     if n_rows is not None:
         size = n_rows * (row_bytes or sum(_WIDTH.get(type(f.dataType), 20) for f in schema.fields))
+        size = size if read >= _UNKNOWN_BYTES else max(size, read)
     else:
-        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+        size = max(_plan_bytes(plan.stats()), read)
     return None if size >= _UNKNOWN_BYTES else max(1, -(-int(size) // target_bytes))
 
 
@@ -69,7 +81,8 @@ def write_files(
     rebalanced on the partition columns: small values end in one file each, while AQE splits a value that holds much
     of the data over many tasks. Unpartitioned writes need no shuffle: so many tasks write as files of ``target_bytes`` are
     expected, or as many as read if that is fewer, and a task that gets more starts a new file at that size. The size is
-    expected from ``n_rows``, or the plan's own estimate, and the bytes of a row in the table so far.
+    expected from ``n_rows``, or the plan's own estimate, and the bytes of a row in the table so far; and it is what the
+    plan's sources hold if that is more.
     ``rows_per_file`` starts a new file after that many rows.
     """
     physical = {f.name: S.physical_name(f) for f in schema.fields}

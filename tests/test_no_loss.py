@@ -108,6 +108,22 @@ def test_files_follow_bytes_not_tasks(spark, table_path):
     assert files[1] == 1 and 2 <= files[2] <= 30 and SN.snapshot(spark, path).count() == 800
 
 
+def test_long_texts_are_not_read_by_one_task(spark, table_path, tmp_path):
+    """A first batch, of which no file tells the bytes of a row: tasks follow what is read, not a guess per column."""
+    long = F.array_join(F.transform(F.sequence(F.lit(1), F.lit(40)), lambda i: F.sha2(F.concat(F.col("id").cast("string"), i.cast("string")), 256)), "")
+    spark.range(0, 4000, 1, 16).select("id", long.alias("text")).write.parquet(str(tmp_path / "texts"))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 1 << 20)
+    try:
+        m = spark.read.parquet(str(tmp_path / "texts")).select(F.col("id").alias("msg_id"), F.lit("STRING").alias("schema_type"),
+                                                               F.lit("").alias("schema"), F.col("text").alias("payload"))
+        ingest_batch(m, IngestOptions(table_path=table_path, target_file_bytes=2 << 20))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    files = L.file_actions(L.actions(spark, table_path)).where("op = 'c'")
+    got = files.agg(F.count(F.lit(1)), F.max("num_records"), F.sum("num_records")).first()
+    assert got[0] >= 3 and got[1] <= 2000 and got[2] == 4000
+
+
 def small_log(spark, table, versions, reader=1):
     size = parquet(table, "a.parquet", {"id": list(range(10))})
     for v in versions:
