@@ -34,6 +34,8 @@ def to_physical(df: DataFrame, schema: T.StructType, extra: Sequence[str] = ())
 
 #: What a file should have.
 TARGET_FILE_BYTES = 128 << 20
+#: Spark sorts what a task writes by the folders, so its memory follows its rows, which may be small once they are encoded.
+ROWS_PER_TASK = 2_000_000
 #: Plans that know nothing of their size say so by a huge number.
 _UNKNOWN_BYTES = 1 << 60
 _WIDTH = {T.LongType: 8, T.DoubleType: 8, T.TimestampType: 8, T.TimestampNTZType: 8, T.IntegerType: 4, T.FloatType: 4, T.DateType: 4}
@@ -59,7 +61,7 @@ def _expected_files(
         size = size if read >= _UNKNOWN_BYTES else max(size, read)
     else:
         size = max(_plan_bytes(plan.stats()), read)
-    return None if size >= _UNKNOWN_BYTES else max(1, -(-int(size) // target_bytes))
+    return None if size >= _UNKNOWN_BYTES else max(1, -(-int(size) // target_bytes), -(-(n_rows or 0) // ROWS_PER_TASK))
 
 
 def write_files(

@@ -124,6 +124,16 @@ def test_long_texts_are_not_read_by_one_task(spark, table_path, tmp_path):
     assert got[0] >= 3 and got[1] <= 2000 and got[2] == 4000
 
 
+def test_small_rows_do_not_all_go_to_one_task(spark, table_path, monkeypatch):
+    """Rows that take next to no bytes in a file still take memory in the task that sorts them."""
+    monkeypatch.setattr(W, "ROWS_PER_TASK", 1000)
+    same = spark.range(0, 4000, 1, 16).select(F.lit("the same in every row").alias("text"))
+    for _ in range(2):  # bytes per row are known from the first
+        W.append(spark, table_path, same, n_rows=4000)
+    files = L.file_actions(L.actions(spark, table_path)).where("op = 'c'").groupBy("version")
+    assert [tuple(r) for r in files.agg(F.count(F.lit(1)), F.max("num_records")).select(F.col("count(1)"), F.col("max(num_records)")).collect()] == [(4, 1000)] * 2
+
+
 def small_log(spark, table, versions, reader=1):
     size = parquet(table, "a.parquet", {"id": list(range(10))})
     for v in versions:
