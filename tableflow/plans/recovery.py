@@ -31,7 +31,7 @@ def orphans(spark: SparkSession, path: str, older_than_s: float = AGE_S, now: fl
     """(token, files, bytes, last_ms) of the commit folders that no log entry names, the last file being old enough."""
     path = path.rstrip("/")
     empty = "token string, files bigint, bytes bigint, last_ms bigint"
-    if not any(n.startswith(_FOLDER) for n in storage.folders(spark, path)):
+    if not storage.any_like(spark, path, _FOLDER):
         return spark.createDataFrame([], empty)
     files = (
         storage.reader(spark, path).format("binaryFile").option("recursiveFileLookup", "true")

@@ -108,6 +108,11 @@ def among(spark: SparkSession, paths: Sequence[str]) -> set[str]:
     return {p for p in paths if fs.exists(new_path(p))}
 
 
+def any_like(spark: SparkSession, path: str, start: str) -> bool:
+    """Whether a folder holds something whose name starts so; one call, however much it holds."""
+    return bool(len(_system(spark, path).globStatus(_path(spark, f"{glob_safe(path.rstrip('/'))}/{start}*")) or ()))
+
+
 def part_files(spark: SparkSession, path: str, column: str) -> DataFrame:
     """(value, name) of the part files Spark wrote below ``path`` into folders ``column=value``, from the listing alone."""
     listed = reader(spark, path).format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "part-*")
