@@ -164,6 +164,46 @@ def test_repeats_of_hard_texts(spark, monkeypatch, range_bytes):
     assert suffix_dedup.digest(table(spark, [])).count() == 0
 
 
+def sent_rows(df):
+    """Rows that each shuffle of a query wrote, after it ran."""
+    df.collect()
+    todo, out = [df._jdf.queryExecution().executedPlan()], []
+    while todo:
+        node = todo.pop()
+        kind = node.getClass().getSimpleName()
+        if kind == "ShuffleExchangeExec":
+            out.append(node.metrics().apply("shuffleRecordsWritten").value())
+        if kind == "AdaptiveSparkPlanExec":
+            todo.append(node.executedPlan())
+        elif kind.endswith("QueryStageExec"):
+            todo.append(node.plan())
+        todo += [node.children().apply(i) for i in range(node.children().size())]
+    return out
+
+
+def test_copies_meet_before_texts_are_shuffled(spark, tmp_path, monkeypatch):
+    """4,000 copies of one text in 4 tasks send 4 rows where texts travel, not 4,000 to one task."""
+    p = "".join(random.Random(3).choices("abcdef ", k=900))
+    rows = [(i, p) for i in range(4000)] + [(i, f"{i} " * 150 + p[:500]) for i in range(4000, 4020)]
+    table(spark, rows).repartition(4).write.parquet(str(tmp_path / "docs"))
+    docs = spark.read.parquet(str(tmp_path / "docs"))
+    seen, real = [], suffix_dedup._runs
+
+    def runs(reps, splitters):
+        seen.append(reps)
+        return real(reps, splitters)
+
+    monkeypatch.setattr(suffix_dedup, "_runs", runs)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as for large tables
+    try:
+        got = {r.doc_id: r.n_removed for r in suffix_dedup.digest(docs).collect()}
+        sent = sent_rows(seen[0])
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert got == {i: len(p) if i < 4000 else 1250 for i in range(4020)}
+    assert max(sent) < 200
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.lists(st.binary(max_size=6).map(lambda b: bytes(x % 3 for x in b)), max_size=8), max_size=6))
 def test_loser_tree(runs):
